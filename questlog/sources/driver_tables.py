@@ -7,7 +7,7 @@ acquisition table, which is one aggregate per player plus one join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import format_yyyymmdd
@@ -34,40 +34,42 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
-def _event_name(event_type: Column) -> Column:
-    expr = None
-    for src, dst in EVENT_NAME_BY_TYPE.items():
-        expr = (F.when(event_type == src, F.lit(dst))) if expr is None else expr.when(event_type == src, F.lit(dst))
-    return expr
+def _event_name_sql() -> str:
+    whens = " ".join(f"WHEN '{src}' THEN '{dst}'" for src, dst in EVENT_NAME_BY_TYPE.items())
+    return f"CASE event_type {whens} END"
 
 
 def master_events_from_driver(events: DataFrame) -> DataFrame:
-    """``events`` -> typed ``master_events``."""
-    t = F.col("event_type")
-    k = _k()
-    player = (F.col("user_id") * 10 + k % 10).cast("long")
-    is_click, is_error = t == "click", t == "error"
-    is_purchase, is_signup, is_view = t == "purchase", t == "signup", t == "view"
-    return events.select(
-        F.col("event_id"),
-        player.alias("user_id"),
-        player.alias("user_pseudo_id"),
-        F.col("ts").cast("date").alias("event_date"),
-        F.col("ts").cast("timestamp").alias("event_ts"),
-        _event_name(t).alias("event_name"),
-        F.when(is_click | is_error, (F.col("event_id") % LEVEL_CYCLE + 1).cast("int")).alias("level_id"),
-        F.when(is_click, F.lit("Win")).when(is_error, F.lit("Fail")).alias("win_loss_status"),
-        F.when(is_click, F.floor("value").cast("long")).alias("gold_earned"),
-        F.when(is_signup, F.lit(AD_GOLD_REWARD).cast("long")).alias("gold_reward"),
-        F.when(is_purchase, money("value")).alias("revenue"),
-        F.when(is_signup, money("value")).alias("ad_revenue"),
-        F.when(is_purchase, F.concat(F.lit("pack_"), (k % 3).cast("string"))).alias("pack"),
-        F.when(is_signup, F.concat(F.lit("place_"), (k % 4).cast("string"))).alias("placement"),
-        F.when(is_view, F.col("value")).alias("duration"),
+    """``events`` -> typed ``master_events``.
+
+    One narrow projection, written as SQL expressions (a single call into
+    the JVM instead of hundreds of Column calls). ``props`` is parsed once
+    per row in an inner projection; Catalyst keeps that projection separate
+    because the parsed value is used several times."""
+    keyed = events.selectExpr(
+        "event_id",
+        "ts",
+        "event_type",
+        "value",
+        "CAST(user_id * 10 + CAST(get_json_object(props, '$.k') AS INT) % 10 AS BIGINT) AS _player",
+        "CAST(get_json_object(props, '$.k') AS INT) AS _k",
+    )
+    return keyed.selectExpr(
+        "event_id",
+        "_player AS user_id",
+        "_player AS user_pseudo_id",
+        "CAST(ts AS DATE) AS event_date",
+        "CAST(ts AS TIMESTAMP) AS event_ts",
+        f"{_event_name_sql()} AS event_name",
+        f"CASE WHEN event_type IN ('click', 'error') THEN CAST(event_id % {LEVEL_CYCLE} + 1 AS INT) END AS level_id",
+        "CASE event_type WHEN 'click' THEN 'Win' WHEN 'error' THEN 'Fail' END AS win_loss_status",
+        "CASE WHEN event_type = 'click' THEN CAST(floor(value) AS BIGINT) END AS gold_earned",
+        f"CASE WHEN event_type = 'signup' THEN CAST({AD_GOLD_REWARD} AS BIGINT) END AS gold_reward",
+        "CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END AS revenue",
+        "CASE WHEN event_type = 'signup' THEN CAST(value AS DECIMAL(18,2)) END AS ad_revenue",
+        "CASE WHEN event_type = 'purchase' THEN concat('pack_', CAST(_k % 3 AS STRING)) END AS pack",
+        "CASE WHEN event_type = 'signup' THEN concat('place_', CAST(_k % 4 AS STRING)) END AS placement",
+        "CASE WHEN event_type = 'view' THEN value END AS duration",
     )
 
 
@@ -139,29 +141,38 @@ def raw_events_from_master(master: DataFrame) -> DataFrame:
 
 
 class DriverTables:
-    """Lazy accessors over one scale-factor folder."""
+    """Lazy accessors over one scale-factor folder. Each DataFrame (a plan,
+    not data) is built once per instance, so a query that needs the event
+    table several times shares one subtree, and Spark can reuse its
+    exchanges."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._memo: dict[str, DataFrame] = {}
+
+    def _get(self, name: str, build) -> DataFrame:
+        if name not in self._memo:
+            self._memo[name] = build()
+        return self._memo[name]
 
     def events(self) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, "events")
+        return self._get("events", lambda: read_table(self.spark, self.sf_dir, "events"))
 
     def customer(self) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, "customer")
+        return self._get("customer", lambda: read_table(self.spark, self.sf_dir, "customer"))
 
     def master_events(self) -> DataFrame:
-        return master_events_from_driver(self.events())
+        return self._get("master_events", lambda: master_events_from_driver(self.events()))
 
     def user_acquisition(self) -> DataFrame:
-        return user_acquisition_from_driver(self.master_events(), self.customer())
+        return self._get("ua", lambda: user_acquisition_from_driver(self.master_events(), self.customer()))
 
     def iap(self) -> DataFrame:
-        return iap_transactions_from_master(self.master_events())
+        return self._get("iap", lambda: iap_transactions_from_master(self.master_events()))
 
     def ads(self) -> DataFrame:
-        return ad_impressions_from_master(self.master_events())
+        return self._get("ads", lambda: ad_impressions_from_master(self.master_events()))
 
     def raw_events(self) -> DataFrame:
-        return raw_events_from_master(self.master_events())
+        return self._get("raw", lambda: raw_events_from_master(self.master_events()))
