@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import format_yyyymmdd
 from ..functions.numeric import money
 from ..functions.params import to_event_params
+from .staged import staged_table
 
 # Driver event_type -> game event_name.
 EVENT_NAME_BY_TYPE = {
@@ -140,17 +141,31 @@ def raw_events_from_master(master: DataFrame) -> DataFrame:
     )
 
 
+MASTER_EVENTS_DDL = (
+    "event_id BIGINT, user_id BIGINT, user_pseudo_id BIGINT, event_date DATE, event_ts TIMESTAMP, "
+    "event_name STRING, level_id INT, win_loss_status STRING, gold_earned BIGINT, gold_reward BIGINT, "
+    "revenue DECIMAL(18,2), ad_revenue DECIMAL(18,2), pack STRING, placement STRING, duration DOUBLE"
+)
+USER_ACQUISITION_DDL = (
+    "user_id BIGINT, install_date DATE, source STRING, campaign_id STRING, cpi DECIMAL(18,2), tier STRING"
+)
+
+
 class DriverTables:
     """Lazy accessors over one scale-factor folder. Each DataFrame (a plan,
     not data) is built once per instance, so a query that needs the event
     table several times shares one subtree, and Spark can reuse its
     exchanges."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.staged = staged
         self._memo: dict[str, DataFrame] = {}
 
+    def _path(self, name: str) -> str:
+        return f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+
     def _get(self, name: str, build) -> DataFrame:
         if name not in self._memo:
             self._memo[name] = build()
@@ -162,11 +177,42 @@ class DriverTables:
     def customer(self) -> DataFrame:
         return self._get("customer", lambda: read_table(self.spark, self.sf_dir, "customer"))
 
+    def master_events_live(self) -> DataFrame:
+        """The mapping computed from ``events`` on the fly (no stored table)."""
+        return self._get("master_events_live", lambda: master_events_from_driver(self.events()))
+
     def master_events(self) -> DataFrame:
-        return self._get("master_events", lambda: master_events_from_driver(self.events()))
+        """The staged table (partitioned by day, sorted by event name within
+        a day), or the live mapping when ``staged`` is off."""
+        if not self.staged:
+            return self.master_events_live()
+        return self._get(
+            "master_events",
+            lambda: staged_table(
+                self.spark,
+                "master_events",
+                [self._path("events")],
+                self.master_events_live,
+                partition_by=("event_date",),
+                sort_within=("event_name", "user_id"),
+                schema=MASTER_EVENTS_DDL,
+            ),
+        )
 
     def user_acquisition(self) -> DataFrame:
-        return self._get("ua", lambda: user_acquisition_from_driver(self.master_events(), self.customer()))
+        if not self.staged:
+            return self._get("ua", lambda: user_acquisition_from_driver(self.master_events(), self.customer()))
+        return self._get(
+            "ua",
+            lambda: staged_table(
+                self.spark,
+                "user_acquisition",
+                [self._path("events"), self._path("customer")],
+                lambda: user_acquisition_from_driver(self.master_events(), self.customer()),
+                sort_within=("user_id",),
+                schema=USER_ACQUISITION_DDL,
+            ),
+        )
 
     def iap(self) -> DataFrame:
         return self._get("iap", lambda: iap_transactions_from_master(self.master_events()))

@@ -39,7 +39,7 @@ def random_events(seed: int, n: int = 400):
 
 
 def as_set(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda row: tuple((x is None, str(x)) for x in row))
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
