@@ -19,6 +19,7 @@ from ..functions.params import explode_params
 from ..operators import audience, difficulty, economy, engagement, monetization, progression, retention, revenue
 from ..operators.staging import build_master_events, events_since
 from ..schemas import RAW_EVENTS
+from ..session import apply_engine_conf
 from ..sources.driver_tables import INSTALL_WINDOW, DriverTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -252,41 +253,60 @@ def q_stream_dau_exact(spark, sf_dir):
     return run_stream_dau_on_driver_tables(spark, sf_dir)
 
 
+def q_stream_economy_daily(spark, sf_dir):
+    from ..streaming.jobs import run_stream_economy_on_driver_tables
+
+    return run_stream_economy_on_driver_tables(spark, sf_dir, FLOW_SINKS)
+
+
+def _engine(fn: Query) -> Query:
+    """Run a query with the engine's session settings applied."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_engine_conf(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    "retention_d1_d3_d7": q_retention,
-    "retention_rate_d1_d7_d30": q_retention_rates,
-    "retention_matrix": q_retention_matrix,
-    "economy_by_level": q_economy_by_level,
-    "economy_flow": q_economy_flow,
-    "wallet_balance": q_wallet_balance,
-    "dau_sessions": q_dau_sessions,
-    "mau_sessions": q_mau_sessions,
-    "engagement_stickiness": q_engagement,
-    "difficulty_curve": q_difficulty,
-    "pinch_points": q_pinch_points,
-    "monetization_daily": q_monetization_daily,
-    "user_ltv": q_user_ltv,
-    "installs_window": q_installs,
-    "ua_roas": q_ua_roas,
-    "user_revenue": q_user_revenue,
-    "tiers": q_tiers,
-    "tier_filtered_events": q_tier_filtered_events,
-    "reporting_period": q_reporting_period,
-    "dau_any_event": q_dau_any_event,
-    "headline_kpis": q_headline_kpis,
-    "tier_distribution": q_tier_distribution,
-    "user_max_level": q_user_max_level,
-    "level_funnel": q_level_funnel,
-    "churn_levels": q_churn_levels,
-    "level_outcomes": q_level_outcomes,
-    "payer_kpis": q_payer_kpis,
-    "iap_day_diff": q_iap_day_diff,
-    "revenue_by_tier_day": q_revenue_by_tier_day,
-    "ltv_curve": q_ltv_curve,
-    "revenue_by_pack": q_revenue_by_pack,
-    "revenue_by_placement": q_revenue_by_placement,
-    "raw_events_flatten": q_raw_events_flatten,
-    "params_exploded": q_params_exploded,
-    "events_since": q_events_since,
-    "stream_dau_exact": q_stream_dau_exact,
+    "retention_d1_d3_d7": _engine(q_retention),
+    "retention_rate_d1_d7_d30": _engine(q_retention_rates),
+    "retention_matrix": _engine(q_retention_matrix),
+    "economy_by_level": _engine(q_economy_by_level),
+    "economy_flow": _engine(q_economy_flow),
+    "wallet_balance": _engine(q_wallet_balance),
+    "dau_sessions": _engine(q_dau_sessions),
+    "mau_sessions": _engine(q_mau_sessions),
+    "engagement_stickiness": _engine(q_engagement),
+    "difficulty_curve": _engine(q_difficulty),
+    "pinch_points": _engine(q_pinch_points),
+    "monetization_daily": _engine(q_monetization_daily),
+    "user_ltv": _engine(q_user_ltv),
+    "installs_window": _engine(q_installs),
+    "ua_roas": _engine(q_ua_roas),
+    "user_revenue": _engine(q_user_revenue),
+    "tiers": _engine(q_tiers),
+    "tier_filtered_events": _engine(q_tier_filtered_events),
+    "reporting_period": _engine(q_reporting_period),
+    "dau_any_event": _engine(q_dau_any_event),
+    "headline_kpis": _engine(q_headline_kpis),
+    "tier_distribution": _engine(q_tier_distribution),
+    "user_max_level": _engine(q_user_max_level),
+    "level_funnel": _engine(q_level_funnel),
+    "churn_levels": _engine(q_churn_levels),
+    "level_outcomes": _engine(q_level_outcomes),
+    "payer_kpis": _engine(q_payer_kpis),
+    "iap_day_diff": _engine(q_iap_day_diff),
+    "revenue_by_tier_day": _engine(q_revenue_by_tier_day),
+    "ltv_curve": _engine(q_ltv_curve),
+    "revenue_by_pack": _engine(q_revenue_by_pack),
+    "revenue_by_placement": _engine(q_revenue_by_placement),
+    "raw_events_flatten": _engine(q_raw_events_flatten),
+    "params_exploded": _engine(q_params_exploded),
+    "events_since": _engine(q_events_since),
+    "stream_dau_exact": _engine(q_stream_dau_exact),
+    "stream_economy_daily": _engine(q_stream_economy_daily),
 }

@@ -395,3 +395,9 @@ SELECT event_id, strftime(event_date, '%Y%m%d') AS event_date FROM me
 WHERE strftime(event_date, '%Y%m%d') >= '20240115'"""
 
 ORACLE["stream_dau_exact"] = ORACLE["dau_sessions"]
+
+ORACLE["stream_economy_daily"] = with_(ME) + """
+SELECT CAST(event_ts AS DATE) AS date, CAST(SUM(revenue) AS DOUBLE) AS revenue,
+  CAST(SUM(COALESCE(gold_earned, 0) + COALESCE(gold_reward, 0)) AS BIGINT) AS gold_source,
+  CAST(SUM(CASE WHEN event_name = 'level_fail' THEN 10 ELSE 0 END) AS BIGINT) AS gold_sink
+FROM me GROUP BY 1"""

@@ -69,6 +69,32 @@ def build_session(
     return spark
 
 
+# Runtime (session-level) settings the operators rely on: the UTC zone keeps
+# day boundaries stable, the rest keeps joins and shuffles adaptive.
+RUNTIME_KEYS = (
+    "spark.sql.session.timeZone",
+    "spark.sql.ansi.enabled",
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.coalescePartitions.enabled",
+    "spark.sql.adaptive.skewJoin.enabled",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold",
+    "spark.sql.autoBroadcastJoinThreshold",
+)
+
+
+def apply_engine_conf(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session built elsewhere (the
+    caller's own session), and make sure a checkpoint folder is known."""
+    for key in RUNTIME_KEYS:
+        if spark.conf.get(key, None) != BASE_CONF[key]:
+            spark.conf.set(key, BASE_CONF[key])
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 

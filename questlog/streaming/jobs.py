@@ -147,13 +147,27 @@ def start(
     output_mode: str = "update",
     available_now: bool = True,
     name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Start a stream with a ``foreachBatch`` sink and a checkpoint."""
+    """Start a stream with a ``foreachBatch`` sink and a checkpoint.
+
+    ``state_partitions`` sets the number of state-store partitions of a new
+    query (Spark fixes it at the first start and keeps it in the
+    checkpoint); by default the cluster's parallelism, so every core holds
+    one slice of the state instead of a fixed 200."""
+    spark = df.sparkSession
+    if state_partitions is None:
+        state_partitions = spark.sparkContext.defaultParallelism
     w = df.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return w.start()  # the stream clones the session conf here
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def write_log_in_arrival_order(raw: DataFrame, path: str, chunks: int = 3) -> int:
@@ -174,17 +188,51 @@ def write_log_in_arrival_order(raw: DataFrame, path: str, chunks: int = 3) -> in
     return span
 
 
-def run_stream_dau_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T02 end to end on the driver tables: the whole ``events`` table is
-    written as a nested log in three arrivals, streamed with
-    ``availableNow`` (one file per micro-batch) through staging and the
-    exact-DAU operator into an idempotent mart, which is read back."""
+def count_data_files(spark: SparkSession, path: str) -> int:
+    """Number of data files in a folder (metadata only)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return sum(1 for st in fs.listStatus(p) if not st.getPath().getName().startswith(("_", ".")))
+
+
+def _driver_log_stream(spark: SparkSession, sf_dir: str, name: str, chunks: int = 3):
+    """The whole driver ``events`` table as a nested log in ``chunks``
+    arrivals, and the staged stream over it (about one micro-batch per
+    arrival). Returns (run folder, stream, days per arrival)."""
     from ..sources.driver_tables import DriverTables
 
-    run = scratch_path(spark, "stream_dau", uuid.uuid4().hex)
+    run = scratch_path(spark, name, uuid.uuid4().hex)
     raw = DriverTables(spark, sf_dir).raw_events().drop("event_id")
-    span = write_log_in_arrival_order(raw, f"{run}/input")
-    ev = flatten_stream(raw_event_stream(spark, f"{run}/input", max_files_per_trigger=1))
+    span = write_log_in_arrival_order(raw, f"{run}/input", chunks=chunks)
+    # files of a later arrival are newer, so a batch never mixes in older days
+    per_batch = max(1, -(-count_data_files(spark, f"{run}/input") // chunks))
+    ev = flatten_stream(raw_event_stream(spark, f"{run}/input", max_files_per_trigger=per_batch))
+    return run, ev, span
+
+
+def run_stream_dau_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T02 end to end: the log streamed with ``availableNow`` through
+    staging and the exact-DAU operator into an idempotent mart, read back."""
+    run, ev, span = _driver_log_stream(spark, sf_dir, "stream_dau")
     q = start(dau_exact_stream(ev, delay=f"{span + 1} days"), batch_writer(f"{run}/mart"), f"{run}/checkpoint")
     q.awaitTermination()
     return latest_per_key(f"{run}/mart", spark, ["date"], ["dau"])
+
+
+def run_stream_economy_on_driver_tables(spark: SparkSession, sf_dir: str, sinks: dict[str, int]) -> DataFrame:
+    """T04 end to end: revenue and gold flow per one-day event-time window."""
+    run, ev, span = _driver_log_stream(spark, sf_dir, "stream_economy")
+    q = start(
+        economy_window_stream(ev, delay=f"{span + 1} days", window=DAY, sink_events=sinks),
+        batch_writer(f"{run}/mart"),
+        f"{run}/checkpoint",
+    )
+    q.awaitTermination()
+    latest = latest_per_key(f"{run}/mart", spark, ["window_start"], ["revenue", "gold_source", "gold_sink"])
+    return latest.select(
+        F.col("window_start").cast("date").alias("date"),
+        F.col("revenue").cast("double").alias("revenue"),
+        "gold_source",
+        "gold_sink",
+    )

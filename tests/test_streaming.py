@@ -54,3 +54,45 @@ def test_idempotent_batch_sink_replay(spark, tmp_dir):
     got = jobs.latest_per_key(out, spark, ["date"], ["dau"]).collect()
     assert [tuple(r) for r in got] == [("2025-11-01", 5)]
     assert spark.read.parquet(out).count() == 2
+
+
+def _session_line(date, user):
+    import json
+
+    return json.dumps(
+        {"event_date": date, "event_timestamp": 1761955200000000, "user_id": user, "user_pseudo_id": user,
+         "event_name": "session_start", "event_params": []}
+    )
+
+
+def test_late_rows_are_dropped_after_the_watermark(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write("\n".join([_session_line("20251101", "u1"), _session_line("20251110", "u1")]) + "\n")
+
+    def run():
+        ev = jobs.flatten_stream(jobs.raw_event_stream(spark, src))
+        jobs.start(jobs.dau_exact_stream(ev, delay="2 days"), jobs.batch_writer(out), ck).awaitTermination()
+        return {str(r["date"]): r["dau"] for r in jobs.latest_per_key(out, spark, ["date"], ["dau"]).collect()}
+
+    assert run() == {"2025-11-01": 1, "2025-11-10": 1}
+    # second arrival: 11-01 is older than the watermark (11-10 minus 2 days), 11-10 is not
+    with open(os.path.join(src, "b.json"), "w") as f:
+        f.write("\n".join([_session_line("20251101", "u2"), _session_line("20251110", "u2"), _session_line("20251110", "u1")]) + "\n")
+    assert run() == {"2025-11-01": 1, "2025-11-10": 2}
+
+
+def test_corrupt_side_output_and_approx_dau(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write("\n".join([_session_line("20251101", "u1"), _session_line("20251101", "u2"), '{"event_date": ']) + "\n")
+    raw = jobs.raw_event_stream(spark, src)
+    bad_out, dau_out = os.path.join(tmp_dir, "bad"), os.path.join(tmp_dir, "dau")
+    jobs.start(jobs.corrupt_stream(raw), jobs.batch_writer(bad_out), os.path.join(tmp_dir, "ck1"), output_mode="append").awaitTermination()
+    assert spark.read.parquet(bad_out).count() == 1
+    approx = jobs.dau_approx_stream(jobs.flatten_stream(raw))
+    jobs.start(approx, jobs.batch_writer(dau_out), os.path.join(tmp_dir, "ck2")).awaitTermination()
+    got = jobs.latest_per_key(dau_out, spark, ["date"], ["dau_approx"]).collect()
+    assert [(str(r["date"]), r["dau_approx"]) for r in got] == [("2025-11-01", 2)]
