@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio, round_money
-from .engagement import dau_any_event
+from .engagement import daily_users
 
 
 def revenue_by_user(fact: DataFrame, amount: str, alias: str | None = None) -> DataFrame:
@@ -104,7 +104,7 @@ def headline_kpis(ev: DataFrame, users: DataFrame, ads: DataFrame, digits: int =
     dbl = F.lit(None).cast("double")
     dec = F.lit(None).cast("decimal(28,2)")
     lng = F.lit(None).cast("long")
-    daily = dau_any_event(ev).select(
+    daily = daily_users(ev).select(
         F.col("dau").cast("double").alias("dau"), dec.alias("rev"), lng.alias("usr"), dec.alias("dur"), lng.alias("ad")
     )
     user_rows = users.select(

@@ -60,12 +60,12 @@ def engagement(raw: DataFrame, user: str = "user_pseudo_id", date_col: str = "ev
     ).orderBy(F.col("date").desc())
 
 
+def daily_users(ev: DataFrame, user: str = "user_id", date_col: str = "event_date") -> DataFrame:
+    """Distinct users with any event per day, unordered (NULL days dropped,
+    as a pandas group-by does)."""
+    return ev.where(F.col(date_col).isNotNull()).groupBy(date_col).agg(F.count_distinct(user).alias("dau"))
+
+
 def dau_any_event(ev: DataFrame, user: str = "user_id", date_col: str = "event_date") -> DataFrame:
-    """Distinct users with any event, per day (NULL days dropped, as a
-    pandas group-by does)."""
-    return (
-        ev.where(F.col(date_col).isNotNull())
-        .groupBy(date_col)
-        .agg(F.count_distinct(user).alias("dau"))
-        .orderBy(date_col)
-    )
+    """The DAU trend, by day."""
+    return daily_users(ev, user, date_col).orderBy(date_col)

@@ -190,21 +190,25 @@ def q_payer_kpis(spark, sf_dir):
     return revenue.payer_kpis(_users(_t(spark, sf_dir)))
 
 
+# D15-D17 join the facts to the user table (inner) to get install date and
+# tier, which already keeps only acquired users: no separate tier filter.
+
+
 def q_iap_day_diff(spark, sf_dir):
     t, me, ua = _dashboard(spark, sf_dir)
-    d = revenue.with_day_diff(audience.filter_by_tier(t.iap(), ua), ua)
+    d = revenue.with_day_diff(t.iap(), ua)
     return d.select("user_id", "tier", "day_diff", round_money("price").alias("price"))
 
 
 def q_revenue_by_tier_day(spark, sf_dir):
     t, me, ua = _dashboard(spark, sf_dir)
-    r = revenue.revenue_by_tier_day(audience.filter_by_tier(t.iap(), ua), audience.filter_by_tier(t.ads(), ua), ua)
+    r = revenue.revenue_by_tier_day(t.iap(), t.ads(), ua)
     return r.select("tier", "day_diff", round_money("rev").alias("rev"))
 
 
 def q_ltv_curve(spark, sf_dir):
     t, me, ua = _dashboard(spark, sf_dir)
-    return revenue.ltv_curve(audience.filter_by_tier(t.iap(), ua), audience.filter_by_tier(t.ads(), ua), ua)
+    return revenue.ltv_curve(t.iap(), t.ads(), ua)
 
 
 def q_revenue_by_pack(spark, sf_dir):
