@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import floored_days_since
 from ..functions.numeric import ratio, round_money
@@ -44,15 +45,33 @@ def with_day_diff(fact: DataFrame, ua: DataFrame, ts: str = "timestamp") -> Data
 
 
 def revenue_by_tier_day(iap: DataFrame, ads: DataFrame, ua: DataFrame) -> DataFrame:
-    """IAP and ads revenue per (tier, day since install). The two
-    facts are unioned before the join, so one join and one aggregate serve
-    both."""
+    """IAP and ads revenue per (tier, day since install).
+
+    The two facts are unioned and, when install dates are calendar dates,
+    first summed per (user, calendar day of the transaction): the day since
+    install then depends only on that day, so the result is exact. The sum
+    is combined map-side, so even a user holding a large share of all
+    transactions reaches the join as at most one row per active day, and
+    the join with the user table is never skewed. Install values with a
+    time of day fall back to the row-level join (AQE splits a skewed
+    partition there).
+    """
     facts = iap.select("user_id", "timestamp", F.col("price").cast("decimal(18,2)").alias("rev")).unionByName(
         ads.select("user_id", "timestamp", F.col("revenue").cast("decimal(18,2)").alias("rev"))
     )
+    if isinstance(ua.schema["install_date"].dataType, T.DateType):
+        per_day = (
+            facts.where(F.col("user_id").isNotNull())
+            .groupBy("user_id", F.to_date(F.col("timestamp").cast("timestamp")).alias("_day"))
+            .agg(F.sum("rev").alias("rev"))
+        )
+        joined = per_day.join(ua.select("user_id", "install_date", "tier"), "user_id", "inner").withColumn(
+            "day_diff", F.date_diff(F.col("_day"), F.col("install_date"))
+        )
+    else:
+        joined = with_day_diff(facts, ua)
     return (
-        with_day_diff(facts, ua)
-        .where(F.col("tier").isNotNull() & F.col("day_diff").isNotNull())
+        joined.where(F.col("tier").isNotNull() & F.col("day_diff").isNotNull())
         .groupBy("tier", "day_diff")
         .agg(F.sum("rev").alias("rev"))
     )

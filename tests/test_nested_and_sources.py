@@ -67,6 +67,17 @@ def test_read_flatten_and_quarantine(spark, log_dir):
     assert events_since(raw, "20251102").where(F.col("_corrupt_record").isNull()).count() == 2
 
 
+def test_session_past_midnight_keeps_session_date(spark, tmp_dir):
+    # the session starts 2025-11-01 23:55 UTC; its level event lands at 00:07 the next day
+    path = os.path.join(tmp_dir, "late.json")
+    with open(path, "w") as f:
+        f.write(_line("20251101", "session_start", [], ts=1762041300000000) + "\n")
+        f.write(_line("20251101", "level_complete", [("level_id", {"int_value": 1})], ts=1762042020000000) + "\n")
+    me = build_master_events(readers.read_raw_events(spark, path))
+    got = sorted((r["event_name"], str(r["event_date"]), str(r["event_ts"].date())) for r in me.collect())
+    assert got == [("level_complete", "2025-11-01", "2025-11-02"), ("session_start", "2025-11-01", "2025-11-01")]
+
+
 def test_param_lookup_missing_key_is_null(spark):
     df = spark.createDataFrame([(1,)], "x int").select(
         F.array(
