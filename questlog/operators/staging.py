@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import event_time_from_micros, parse_yyyymmdd
 from ..functions.params import param
-from ..schemas import CORRUPT_COLUMN, MONEY
+from ..schemas import CORRUPT_COLUMN
 
 # master_events column -> (param key, typed field, cast). The source's
 # ``status`` and ``price`` params are renamed win_loss_status and revenue.
@@ -82,4 +82,4 @@ def events_since(raw: DataFrame, yyyymmdd: str, date_col: str = "event_date") ->
     return raw.where(F.col(date_col) >= F.lit(yyyymmdd))
 
 
-__all__ = ["build_master_events", "events_since", "quarantine", "is_corrupt", "DEFAULT_PARAM_SPEC", "MONEY"]
+__all__ = ["build_master_events", "events_since", "quarantine", "is_corrupt", "DEFAULT_PARAM_SPEC"]

@@ -2,15 +2,12 @@
 
 from pyspark.sql.types import (
     ArrayType,
-    DateType,
     DecimalType,
     DoubleType,
-    IntegerType,
     LongType,
     StringType,
     StructField,
     StructType,
-    TimestampType,
 )
 
 MONEY = DecimalType(18, 2)
@@ -126,7 +123,4 @@ __all__ = [
     "IAP_CSV",
     "ADS_CSV",
     "MASTER_EVENTS_COLUMNS",
-    "DateType",
-    "IntegerType",
-    "TimestampType",
 ]

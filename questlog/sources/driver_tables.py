@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import format_yyyymmdd
-from ..functions.numeric import money
 from ..functions.params import to_event_params
 from .staged import staged_table
 

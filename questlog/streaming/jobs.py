@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,7 +128,8 @@ def pinch_alert_writer(out_path: str, threshold: float = 0.30, min_attempts: int
 
     def alert(batch: DataFrame, batch_id: int) -> None:
         hard = batch.where(
-            (F.col("attempts") >= min_attempts) & (F.col("wins") < F.lit(threshold) * F.col("attempts"))
+            (F.col("attempts") >= min_attempts)
+            & (F.col("wins") < F.lit(Decimal(str(threshold))) * F.col("attempts"))
         )
         write(hard, batch_id)
 
