@@ -69,6 +69,21 @@ def staged_table(
     return reader.parquet(final)
 
 
+def staged_folder(
+    spark: SparkSession, name: str, sources: Sequence[str], write: Callable[[str], object]
+) -> tuple[str, object | None]:
+    """A folder produced by ``write(path)`` once per source version (same
+    publish-by-rename rule as :func:`staged_table`). Returns the folder and
+    what ``write`` returned (None when the folder already existed)."""
+    final = scratch_path(spark, "staged", f"{name}-{fingerprint(spark, sources)}")
+    if exists(spark, final):
+        return final, None
+    tmp = f"{final}.tmp-{uuid.uuid4().hex}"
+    result = write(tmp)
+    _publish(spark, tmp, final)
+    return final, result
+
+
 def _publish(spark: SparkSession, tmp: str, final: str) -> None:
     """Move a finished table into place. A directory rename onto an existing
     directory would nest it, so an existing (complete) table wins and our

@@ -23,6 +23,8 @@ from ..schemas import RAW_EVENTS_WITH_CORRUPT
 from ..session import scratch_path
 
 DAY = "1 day"
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def raw_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -150,13 +152,16 @@ def start(
     available_now: bool = True,
     name: str | None = None,
     state_partitions: int | None = None,
+    rocksdb_state: bool = True,
 ) -> StreamingQuery:
     """Start a stream with a ``foreachBatch`` sink and a checkpoint.
 
-    ``state_partitions`` sets the number of state-store partitions of a new
-    query (Spark fixes it at the first start and keeps it in the
-    checkpoint); by default the cluster's parallelism, so every core holds
-    one slice of the state instead of a fixed 200."""
+    For a new query (Spark records both in the checkpoint at the first
+    start): ``state_partitions`` state-store partitions, by default the
+    cluster's parallelism, so every core holds one slice of the state
+    instead of a fixed 200; and the RocksDB state store with changelog
+    checkpointing, which keeps large dedup state (users x days) on local
+    disk instead of the executor heap."""
     spark = df.sparkSession
     if state_partitions is None:
         state_partitions = spark.sparkContext.defaultParallelism
@@ -164,12 +169,34 @@ def start(
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    settings = {"spark.sql.shuffle.partitions": str(state_partitions)}
+    if rocksdb_state:
+        settings[STATE_PROVIDER] = ROCKSDB_PROVIDER
+        settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return w.start()  # the stream clones the session conf here
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _day_bounds(raw: DataFrame):
+    day_num = F.date_diff(F.try_to_date(F.col("event_date"), "yyyyMMdd"), F.lit("1970-01-01").cast("date"))
+    bounds = raw.select(F.min(day_num).alias("lo"), F.max(day_num).alias("hi")).first()
+    return day_num, bounds["lo"], bounds["hi"]
+
+
+def arrival_span(raw: DataFrame, chunks: int) -> int:
+    """Days covered by one arrival when the log is split in ``chunks``
+    (one two-value aggregate; the stream's watermark delay must exceed it)."""
+    _, lo, hi = _day_bounds(raw)
+    return 1 if lo is None else max(1, (hi - lo + chunks) // chunks)
 
 
 def write_log_in_arrival_order(raw: DataFrame, path: str, chunks: int = 3) -> int:
@@ -177,9 +204,7 @@ def write_log_in_arrival_order(raw: DataFrame, path: str, chunks: int = 3) -> in
     ordered by session date (earlier days arrive first, as in a live feed).
     Returns the span of one chunk in days (the lateness a stream must
     tolerate inside one arrival)."""
-    day_num = F.date_diff(F.try_to_date(F.col("event_date"), "yyyyMMdd"), F.lit("1970-01-01").cast("date"))
-    bounds = raw.select(F.min(day_num).alias("lo"), F.max(day_num).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
+    day_num, lo, hi = _day_bounds(raw)
     if lo is None:
         raw.limit(0).write.mode("append").json(path)
         return 1
@@ -200,17 +225,25 @@ def count_data_files(spark: SparkSession, path: str) -> int:
 
 def _driver_log_stream(spark: SparkSession, sf_dir: str, name: str, chunks: int = 3):
     """The whole driver ``events`` table as a nested log in ``chunks``
-    arrivals, and the staged stream over it (about one micro-batch per
-    arrival). Returns (run folder, stream, days per arrival)."""
+    arrivals (written once per source version), and a stream over it
+    (about one micro-batch per arrival). Returns (run folder for this
+    stream's checkpoint and mart, stream, days per arrival)."""
     from ..sources.driver_tables import DriverTables
-
-    run = scratch_path(spark, name, uuid.uuid4().hex)
-    raw = DriverTables(spark, sf_dir).raw_events().drop("event_id")
-    span = write_log_in_arrival_order(raw, f"{run}/input", chunks=chunks)
+    from ..sources.staged import staged_folder
+
+    t = DriverTables(spark, sf_dir)
+    raw = t.raw_events().drop("event_id")
+    log, _ = staged_folder(
+        spark,
+        f"raw_log_{chunks}",
+        [t._path("events")],  # noqa: SLF001
+        lambda path: write_log_in_arrival_order(raw, path, chunks=chunks),
+    )
+    span = arrival_span(raw, chunks)
     # files of a later arrival are newer, so a batch never mixes in older days
-    per_batch = max(1, -(-count_data_files(spark, f"{run}/input") // chunks))
-    ev = flatten_stream(raw_event_stream(spark, f"{run}/input", max_files_per_trigger=per_batch))
-    return run, ev, span
+    per_batch = max(1, -(-count_data_files(spark, log) // chunks))
+    ev = flatten_stream(raw_event_stream(spark, log, max_files_per_trigger=per_batch))
+    return scratch_path(spark, name, uuid.uuid4().hex), ev, span
 
 
 def run_stream_dau_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
