@@ -1,13 +1,13 @@
 """Daily / monthly active users and stickiness.
 
-DAU and MAU are both derived from one ``distinct(user, day)`` set, which
-Spark computes once and reuses (``ReusedExchange``) for the two branches,
-instead of scanning the log twice as the source query does.
+Stickiness derives DAU and MAU from one ``distinct(user, day)`` set with
+windows instead of joining two separately de-duplicated aggregates (the
+source query scans the log twice).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start, parse_yyyymmdd
@@ -35,29 +35,38 @@ def dau(raw: DataFrame, user: str = "user_pseudo_id", date_col: str = "event_dat
 
 
 def mau(raw: DataFrame, user: str = "user_pseudo_id", date_col: str = "event_date") -> DataFrame:
-    """Distinct users with a session start, per calendar month."""
-    days = session_days(raw, user, date_col)
+    """Distinct users with a session start, per calendar month (one
+    distinct aggregate on (month, user), combined map-side)."""
+    starts = raw.where(F.col("event_name") == "session_start")
     return (
-        days.groupBy(month_start("date").alias("month_start"))
-        .agg(F.count_distinct("user").alias("mau"))
+        starts.groupBy(month_start(_date(raw, date_col)).alias("month_start"))
+        .agg(F.count_distinct(user).alias("mau"))
         .orderBy(F.col("month_start").desc())
     )
 
 
 def engagement(raw: DataFrame, user: str = "user_pseudo_id", date_col: str = "event_date") -> DataFrame:
     """DAU, the MAU of the day's month and stickiness = DAU / MAU x 100
-    (2 decimals). Both sides of the join are aggregates (one row per day /
-    per month); AQE broadcasts the month side after measuring it."""
+    (2 decimals).
+
+    No join of a daily and a monthly aggregate (which would dedupe the log
+    twice): from the distinct (user, day) rows, a user's first active day
+    in each month is flagged by a window over (user, month) (at most 31
+    rows), the days are counted once, and the month's MAU is the sum of its
+    days' first-in-month users (a window over at most 31 day rows).
+    """
     days = session_days(raw, user, date_col)
-    daily = days.groupBy("date").agg(F.count("user").alias("dau"))
-    monthly = days.groupBy(month_start("date").alias("month_start")).agg(F.count_distinct("user").alias("mau"))
-    joined = daily.join(monthly, month_start(daily["date"]) == monthly["month_start"], "left")
-    return joined.select(
-        "date",
-        "dau",
-        "mau",
-        ratio(F.col("dau") * 100, F.col("mau"), 2).alias("stickiness_percent"),
-    ).orderBy(F.col("date").desc())
+    month = month_start("date")
+    first = (F.col("date") == F.min("date").over(Window.partitionBy("user", month))) & F.col("user").isNotNull()
+    per_day = days.withColumn("_first", first).groupBy("date").agg(
+        F.count("user").alias("dau"), F.count_if("_first").alias("_new")
+    )
+    month_total = F.when(F.col("date").isNotNull(), F.sum("_new").over(Window.partitionBy(month_start("date"))))
+    return (
+        per_day.select("date", "dau", month_total.alias("mau"))
+        .select("date", "dau", "mau", ratio(F.col("dau") * 100, F.col("mau"), 2).alias("stickiness_percent"))
+        .orderBy(F.col("date").desc())
+    )
 
 
 def daily_users(ev: DataFrame, user: str = "user_id", date_col: str = "event_date") -> DataFrame:

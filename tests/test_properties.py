@@ -78,6 +78,25 @@ def test_rewrites_equal_direct_sql(spark, seed):
     assert as_set(got) == as_set(direct_funnel)
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_stickiness_window_form_equals_join_form(spark, seed):
+    rows = random_events(seed)
+    # spread over two months so the month boundary is exercised
+    rows = [r[:3] + ((r[3] + dt.timedelta(days=25)) if (r[3] and r[0] % 2) else r[3],) + r[4:] for r in rows]
+    ev = spark.createDataFrame(rows, MASTER_SCHEMA).where("event_name = 'session_start'")
+    ev.createOrReplaceTempView("me_stick")
+    direct = spark.sql(
+        """
+        WITH d AS (SELECT event_date AS date, COUNT(DISTINCT user_pseudo_id) AS dau FROM me_stick GROUP BY 1),
+             m AS (SELECT trunc(event_date, 'MM') AS month_start, COUNT(DISTINCT user_pseudo_id) AS mau FROM me_stick GROUP BY 1)
+        SELECT d.date, d.dau, m.mau FROM d LEFT JOIN m ON trunc(d.date, 'MM') = m.month_start"""
+    )
+    from questlog.operators import engagement
+
+    got = engagement.engagement(ev).select("date", "dau", "mau")
+    assert as_set(got) == as_set(direct)
+
+
 def test_invariants_on_driver_tables(spark):
     t = DriverTables(spark, SF_SMALL)
     me = t.master_events()
