@@ -21,6 +21,9 @@ from ..operators.staging import build_master_events, events_since
 from ..schemas import RAW_EVENTS
 from ..session import apply_engine_conf
 from ..sources.driver_tables import INSTALL_WINDOW, DriverTables
+from ..sources.readers import read_flat_events, read_user_acquisition
+from ..sources.sinks import write_csv
+from ..sources.staged import staged_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,6 +254,57 @@ def q_events_since(spark, sf_dir):
     return events_since(raw, SINCE_YYYYMMDD).select("event_id", "event_date")
 
 
+# ---- CSV sources: written once per source version, read back ----------------
+
+FLAT_CSV_COLUMNS = [
+    "event_date", "event_timestamp", "event_name", "user_id", "country", "os",
+    "level_id", "status", "weapon_used", "gold_earned", "price", "product_id",
+]
+
+
+def _flat_csv(spark, sf_dir) -> str:
+    """The flat events CSV. Integer columns with gaps are written as
+    doubles (``1.0``), as a dataframe writer with missing values does."""
+    t = _t(spark, sf_dir)
+    me = t.master_events()
+    flat = me.select(
+        F.date_format("event_date", "yyyyMMdd").alias("event_date"),
+        F.unix_micros("event_ts").alias("event_timestamp"),
+        "event_name",
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("level_id").cast("double").alias("level_id"),
+        F.col("win_loss_status").alias("status"),
+        F.col("gold_earned").cast("double").alias("gold_earned"),
+        F.col("revenue").cast("double").alias("price"),
+        F.col("pack").alias("product_id"),
+    )
+    folder, _ = staged_folder(spark, "flat_events_csv", [t._path("events")], lambda p: write_csv(flat, p, FLAT_CSV_COLUMNS))
+    return folder
+
+
+def q_flat_events_csv(spark, sf_dir):
+    df = read_flat_events(spark, _flat_csv(spark, sf_dir))
+    return df.select(
+        "event_date", "event_name", "user_id", "level_id", "win_loss_status", "gold_earned",
+        round_money("revenue").alias("revenue"), "product_id",
+    )
+
+
+def q_acquisition_csv(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    ua = t.user_acquisition().select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("install_date").cast("string").alias("install_date"),
+        "source", "campaign_id", F.col("cpi").cast("double").alias("cpi"), "tier",
+    )
+    folder, _ = staged_folder(
+        spark, "user_acquisition_csv", [t._path("events"), t._path("customer")],
+        lambda p: write_csv(ua, p, ua.columns),
+    )
+    back = read_user_acquisition(spark, folder)
+    return back.select("user_id", "install_date", "source", "campaign_id", round_money("cpi").alias("cpi"), "tier")
+
+
 def q_stream_dau_exact(spark, sf_dir):
     from ..streaming.jobs import run_stream_dau_on_driver_tables
 
@@ -311,6 +365,8 @@ QUERIES: dict[str, Query] = {
     "raw_events_flatten": _engine(q_raw_events_flatten),
     "params_exploded": _engine(q_params_exploded),
     "events_since": _engine(q_events_since),
+    "flat_events_csv": _engine(q_flat_events_csv),
+    "acquisition_csv": _engine(q_acquisition_csv),
     "stream_dau_exact": _engine(q_stream_dau_exact),
     "stream_economy_daily": _engine(q_stream_economy_daily),
 }

@@ -401,3 +401,11 @@ SELECT CAST(event_ts AS DATE) AS date, CAST(SUM(revenue) AS DOUBLE) AS revenue,
   CAST(SUM(COALESCE(gold_earned, 0) + COALESCE(gold_reward, 0)) AS BIGINT) AS gold_source,
   CAST(SUM(CASE WHEN event_name = 'level_fail' THEN 10 ELSE 0 END) AS BIGINT) AS gold_sink
 FROM me GROUP BY 1"""
+
+ORACLE["flat_events_csv"] = with_(ME) + f"""
+SELECT event_date, event_name, CAST(user_id AS VARCHAR) AS user_id, level_id, win_loss_status, gold_earned,
+  {money('revenue')} AS revenue, pack AS product_id
+FROM me"""
+
+ORACLE["acquisition_csv"] = with_(ME, UA) + f"""
+SELECT CAST(user_id AS VARCHAR) AS user_id, install_date, source, campaign_id, {money('cpi')} AS cpi, tier FROM ua"""

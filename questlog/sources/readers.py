@@ -1,6 +1,6 @@
-"""Readers for the source files (S01-S06, S10), each with an explicit
-schema: no inference pass over the data, and column pruning / filter
-pushdown stay available to the optimizer."""
+"""Readers for the source files (S01-S06, S10), each with explicit types:
+no inference pass over the data. JSON is read with its schema; CSV columns
+are matched by header name and cast to their declared types."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.dates import parse_yyyymmdd
 from ..schemas import (
@@ -32,8 +33,20 @@ def read_raw_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def _csv(spark: SparkSession, schema, path) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+def _csv(spark: SparkSession, schema: StructType, path) -> DataFrame:
+    """CSV matched to ``schema`` by header name, not by position: the
+    writer keeps only the columns that exist, so the column set and order
+    vary. Every column is read as text (no inference pass) and cast to its
+    declared type by name; a missing column is NULL; a value that does not
+    parse is NULL (``try_cast``), never a failed job."""
+    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    present = {c.lower(): c for c in df.columns}
+    cols = []
+    for field in schema.fields:
+        src = present.get(field.name.lower())
+        value = F.col(f"`{src}`").try_cast(field.dataType) if src else F.lit(None).cast(field.dataType)
+        cols.append(value.alias(field.name))
+    return df.select(*cols)
 
 
 def read_flat_events(spark: SparkSession, path: str | list[str]) -> DataFrame:

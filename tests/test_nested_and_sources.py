@@ -117,6 +117,18 @@ def test_flat_csv_float_integers_and_dates(spark, tmp_dir):
     assert r[0]["event_date"] == d("2025-11-01") and str(r[0]["revenue"]) == "4.99"
 
 
+def test_csv_columns_matched_by_header_name(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "flat_reordered.csv")
+    with open(path, "w") as f:
+        f.write("event_name,user_id,gold_earned,event_date,level_id,not_ours\n")
+        f.write("level_complete,u9,75.0,20251103,2.0,x\n")
+        f.write("level_complete,u9,oops,20251103,,x\n")  # unparsable number: NULL, not a failure
+    rows = readers.read_flat_events(spark, path).orderBy(F.col("gold_earned").desc_nulls_last()).collect()
+    assert (rows[0]["user_id"], rows[0]["gold_earned"], rows[0]["level_id"], rows[0]["event_date"]) == ("u9", 75, 2, d("2025-11-03"))
+    assert rows[0]["country"] is None and rows[0]["revenue"] is None  # absent columns are NULL
+    assert rows[1]["gold_earned"] is None
+
+
 def test_acquisition_iap_ads_readers_and_resolve(spark, tmp_dir):
     base = os.path.join(tmp_dir, "data")
     os.makedirs(base)
