@@ -21,8 +21,8 @@ from ..operators.staging import build_master_events, events_since
 from ..schemas import RAW_EVENTS
 from ..session import apply_engine_conf
 from ..sources.driver_tables import INSTALL_WINDOW, DriverTables
-from ..sources.readers import read_flat_events, read_user_acquisition
-from ..sources.sinks import write_csv
+from ..sources.readers import read_flat_events, read_raw_events, read_user_acquisition
+from ..sources.sinks import write_csv, write_raw_events
 from ..sources.staged import staged_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,6 +305,19 @@ def q_acquisition_csv(spark, sf_dir):
     return back.select("user_id", "install_date", "source", "campaign_id", round_money("cpi").alias("cpi"), "tier")
 
 
+def q_raw_log_files(spark, sf_dir):
+    """S07 then S01: the nested log written as NDJSON files (once per
+    source version), read back with the explicit schema and staged."""
+    t = _t(spark, sf_dir)
+    raw = t.raw_events().drop("event_id")
+    folder, _ = staged_folder(spark, "raw_log_json", [t._path("events")], lambda p: write_raw_events(raw, p))
+    me = build_master_events(read_raw_events(spark, folder))
+    return me.select(
+        "user_id", "event_date", "event_name", "level_id", "win_loss_status", "gold_earned",
+        round_money("revenue").alias("revenue"), "gold_reward", "placement", "product_id",
+    )
+
+
 def q_stream_dau_exact(spark, sf_dir):
     from ..streaming.jobs import run_stream_dau_on_driver_tables
 
@@ -365,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "raw_events_flatten": _engine(q_raw_events_flatten),
     "params_exploded": _engine(q_params_exploded),
     "events_since": _engine(q_events_since),
+    "raw_log_files": _engine(q_raw_log_files),
     "flat_events_csv": _engine(q_flat_events_csv),
     "acquisition_csv": _engine(q_acquisition_csv),
     "stream_dau_exact": _engine(q_stream_dau_exact),

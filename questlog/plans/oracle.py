@@ -409,3 +409,8 @@ FROM me"""
 
 ORACLE["acquisition_csv"] = with_(ME, UA) + f"""
 SELECT CAST(user_id AS VARCHAR) AS user_id, install_date, source, campaign_id, {money('cpi')} AS cpi, tier FROM ua"""
+
+ORACLE["raw_log_files"] = with_(ME) + f"""
+SELECT CAST(user_id AS VARCHAR) AS user_id, event_date, event_name, level_id, win_loss_status, gold_earned,
+  {money('revenue')} AS revenue, gold_reward, placement, pack AS product_id
+FROM me"""
