@@ -55,13 +55,14 @@ def parsed_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dashboard(spark: SparkSession, sf_dir: str):
-    """Facts limited to users of the acquisition table (all tiers chosen)."""
+    """The tables a dashboard mart starts from; facts are then limited to
+    users of the acquisition table with ``filter_by_tier`` (all tiers)."""
     t = _t(spark, sf_dir)
     me, ua = t.master_events(), t.user_acquisition()
     return t, me, ua
 
 
-# ---- KPI queries (SQL folder) -------------------------------------------------
+# ---- KPI queries --------------------------------------------------------------
 
 
 def q_retention(spark, sf_dir):

@@ -95,20 +95,27 @@ def apply_engine_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_fallback_root: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The value of ``spark.checkpoint.dir`` is used as given. Only when it is
-    unset (a bare local test session) is a private folder created.
+    The value of ``spark.checkpoint.dir`` is used as given (SparkContext
+    picks it up at start). Only when it is unset (a bare local test session)
+    is a private folder created and registered with ``setCheckpointDir``;
+    the key itself cannot be changed at runtime.
     """
+    global _fallback_root
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="questlog-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+    if current:
+        return current
+    if _fallback_root is None:
+        _fallback_root = tempfile.mkdtemp(prefix="questlog-ckpt-")
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
-    return current
+        sc.setCheckpointDir(_fallback_root)
+    return _fallback_root
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

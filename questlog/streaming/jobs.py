@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.staging import build_master_events, is_corrupt
 from ..schemas import RAW_EVENTS_WITH_CORRUPT
-from ..session import scratch_path
+from ..session import apply_engine_conf, scratch_path
 
 DAY = "1 day"
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -242,7 +242,10 @@ def _driver_log_stream(spark: SparkSession, sf_dir: str, name: str, chunks: int
     span = arrival_span(raw, chunks)
     # files of a later arrival are newer, so a batch never mixes in older days
     per_batch = max(1, -(-count_data_files(spark, log) // chunks))
-    ev = flatten_stream(raw_event_stream(spark, log, max_files_per_trigger=per_batch))
+    # the stream gets its own session (same cluster, separate SQL settings),
+    # so starting it never changes the caller's settings
+    stream_session = apply_engine_conf(spark.newSession())
+    ev = flatten_stream(raw_event_stream(stream_session, log, max_files_per_trigger=per_batch))
     return scratch_path(spark, name, uuid.uuid4().hex), ev, span
 
 

@@ -96,3 +96,30 @@ def test_corrupt_side_output_and_approx_dau(spark, tmp_dir):
     jobs.start(approx, jobs.batch_writer(dau_out), os.path.join(tmp_dir, "ck2")).awaitTermination()
     got = jobs.latest_per_key(dau_out, spark, ["date"], ["dau_approx"]).collect()
     assert [(str(r["date"]), r["dau_approx"]) for r in got] == [("2025-11-01", 2)]
+
+
+def test_checkpoint_folder_fallback_when_unset():
+    from questlog import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class FakeSpark:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    fake = FakeSpark()
+    root = session.ensure_checkpoint_dir(fake)
+    assert os.path.isdir(root) and fake.sparkContext.dir == root
+    assert session.ensure_checkpoint_dir(fake) == root  # one folder per process
