@@ -7,6 +7,8 @@ acquisition table, which is one aggregate per player plus one join.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,6 +172,19 @@ class DriverTables:
             self._memo[name] = build()
         return self._memo[name]
 
+    def _staged_or_live(self, name: str, staged, live) -> DataFrame:
+        """The staged table; if the shared folder cannot be written, the
+        same table computed on the fly (identical rows, no pushdown)."""
+
+        def build():
+            try:
+                return staged()
+            except Exception as exc:  # noqa: BLE001  (Py4J / IO errors)
+                warnings.warn(f"staging {name} failed ({type(exc).__name__}); computing it on the fly", stacklevel=3)
+                return live()
+
+        return self._get(name, build)
+
     def events(self) -> DataFrame:
         return self._get("events", lambda: read_table(self.spark, self.sf_dir, "events"))
 
@@ -185,7 +200,7 @@ class DriverTables:
         a day), or the live mapping when ``staged`` is off."""
         if not self.staged:
             return self.master_events_live()
-        return self._get(
+        return self._staged_or_live(
             "master_events",
             lambda: staged_table(
                 self.spark,
@@ -196,21 +211,28 @@ class DriverTables:
                 sort_within=("event_name", "user_id"),
                 schema=MASTER_EVENTS_DDL,
             ),
+            self.master_events_live,
         )
 
+    def user_acquisition_live(self) -> DataFrame:
+        return user_acquisition_from_driver(self.master_events(), self.customer())
+
     def user_acquisition(self) -> DataFrame:
+        """One row per player (staged, sorted by user), or computed on the fly
+        when ``staged`` is off."""
         if not self.staged:
-            return self._get("ua", lambda: user_acquisition_from_driver(self.master_events(), self.customer()))
-        return self._get(
+            return self._get("ua", self.user_acquisition_live)
+        return self._staged_or_live(
             "ua",
             lambda: staged_table(
                 self.spark,
                 "user_acquisition",
                 [self._path("events"), self._path("customer")],
-                lambda: user_acquisition_from_driver(self.master_events(), self.customer()),
+                self.user_acquisition_live,
                 sort_within=("user_id",),
                 schema=USER_ACQUISITION_DDL,
             ),
+            self.user_acquisition_live,
         )
 
     def iap(self) -> DataFrame:
