@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import round_money
-from ..functions.params import explode_params
+from ..functions.params import explode_params, flatten_params, param
 from ..operators import audience, difficulty, economy, engagement, monetization, progression, retention, revenue
 from ..operators.staging import build_master_events, events_since
 from ..schemas import RAW_EVENTS
@@ -245,6 +245,45 @@ def q_raw_events_flatten(spark, sf_dir):
     )
 
 
+def q_param_lookup(spark, sf_dir):
+    """Typed lookups in the packed log, including a key no event has
+    (NULL, not an error)."""
+    raw = _t(spark, sf_dir).raw_events()
+    return raw.select(
+        "event_id",
+        param("level_id", "int").alias("level_id"),
+        param("price", "double").alias("price"),
+        param("status", "string").alias("status"),
+        param("no_such_key", "string").alias("missing"),
+    )
+
+
+# master_events column -> (packed key, typed field, type) for the round trip
+ROUNDTRIP_SPEC = {
+    "level_id": ("level_id", "int", "int"),
+    "win_loss_status": ("status", "string", "string"),
+    "gold_earned": ("gold_earned", "int", "bigint"),
+    "gold_reward": ("gold_reward", "int", "bigint"),
+    "revenue": ("price", "double", "decimal(18,2)"),
+    "ad_revenue": ("ad_revenue", "double", "decimal(18,2)"),
+    "pack": ("product_id", "string", "string"),
+    "placement": ("placement", "string", "string"),
+    "duration": ("duration", "double", "double"),
+}
+
+
+def q_params_roundtrip(spark, sf_dir):
+    """N02 then N03: typed columns packed into key/value params and
+    flattened back give the original columns."""
+    raw = _t(spark, sf_dir).raw_events()
+    spec = {c: (k, kind) for c, (k, kind, _) in ROUNDTRIP_SPEC.items()}
+    flat = flatten_params(raw.select("event_id", "event_params"), spec, cast={c: t for c, (_, _, t) in ROUNDTRIP_SPEC.items()})
+    return flat.select(
+        "event_id",
+        *[round_money(c).alias(c) if ROUNDTRIP_SPEC[c][2].startswith("decimal") else F.col(c) for c in ROUNDTRIP_SPEC],
+    )
+
+
 def q_params_exploded(spark, sf_dir):
     raw = _t(spark, sf_dir).raw_events()
     return explode_params(raw, keep=("event_id",))
@@ -377,6 +416,8 @@ QUERIES: dict[str, Query] = {
     "revenue_by_pack": _engine(q_revenue_by_pack),
     "revenue_by_placement": _engine(q_revenue_by_placement),
     "raw_events_flatten": _engine(q_raw_events_flatten),
+    "param_lookup": _engine(q_param_lookup),
+    "params_roundtrip": _engine(q_params_roundtrip),
     "params_exploded": _engine(q_params_exploded),
     "events_since": _engine(q_events_since),
     "raw_log_files": _engine(q_raw_log_files),

@@ -414,3 +414,13 @@ ORACLE["raw_log_files"] = with_(ME) + f"""
 SELECT CAST(user_id AS VARCHAR) AS user_id, event_date, event_name, level_id, win_loss_status, gold_earned,
   {money('revenue')} AS revenue, gold_reward, placement, pack AS product_id
 FROM me"""
+
+ORACLE["param_lookup"] = with_(ME) + """
+SELECT event_id, CAST(level_id AS BIGINT) AS level_id, CAST(revenue AS DOUBLE) AS price,
+  win_loss_status AS status, CAST(NULL AS VARCHAR) AS missing
+FROM me"""
+
+ORACLE["params_roundtrip"] = with_(ME) + f"""
+SELECT event_id, level_id, win_loss_status, gold_earned, gold_reward, {money('revenue')} AS revenue,
+  {money('ad_revenue')} AS ad_revenue, pack, placement, duration
+FROM me"""
