@@ -9,16 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
+from ..schemas import FAIL, LEVEL_COMPLETE, LEVEL_FAIL, WIN
 
-OUTCOME_EVENTS = ("level_complete", "level_fail")
+OUTCOME_EVENTS = (LEVEL_COMPLETE, LEVEL_FAIL)
 
 
 def _outcomes(ev: DataFrame, events: Sequence[str]) -> DataFrame:
     rows = ev.where(F.col("event_name").isin(list(events)) & F.col("level_id").isNotNull())
     return rows.groupBy("level_id").agg(
         F.count(F.lit(1)).alias("total_attempts"),
-        F.count_if(F.col("win_loss_status") == "Win").alias("wins"),
-        F.count_if(F.col("win_loss_status") == "Fail").alias("fails"),
+        F.count_if(F.col("win_loss_status") == WIN).alias("wins"),
+        F.count_if(F.col("win_loss_status") == FAIL).alias("fails"),
     )
 
 

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_mean, ratio
+from ..schemas import AD_REWARD_CLAIM, LEVEL_COMPLETE
 
 MICROS_PER_HOUR = 3_600_000_000
 
 
-def economy_by_level(ev: DataFrame, event: str = "level_complete") -> DataFrame:
+def economy_by_level(ev: DataFrame, event: str = LEVEL_COMPLETE) -> DataFrame:
     """Per level, distinct players, gold total, mean gold per
     completion and gold per distinct player (both rounded to units)."""
     done = ev.where((F.col("event_name") == event) & F.col("level_id").isNotNull())
@@ -50,7 +51,7 @@ def _signed_amount(sources: Mapping[str, str], sinks: Mapping[str, Column | str
     return src, snk
 
 
-DEFAULT_SOURCES = {"level_complete": "gold_earned", "ad_reward_claim": "gold_reward"}
+DEFAULT_SOURCES = {LEVEL_COMPLETE: "gold_earned", AD_REWARD_CLAIM: "gold_reward"}
 
 
 def economy_flow(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_start, parse_yyyymmdd
 from ..functions.numeric import ratio
+from ..schemas import SESSION_START
 
 
 def _date(raw: DataFrame, date_col: str) -> Column:
@@ -21,7 +22,7 @@ def _date(raw: DataFrame, date_col: str) -> Column:
 
 
 def session_days(
-    raw: DataFrame, user: str = "user_pseudo_id", date_col: str = "event_date", event: str = "session_start"
+    raw: DataFrame, user: str = "user_pseudo_id", date_col: str = "event_date", event: str = SESSION_START
 ) -> DataFrame:
     """Distinct (user, date) of session starts."""
     return raw.where(F.col("event_name") == event).select(F.col(user).alias("user"), _date(raw, date_col).alias("date")).distinct()
@@ -37,7 +38,7 @@ def dau(raw: DataFrame, user: str = "user_pseudo_id", date_col: str = "event_dat
 def mau(raw: DataFrame, user: str = "user_pseudo_id", date_col: str = "event_date") -> DataFrame:
     """Distinct users with a session start, per calendar month (one
     distinct aggregate on (month, user), combined map-side)."""
-    starts = raw.where(F.col("event_name") == "session_start")
+    starts = raw.where(F.col("event_name") == SESSION_START)
     return (
         starts.groupBy(month_start(_date(raw, date_col)).alias("month_start"))
         .agg(F.count_distinct(user).alias("mau"))

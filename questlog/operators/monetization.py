@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio, round_money
+from ..schemas import IAP_PURCHASE
 
-PURCHASE = "iap_purchase"
+PURCHASE = IAP_PURCHASE
 
 
 def monetization_daily(ev: DataFrame, purchase_event: str = PURCHASE) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import LEVEL_COMPLETE, LEVEL_FAIL
+
 
 def user_max_level(ev: DataFrame) -> DataFrame:
     """Highest level seen per user (NULL when the user has none)."""
@@ -53,7 +55,7 @@ def churn_levels(ev: DataFrame, n: int = 10) -> DataFrame:
 
 
 def level_outcomes(
-    ev: DataFrame, n: int = 20, outcomes: Sequence[str] = ("level_complete", "level_fail")
+    ev: DataFrame, n: int = 20, outcomes: Sequence[str] = (LEVEL_COMPLETE, LEVEL_FAIL)
 ) -> DataFrame:
     """Per level, the number of each outcome event (0 when none), for
     the ``n`` lowest levels that have any event.

@@ -18,7 +18,7 @@ from ..functions.numeric import round_money
 from ..functions.params import explode_params, flatten_params, param
 from ..operators import audience, difficulty, economy, engagement, monetization, progression, retention, revenue
 from ..operators.staging import build_master_events, events_since
-from ..schemas import RAW_EVENTS
+from ..schemas import LEVEL_FAIL, RAW_EVENTS
 from ..session import apply_engine_conf
 from ..sources.driver_tables import INSTALL_WINDOW, DriverTables
 from ..sources.readers import read_flat_events, read_raw_events, read_user_acquisition
@@ -29,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the registered runs (fixed values).
 PINCH_THRESHOLD = 0.48
-FLOW_SINKS = {"level_fail": 10}
+FLOW_SINKS = {LEVEL_FAIL: 10}
 TIER_SUBSET = ("Tier 1", "Tier 3")
 SINCE_YYYYMMDD = "20240115"
 

@@ -12,6 +12,16 @@ from pyspark.sql.types import (
 
 MONEY = DecimalType(18, 2)
 
+# Event names and outcome statuses of the source log.
+SESSION_START = "session_start"
+LEVEL_START = "level_start"
+LEVEL_COMPLETE = "level_complete"
+LEVEL_FAIL = "level_fail"
+AD_REWARD_CLAIM = "ad_reward_claim"
+IAP_PURCHASE = "iap_purchase"
+WIN = "Win"
+FAIL = "Fail"
+
 PARAM_VALUE = StructType(
     [
         StructField("int_value", LongType()),
@@ -112,6 +122,14 @@ MASTER_EVENTS_COLUMNS = [
 
 __all__ = [
     "MONEY",
+    "SESSION_START",
+    "LEVEL_START",
+    "LEVEL_COMPLETE",
+    "LEVEL_FAIL",
+    "AD_REWARD_CLAIM",
+    "IAP_PURCHASE",
+    "WIN",
+    "FAIL",
     "PARAM_VALUE",
     "EVENT_PARAM",
     "EVENT_PARAMS",

@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import format_yyyymmdd
 from ..functions.params import to_event_params
+from ..schemas import AD_REWARD_CLAIM, IAP_PURCHASE, LEVEL_COMPLETE, LEVEL_FAIL, SESSION_START
 from .staged import staged_table
 
 # Driver event_type -> game event_name.
 EVENT_NAME_BY_TYPE = {
-    "view": "session_start",
-    "click": "level_complete",
-    "error": "level_fail",
-    "purchase": "iap_purchase",
-    "signup": "ad_reward_claim",
+    "view": SESSION_START,
+    "click": LEVEL_COMPLETE,
+    "error": LEVEL_FAIL,
+    "purchase": IAP_PURCHASE,
+    "signup": AD_REWARD_CLAIM,
 }
 # The segment that plays the organic (zero-cost) source,
 # the install window used by the ROAS report, and the ad reward amount.
@@ -99,13 +100,13 @@ def user_acquisition_from_driver(master: DataFrame, customer: DataFrame) -> Data
 
 
 def iap_transactions_from_master(master: DataFrame) -> DataFrame:
-    return master.where(F.col("event_name") == "iap_purchase").select(
+    return master.where(F.col("event_name") == IAP_PURCHASE).select(
         "user_id", F.col("event_ts").alias("timestamp"), F.col("revenue").alias("price"), "pack"
     )
 
 
 def ad_impressions_from_master(master: DataFrame) -> DataFrame:
-    return master.where(F.col("event_name") == "ad_reward_claim").select(
+    return master.where(F.col("event_name") == AD_REWARD_CLAIM).select(
         "user_id", F.col("event_ts").alias("timestamp"), F.col("ad_revenue").alias("revenue"), "placement"
     )
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.staging import build_master_events, is_corrupt
-from ..schemas import RAW_EVENTS_WITH_CORRUPT
+from ..schemas import LEVEL_COMPLETE, LEVEL_FAIL, RAW_EVENTS_WITH_CORRUPT, SESSION_START, WIN
 from ..session import apply_engine_conf, scratch_path
 
 DAY = "1 day"
@@ -58,7 +58,7 @@ def session_day_time(ev: DataFrame) -> DataFrame:
 
 
 def dau_exact_stream(
-    ev: DataFrame, delay: str = "2 days", user: str = "user_pseudo_id", event: str = "session_start"
+    ev: DataFrame, delay: str = "2 days", user: str = "user_pseudo_id", event: str = SESSION_START
 ) -> DataFrame:
     """Exact DAU on a stream. Distinct counts are not allowed on
     streams, so users are de-duplicated per day first (the event-time
@@ -74,7 +74,7 @@ def dau_exact_stream(
 
 def dau_approx_stream(ev: DataFrame, delay: str = "2 days", user: str = "user_pseudo_id") -> DataFrame:
     """Approximate DAU (HyperLogLog++), one aggregate, no dedup state."""
-    days = session_day_time(ev.where(F.col("event_name") == "session_start")).withWatermark("day_time", delay)
+    days = session_day_time(ev.where(F.col("event_name") == SESSION_START)).withWatermark("day_time", delay)
     return days.groupBy(F.window("day_time", DAY).alias("w")).agg(
         F.approx_count_distinct(user).alias("dau_approx")
     ).select(F.col("w.start").cast("date").alias("date"), "dau_approx")
@@ -103,11 +103,11 @@ def economy_window_stream(
 
 def level_outcome_stream(ev: DataFrame, delay: str = "1 hour", window: str = "1 hour") -> DataFrame:
     """T05 input: attempts and wins per (window, level)."""
-    rows = ev.where(F.col("event_name").isin("level_complete", "level_fail") & F.col("level_id").isNotNull())
+    rows = ev.where(F.col("event_name").isin(LEVEL_COMPLETE, LEVEL_FAIL) & F.col("level_id").isNotNull())
     return (
         rows.withWatermark("event_ts", delay)
         .groupBy(F.window("event_ts", window).alias("w"), "level_id")
-        .agg(F.count(F.lit(1)).alias("attempts"), F.count_if(F.col("win_loss_status") == "Win").alias("wins"))
+        .agg(F.count(F.lit(1)).alias("attempts"), F.count_if(F.col("win_loss_status") == WIN).alias("wins"))
         .select(F.col("w.start").alias("window_start"), "level_id", "attempts", "wins")
     )
 
