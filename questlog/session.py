@@ -118,6 +118,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _fallback_root
 
 
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the input files (one metadata call per path)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(conf).getContentSummary(p).getLength()
+    return int(total)
+
+
+def configure_for_input(
+    spark: SparkSession, paths, bytes_per_partition: int = 256 * 1024 * 1024, max_partitions: int = 200_000
+) -> int:
+    """Size ``spark.sql.shuffle.partitions`` from the input: about one
+    partition per ``bytes_per_partition`` of input, at least one per core.
+    Shuffles after partial aggregation carry far less than the input, and
+    AQE coalesces those down to the advisory size; a raw-row shuffle (the
+    staging write, the wallet window) gets partitions that fit in memory.
+    Returns the number set."""
+    cores = spark.sparkContext.defaultParallelism
+    n = -(-input_bytes(spark, paths) // bytes_per_partition)
+    n = max(cores, min(max_partitions, n))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for stream state and
     intermediate tables that must survive executor loss)."""

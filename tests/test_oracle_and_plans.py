@@ -77,3 +77,17 @@ def test_scan_is_pruned_and_filter_pushed(spark):
     assert any("event_name" in f for f in pushed_filters(df))
     df = E.queries()["events_since"](spark, SF_SMALL)
     assert any("ts" in f for f in pushed_filters(df)) or read_schema_of_scans(df)
+
+
+def test_configure_for_input_sizes_partitions(spark):
+    from questlog.session import configure_for_input, input_bytes
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        path = os.path.join(SF_SMALL, "events.parquet")
+        assert input_bytes(spark, [path]) > 0
+        n = configure_for_input(spark, [path], bytes_per_partition=1024)
+        assert n == max(spark.sparkContext.defaultParallelism, -(-input_bytes(spark, [path]) // 1024))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
