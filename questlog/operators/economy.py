@@ -3,7 +3,7 @@ running wallet balance (C05)."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,21 +58,23 @@ def economy_flow(
     ev: DataFrame,
     sinks: Mapping[str, Column | str | int],
     sources: Mapping[str, str] | None = None,
+    by: Sequence[str] = ("event_date",),
 ) -> DataFrame:
     """Gold created (sources), gold removed (sinks) and net flow per
-    event date. The data has no sink event, so the caller names them:
-    {event_name: amount column or constant}. ``sources`` defaults to level
-    completions and ad rewards; pass ``{"level_complete": "gold_earned"}``
-    to count only what the per-level report counts."""
+    event date (or any grouping ``by``, e.g. ``("event_date", "level_id")``).
+    The data has no sink event, so the caller names them: {event_name:
+    amount column or constant}. ``sources`` defaults to level completions
+    and ad rewards; pass ``{"level_complete": "gold_earned"}`` to count only
+    what the per-level report counts."""
     sources = dict(DEFAULT_SOURCES if sources is None else sources)
     src, snk = _signed_amount(sources, sinks)
     names = list(sources) + list(sinks)
     return (
         ev.where(F.col("event_name").isin(names))
-        .groupBy("event_date")
+        .groupBy(*by)
         .agg(F.sum(src).alias("gold_source"), F.sum(snk).alias("gold_sink"))
-        .select("event_date", "gold_source", "gold_sink", (F.col("gold_source") - F.col("gold_sink")).alias("net_flow"))
-        .orderBy("event_date")
+        .select(*by, "gold_source", "gold_sink", (F.col("gold_source") - F.col("gold_sink")).alias("net_flow"))
+        .orderBy(*by)
     )
 
 

@@ -192,3 +192,20 @@ def test_economy_flow_and_wallet(master_df):
         for r in economy.wallet_balance(ev, sinks={"level_fail": 10}, bucket_micros=3_600_000_000).collect()
     )
     assert wallet == [("a", 1, 100), ("a", 2, 90), ("a", 3, 140), ("a", 4, 130), ("b", 5, -10)]
+
+
+def test_economy_flow_by_date_and_level(master_df):
+    ev = master_df(
+        [
+            ev_row(1, "a", "2025-11-01", "level_complete", level=1, gold=100),
+            ev_row(2, "a", "2025-11-01", "level_fail", level=2),
+            ev_row(3, "b", "2025-11-01", "level_complete", level=2, gold=40),
+            ev_row(4, "b", "2025-11-01", "ad_reward_claim", gold_reward=50),
+        ]
+    )
+    got = rows(economy.economy_flow(ev, sinks={"level_fail": 10}, by=("event_date", "level_id")))
+    assert got == [
+        (d("2025-11-01"), None, 50, 0, 50),
+        (d("2025-11-01"), 1, 100, 0, 100),
+        (d("2025-11-01"), 2, 40, 10, 30),
+    ]
