@@ -43,3 +43,25 @@ def test_exact_mean_ignores_nulls(spark):
     assert df.agg(exact_mean("x", 2).alias("m")).first()["m"] == 1.67
     empty = spark.createDataFrame([(None,)], "x long")
     assert empty.agg(exact_mean("x", 2).alias("m")).first()["m"] is None
+
+
+def test_oracle_ratio_sql_matches_exact_rounding():
+    import duckdb
+
+    from questlog.plans.oracle import ratio as sql_ratio
+
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 10**7), rnd.choice([1, 3, 8, 32, 7, rnd.randint(1, 10**5)])) for _ in range(400)]
+    rows += [(5, 1000), (25, 10000), (0, 0)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (cents BIGINT, den BIGINT)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    got = con.execute(
+        f"SELECT cents, den, {sql_ratio('CAST(cents AS DECIMAL(20,2)) / 100', 'den', 2, ns=2)}, {sql_ratio('cents', 'den', 4)} FROM t"
+    ).fetchall()
+    for cents, den, r2, r4 in got:
+        if den == 0:
+            assert r2 is None and r4 is None
+            continue
+        assert r2 == half_up(Fraction(cents, 100 * den), 2)
+        assert r4 == half_up(Fraction(cents, den), 4)
