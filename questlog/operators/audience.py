@@ -77,6 +77,16 @@ def filter_by_tier(facts: DataFrame, ua: DataFrame, chosen: Sequence[str] | None
     return facts.join(users.select("user_id"), "user_id", "left_semi")
 
 
+def filter_tagged_by_tier(facts: DataFrame, chosen: Sequence[str] | None = None) -> DataFrame:
+    """D04 on facts already tagged with ``tier`` and ``in_ua`` (the staged
+    acquired-events table): the same rows as :func:`filter_by_tier`, as a
+    plain filter that reaches the Parquet scan, with no join per query."""
+    keep = F.col("in_ua")
+    if chosen is not None:
+        keep = keep & F.col("tier").isin(list(chosen))
+    return facts.where(keep)
+
+
 def reporting_period(ua: DataFrame) -> DataFrame:
     """First and last install date."""
     d = F.col("install_date").cast("date")

@@ -20,7 +20,12 @@ from ..operators import audience, difficulty, economy, engagement, monetization,
 from ..operators.staging import build_master_events, events_since
 from ..schemas import LEVEL_FAIL, RAW_EVENTS
 from ..session import apply_engine_conf
-from ..sources.driver_tables import INSTALL_WINDOW, DriverTables
+from ..sources.driver_tables import (
+    INSTALL_WINDOW,
+    DriverTables,
+    ad_impressions_from_master,
+    iap_transactions_from_master,
+)
 from ..sources.readers import read_flat_events, read_raw_events, read_user_acquisition
 from ..sources.sinks import write_csv, write_raw_events
 from ..sources.staged import staged_folder
@@ -55,11 +60,17 @@ def parsed_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dashboard(spark: SparkSession, sf_dir: str):
-    """The tables a dashboard mart starts from; facts are then limited to
-    users of the acquisition table with ``filter_by_tier`` (all tiers)."""
+    """The inputs of a dashboard mart: events, purchases and ad views of the
+    users in the acquisition table (all tiers chosen), read from the staged
+    tagged events with a pushed-down filter, plus the user table."""
     t = _t(spark, sf_dir)
-    me, ua = t.master_events(), t.user_acquisition()
-    return t, me, ua
+    ev = audience.filter_tagged_by_tier(t.acquired_events())
+    return t, ev, t.user_acquisition()
+
+
+def _facts(ev: DataFrame):
+    """Purchases and ad views among already-filtered events."""
+    return iap_transactions_from_master(ev), ad_impressions_from_master(ev)
 
 
 # ---- KPI queries --------------------------------------------------------------
@@ -155,15 +166,13 @@ def q_reporting_period(spark, sf_dir):
 
 
 def q_dau_any_event(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    return engagement.dau_any_event(audience.filter_by_tier(me, ua))
+    t, ev, ua = _dashboard(spark, sf_dir)
+    return engagement.dau_any_event(ev)
 
 
 def q_headline_kpis(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    return audience.headline_kpis(
-        audience.filter_by_tier(me, ua), _users(t), audience.filter_by_tier(t.ads(), ua)
-    )
+    t, ev, ua = _dashboard(spark, sf_dir)
+    return audience.headline_kpis(ev, _users(t), _facts(ev)[1])
 
 
 def q_tier_distribution(spark, sf_dir):
@@ -171,23 +180,23 @@ def q_tier_distribution(spark, sf_dir):
 
 
 def q_user_max_level(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    return progression.user_max_level(audience.filter_by_tier(me, ua))
+    t, ev, ua = _dashboard(spark, sf_dir)
+    return progression.user_max_level(ev)
 
 
 def q_level_funnel(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    return progression.level_funnel(audience.filter_by_tier(me, ua))
+    t, ev, ua = _dashboard(spark, sf_dir)
+    return progression.level_funnel(ev)
 
 
 def q_churn_levels(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    return progression.churn_levels(audience.filter_by_tier(me, ua))
+    t, ev, ua = _dashboard(spark, sf_dir)
+    return progression.churn_levels(ev)
 
 
 def q_level_outcomes(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    return progression.level_outcomes(audience.filter_by_tier(me, ua))
+    t, ev, ua = _dashboard(spark, sf_dir)
+    return progression.level_outcomes(ev)
 
 
 def q_payer_kpis(spark, sf_dir):
@@ -199,30 +208,30 @@ def q_payer_kpis(spark, sf_dir):
 
 
 def q_iap_day_diff(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    d = revenue.with_day_diff(t.iap(), ua)
+    t = _t(spark, sf_dir)
+    d = revenue.with_day_diff(t.iap(), t.user_acquisition())
     return d.select("user_id", "tier", "day_diff", round_money("price").alias("price"))
 
 
 def q_revenue_by_tier_day(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    r = revenue.revenue_by_tier_day(t.iap(), t.ads(), ua)
+    t = _t(spark, sf_dir)
+    r = revenue.revenue_by_tier_day(t.iap(), t.ads(), t.user_acquisition())
     return r.select("tier", "day_diff", round_money("rev").alias("rev"))
 
 
 def q_ltv_curve(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    return revenue.ltv_curve(t.iap(), t.ads(), ua)
+    t = _t(spark, sf_dir)
+    return revenue.ltv_curve(t.iap(), t.ads(), t.user_acquisition())
 
 
 def q_revenue_by_pack(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    return revenue.revenue_by_pack(audience.filter_by_tier(t.iap(), ua))
+    t, ev, ua = _dashboard(spark, sf_dir)
+    return revenue.revenue_by_pack(_facts(ev)[0])
 
 
 def q_revenue_by_placement(spark, sf_dir):
-    t, me, ua = _dashboard(spark, sf_dir)
-    return revenue.revenue_by_placement(audience.filter_by_tier(t.ads(), ua))
+    t, ev, ua = _dashboard(spark, sf_dir)
+    return revenue.revenue_by_placement(_facts(ev)[1])
 
 
 # ---- nested log: parse, flatten, explode ------------------------------------

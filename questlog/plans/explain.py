@@ -33,7 +33,19 @@ class PlanReport:
 
 
 def physical_plan(df: DataFrame) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    """The physical plan as text, with scan metadata (pushed filters, read
+    schema) printed in full rather than cut at 100 characters."""
+    spark = df.sparkSession
+    key = "spark.sql.maxMetadataStringLength"
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, "100000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
 
 
 def inspect(df: DataFrame, allow: tuple[str, ...] = ()) -> PlanReport:

@@ -148,6 +148,7 @@ MASTER_EVENTS_DDL = (
     "event_name STRING, level_id INT, win_loss_status STRING, gold_earned BIGINT, gold_reward BIGINT, "
     "revenue DECIMAL(18,2), ad_revenue DECIMAL(18,2), pack STRING, placement STRING, duration DOUBLE"
 )
+ACQUIRED_EVENTS_DDL = MASTER_EVENTS_DDL + ", tier STRING, in_ua BOOLEAN"
 USER_ACQUISITION_DDL = (
     "user_id BIGINT, install_date DATE, source STRING, campaign_id STRING, cpi DECIMAL(18,2), tier STRING"
 )
@@ -236,6 +237,39 @@ class DriverTables:
             self.user_acquisition_live,
         )
 
+    def acquired_events_live(self) -> DataFrame:
+        """Every event tagged with its user's tier and whether the user is in
+        the acquisition table (a left join on user, one row per user on the
+        right, so no event is duplicated or lost)."""
+        users = self.user_acquisition().where(F.col("user_id").isNotNull()).select(
+            "user_id", "tier", F.lit(True).alias("_in")
+        )
+        me = self.master_events()
+        joined = me.join(users, "user_id", "left")
+        return joined.select(
+            *[F.col(c) for c in me.columns], "tier", F.coalesce(F.col("_in"), F.lit(False)).alias("in_ua")
+        )
+
+    def acquired_events(self) -> DataFrame:
+        """``acquired_events_live`` staged like ``master_events``: the
+        dashboard marts read it with a pushed-down ``in_ua`` / ``tier``
+        filter instead of joining every event to the user table per query."""
+        if not self.staged:
+            return self._get("acquired", self.acquired_events_live)
+        return self._staged_or_live(
+            "acquired",
+            lambda: staged_table(
+                self.spark,
+                "acquired_events",
+                [self._path("events"), self._path("customer")],
+                self.acquired_events_live,
+                partition_by=("event_date",),
+                sort_within=("event_name", "user_id"),
+                schema=ACQUIRED_EVENTS_DDL,
+            ),
+            self.acquired_events_live,
+        )
+
     def iap(self) -> DataFrame:
         return self._get("iap", lambda: iap_transactions_from_master(self.master_events()))
 
