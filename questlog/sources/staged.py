@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
-STAGE_VERSION = "1"  # bump when a staged table's definition changes
+STAGE_VERSION = "1"  # bump when a staged table's rows change for the same schema
 
 
 def _fs(spark: SparkSession, path: str):
@@ -58,7 +58,10 @@ def staged_table(
     needed. ``build`` returns the (lazy) DataFrame to store; ``schema``
     (DDL, optional) fixes column order and types on read, partition
     columns included."""
-    final = scratch_path(spark, "staged", f"{name}-{fingerprint(spark, sources)}")
+    key = fingerprint(spark, sources)
+    if schema:  # a changed definition gets a new table
+        key = hashlib.sha1(f"{key}|{schema}".encode()).hexdigest()[:16]
+    final = scratch_path(spark, "staged", f"{name}-{key}")
     if not exists(spark, f"{final}/_SUCCESS"):
         df = build()
         tmp = f"{final}.tmp-{uuid.uuid4().hex}"
