@@ -35,31 +35,38 @@ def payer_kpis(users: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
-def with_day_diff(fact: DataFrame, ua: DataFrame, ts: str = "timestamp") -> DataFrame:
+def with_day_diff(fact: DataFrame, ua: DataFrame | None = None, ts: str = "timestamp") -> DataFrame:
     """Each transaction with its user's tier and whole days since
-    install (floored; negative before install). Inner join on user_id: a
-    shuffle join whose hot-user partitions AQE splits (skew join)."""
-    users = ua.select("user_id", "install_date", "tier")
-    joined = fact.join(users, "user_id", "inner")
+    install (floored; negative before install).
+
+    With ``ua``: an inner join on user_id (a shuffle join whose hot-user
+    partitions AQE splits). Without: ``fact`` already carries ``tier`` and
+    ``install_date`` (the staged tagged events) and no join is needed.
+    """
+    joined = fact if ua is None else fact.join(ua.select("user_id", "install_date", "tier"), "user_id", "inner")
     return joined.withColumn("day_diff", floored_days_since(F.col(ts), F.col("install_date")))
 
 
-def revenue_by_tier_day(iap: DataFrame, ads: DataFrame, ua: DataFrame) -> DataFrame:
+def revenue_by_tier_day(iap: DataFrame, ads: DataFrame, ua: DataFrame | None = None) -> DataFrame:
     """IAP and ads revenue per (tier, day since install).
 
-    The two facts are unioned and, when install dates are calendar dates,
-    first summed per (user, calendar day of the transaction): the day since
-    install then depends only on that day, so the result is exact. The sum
-    is combined map-side, so even a user holding a large share of all
-    transactions reaches the join as at most one row per active day, and
-    the join with the user table is never skewed. Install values with a
-    time of day fall back to the row-level join (AQE splits a skewed
-    partition there).
+    Facts tagged with ``tier`` / ``install_date`` (``ua`` None) are summed
+    directly: one aggregate, no join. Otherwise the facts are unioned and,
+    when install dates are calendar dates, first summed per (user, calendar
+    day of the transaction): the day since install then depends only on
+    that day, so the result is exact. The sum is combined map-side, so even
+    a user holding a large share of all transactions reaches the join as at
+    most one row per active day, and the join with the user table is never
+    skewed. Install values with a time of day fall back to the row-level
+    join (AQE splits a skewed partition there).
     """
-    facts = iap.select("user_id", "timestamp", F.col("price").cast("decimal(18,2)").alias("rev")).unionByName(
-        ads.select("user_id", "timestamp", F.col("revenue").cast("decimal(18,2)").alias("rev"))
+    tags = ("tier", "install_date") if ua is None else ()
+    facts = iap.select("user_id", "timestamp", F.col("price").cast("decimal(18,2)").alias("rev"), *tags).unionByName(
+        ads.select("user_id", "timestamp", F.col("revenue").cast("decimal(18,2)").alias("rev"), *tags)
     )
-    if isinstance(ua.schema["install_date"].dataType, T.DateType):
+    if ua is None:
+        joined = with_day_diff(facts)
+    elif isinstance(ua.schema["install_date"].dataType, T.DateType):
         per_day = (
             facts.where(F.col("user_id").isNotNull())
             .groupBy("user_id", F.to_date(F.col("timestamp").cast("timestamp")).alias("_day"))
@@ -84,6 +91,7 @@ def ltv_curve(
     max_day: int = 30,
     chosen: Sequence[str] | None = None,
     digits: int = 4,
+    tagged_facts: bool = False,
 ) -> DataFrame:
     """Per tier and day 0..max_day: revenue of that day (0 when none),
     cumulative revenue, cumulative revenue per user of the tier (LTV) and
@@ -92,7 +100,9 @@ def ltv_curve(
     The day spine is generated per tier with ``explode(sequence(...))`` (a
     generator on the tier rows, not a join), left-joined to the aggregated
     revenue; the running sum is a window over at most max_day+1 rows per
-    tier.
+    tier. ``tagged_facts``: ``iap`` / ``ads`` carry ``tier`` and
+    ``install_date`` (no fact-to-user join); ``ua`` still gives the tier's
+    user count and mean CPI.
     """
     tiers = ua.where(F.col("tier").isNotNull())
     if chosen is not None:
@@ -103,7 +113,7 @@ def ltv_curve(
     spine = stats.select(
         "tier", "n_users", "_cpi", "_n_cpi", F.explode(F.sequence(F.lit(0), F.lit(max_day))).alias("day_diff")
     )
-    rev = revenue_by_tier_day(iap, ads, ua).where(F.col("day_diff").between(0, max_day))
+    rev = revenue_by_tier_day(iap, ads, None if tagged_facts else ua).where(F.col("day_diff").between(0, max_day))
     curve = spine.join(rev, ["tier", "day_diff"], "left").withColumn(
         "rev", F.coalesce(F.col("rev"), F.lit(0)).cast("decimal(28,2)")
     )

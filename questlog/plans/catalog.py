@@ -203,25 +203,27 @@ def q_payer_kpis(spark, sf_dir):
     return revenue.payer_kpis(_users(_t(spark, sf_dir)))
 
 
-# D15-D17 join the facts to the user table (inner) to get install date and
-# tier, which already keeps only acquired users: no separate tier filter.
+# D15-D17 read purchases and ad views from the tagged events, which carry
+# the user's tier and install date: no fact-to-user join.
+TAGS = ("tier", "install_date")
 
 
 def q_iap_day_diff(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    d = revenue.with_day_diff(t.iap(), t.user_acquisition())
+    t, ev, ua = _dashboard(spark, sf_dir)
+    d = revenue.with_day_diff(iap_transactions_from_master(ev, TAGS))
     return d.select("user_id", "tier", "day_diff", round_money("price").alias("price"))
 
 
 def q_revenue_by_tier_day(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    r = revenue.revenue_by_tier_day(t.iap(), t.ads(), t.user_acquisition())
+    t, ev, ua = _dashboard(spark, sf_dir)
+    r = revenue.revenue_by_tier_day(iap_transactions_from_master(ev, TAGS), ad_impressions_from_master(ev, TAGS))
     return r.select("tier", "day_diff", round_money("rev").alias("rev"))
 
 
 def q_ltv_curve(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return revenue.ltv_curve(t.iap(), t.ads(), t.user_acquisition())
+    t, ev, ua = _dashboard(spark, sf_dir)
+    iap, ads = iap_transactions_from_master(ev, TAGS), ad_impressions_from_master(ev, TAGS)
+    return revenue.ltv_curve(iap, ads, ua, tagged_facts=True)
 
 
 def q_revenue_by_pack(spark, sf_dir):

@@ -99,15 +99,18 @@ def user_acquisition_from_driver(master: DataFrame, customer: DataFrame) -> Data
     )
 
 
-def iap_transactions_from_master(master: DataFrame) -> DataFrame:
+def iap_transactions_from_master(master: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Purchase rows in the IAP table's shape (``keep``: extra columns such
+    as the user tags of the staged tagged events)."""
     return master.where(F.col("event_name") == IAP_PURCHASE).select(
-        "user_id", F.col("event_ts").alias("timestamp"), F.col("revenue").alias("price"), "pack"
+        "user_id", F.col("event_ts").alias("timestamp"), F.col("revenue").alias("price"), "pack", *keep
     )
 
 
-def ad_impressions_from_master(master: DataFrame) -> DataFrame:
+def ad_impressions_from_master(master: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Ad reward rows in the ad-impressions table's shape."""
     return master.where(F.col("event_name") == AD_REWARD_CLAIM).select(
-        "user_id", F.col("event_ts").alias("timestamp"), F.col("ad_revenue").alias("revenue"), "placement"
+        "user_id", F.col("event_ts").alias("timestamp"), F.col("ad_revenue").alias("revenue"), "placement", *keep
     )
 
 
@@ -148,7 +151,7 @@ MASTER_EVENTS_DDL = (
     "event_name STRING, level_id INT, win_loss_status STRING, gold_earned BIGINT, gold_reward BIGINT, "
     "revenue DECIMAL(18,2), ad_revenue DECIMAL(18,2), pack STRING, placement STRING, duration DOUBLE"
 )
-ACQUIRED_EVENTS_DDL = MASTER_EVENTS_DDL + ", tier STRING, in_ua BOOLEAN"
+ACQUIRED_EVENTS_DDL = MASTER_EVENTS_DDL + ", tier STRING, install_date DATE, in_ua BOOLEAN"
 USER_ACQUISITION_DDL = (
     "user_id BIGINT, install_date DATE, source STRING, campaign_id STRING, cpi DECIMAL(18,2), tier STRING"
 )
@@ -238,16 +241,19 @@ class DriverTables:
         )
 
     def acquired_events_live(self) -> DataFrame:
-        """Every event tagged with its user's tier and whether the user is in
-        the acquisition table (a left join on user, one row per user on the
+        """Every event tagged with its user's tier, install date and whether
+        the user is in the acquisition table (a left join on user, one row per user on the
         right, so no event is duplicated or lost)."""
         users = self.user_acquisition().where(F.col("user_id").isNotNull()).select(
-            "user_id", "tier", F.lit(True).alias("_in")
+            "user_id", "tier", "install_date", F.lit(True).alias("_in")
         )
         me = self.master_events()
         joined = me.join(users, "user_id", "left")
         return joined.select(
-            *[F.col(c) for c in me.columns], "tier", F.coalesce(F.col("_in"), F.lit(False)).alias("in_ua")
+            *[F.col(c) for c in me.columns],
+            "tier",
+            "install_date",
+            F.coalesce(F.col("_in"), F.lit(False)).alias("in_ua"),
         )
 
     def acquired_events(self) -> DataFrame:

@@ -67,3 +67,25 @@ def test_tier_day_preaggregation_equals_row_level(spark):
     slow = revenue.with_day_diff(facts, ua).groupBy("tier", "day_diff").agg(F.sum("rev").alias("rev"))
     assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
     assert fast.where("day_diff < 0").count() > 0  # transactions before install are kept
+
+
+def test_tagged_facts_equal_joined_facts(spark):
+    from conftest import SF_SMALL
+    from questlog.operators import audience
+    from questlog.sources.driver_tables import DriverTables, ad_impressions_from_master, iap_transactions_from_master
+
+    t = DriverTables(spark, SF_SMALL)
+    ua = t.user_acquisition()
+    ev = audience.filter_tagged_by_tier(t.acquired_events())
+    tags = ("tier", "install_date")
+    iap_t, ads_t = iap_transactions_from_master(ev, tags), ad_impressions_from_master(ev, tags)
+
+    def same(a, b):
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    cols = ["user_id", "tier", "day_diff", "price"]
+    assert same(revenue.with_day_diff(iap_t).select(cols), revenue.with_day_diff(t.iap(), ua).select(cols))
+    assert same(revenue.revenue_by_tier_day(iap_t, ads_t), revenue.revenue_by_tier_day(t.iap(), t.ads(), ua))
+    assert same(revenue.ltv_curve(iap_t, ads_t, ua, tagged_facts=True), revenue.ltv_curve(t.iap(), t.ads(), ua))
+    # the tagged path has no join at all
+    assert "Join" not in physical_plan(revenue.with_day_diff(iap_t))
