@@ -89,3 +89,18 @@ def test_tagged_facts_equal_joined_facts(spark):
     assert same(revenue.ltv_curve(iap_t, ads_t, ua, tagged_facts=True), revenue.ltv_curve(t.iap(), t.ads(), ua))
     # the tagged path has no join at all
     assert "Join" not in physical_plan(revenue.with_day_diff(iap_t))
+
+
+def test_tagged_tier_filter_equals_semi_join_for_a_subset(spark):
+    from conftest import SF_SMALL
+    from questlog.operators import audience
+    from questlog.sources.driver_tables import DriverTables
+
+    t = DriverTables(spark, SF_SMALL)
+    chosen = ["Tier 2"]
+    tagged = audience.filter_tagged_by_tier(t.acquired_events(), chosen).select("event_id")
+    joined = audience.filter_by_tier(t.master_events(), t.user_acquisition(), chosen).select("event_id")
+    assert tagged.count() > 0
+    assert tagged.exceptAll(joined).count() == 0 and joined.exceptAll(tagged).count() == 0
+    curve = revenue.ltv_curve(t.iap(), t.ads(), t.user_acquisition(), chosen=chosen).collect()
+    assert {r["tier"] for r in curve} == {"Tier 2"} and len(curve) == 31
