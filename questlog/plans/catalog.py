@@ -393,6 +393,12 @@ def _engine(fn: Query) -> Query:
     return run
 
 
+def q_stream_level_outcomes_daily(spark, sf_dir):
+    from ..streaming.jobs import run_stream_level_outcomes_on_driver_tables
+
+    return run_stream_level_outcomes_on_driver_tables(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "retention_d1_d3_d7": _engine(q_retention),
     "retention_rate_d1_d7_d30": _engine(q_retention_rates),
@@ -436,4 +442,5 @@ QUERIES: dict[str, Query] = {
     "acquisition_csv": _engine(q_acquisition_csv),
     "stream_dau_exact": _engine(q_stream_dau_exact),
     "stream_economy_daily": _engine(q_stream_economy_daily),
+    "stream_level_outcomes_daily": _engine(q_stream_level_outcomes_daily),
 }

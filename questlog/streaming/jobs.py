@@ -274,3 +274,17 @@ def run_stream_economy_on_driver_tables(spark: SparkSession, sf_dir: str, sinks:
         "gold_source",
         "gold_sink",
     )
+
+
+def run_stream_level_outcomes_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T05 input end to end: attempts and wins per level and one-day
+    event-time window (the alert writer filters these rows)."""
+    run, ev, span = _driver_log_stream(spark, sf_dir, "stream_level_outcomes")
+    q = start(
+        level_outcome_stream(ev, delay=f"{span + 1} days", window=DAY),
+        batch_writer(f"{run}/mart"),
+        f"{run}/checkpoint",
+    )
+    q.awaitTermination()
+    latest = latest_per_key(f"{run}/mart", spark, ["window_start", "level_id"], ["attempts", "wins"])
+    return latest.select(F.col("window_start").cast("date").alias("date"), "level_id", "attempts", "wins")
