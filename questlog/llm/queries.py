@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .packing import op6_packing
 from .simhash import op1_simhash
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op6_packing": op6_packing,
 }
 
 ORACLE: dict[str, str] = {}
