@@ -75,9 +75,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
-def ordered_blocks(df: DataFrame, keys: list[str], blocks: int) -> DataFrame:
+def ordered_blocks(df: DataFrame, keys: list[str], blocks: int, ties: tuple[str, ...] = ()) -> DataFrame:
     """Rows of ``df`` dealt into ``blocks`` ranges of the order given by the
-    columns ``keys`` (nulls first), each range sorted in one partition. Adds
+    columns ``keys`` (nulls first; ``ties`` order rows of equal keys), each range
+    sorted in one partition. Only ``keys`` are read to find the ranges. Adds
 
     * ``_block``: the range the row is read in,
     * ``_role``: 0 for the block's own rows, -1 / 1 for copies of the row just
@@ -123,5 +124,5 @@ def ordered_blocks(df: DataFrame, keys: list[str], blocks: int) -> DataFrame:
 
     dealt = df.mapInArrow(deal, schema) if n else spark.createDataFrame([], schema)
     return dealt.repartition(blocks, "_block").sortWithinPartitions(
-        "_block", "_role", *[F.col(k).asc_nulls_first() for k in keys]
+        "_block", "_role", *[F.col(k).asc_nulls_first() for k in (*keys, *ties)]
     )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from .packing import op6_packing
 from .simhash import op1_simhash
+from .sketch import op8_sketch
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op6_packing": op6_packing,
+    "op8_sketch": op8_sketch,
 }
 
 ORACLE: dict[str, str] = {}
