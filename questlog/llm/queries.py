@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from .html import op4_html
 from .packing import op6_packing
 from .simhash import op1_simhash
 from .sketch import op8_sketch
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_html": op4_html,
     "op6_packing": op6_packing,
     "op8_sketch": op8_sketch,
 }
