@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .html import op4_html
 from .packing import op6_packing
+from .quality import op10_quality
 from .simhash import op1_simhash
 from .sketch import op8_sketch
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op4_html": op4_html,
     "op6_packing": op6_packing,
     "op8_sketch": op8_sketch,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {}
