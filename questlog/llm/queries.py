@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .html import op4_html
+from .language import op5_language
 from .packing import op6_packing
 from .quality import op10_quality
 from .simhash import op1_simhash
@@ -11,6 +12,7 @@ from .sketch import op8_sketch
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_html": op4_html,
+    "op5_language": op5_language,
     "op6_packing": op6_packing,
     "op8_sketch": op8_sketch,
     "op10_quality": op10_quality,
