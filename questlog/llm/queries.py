@@ -8,9 +8,11 @@ from .packing import op6_packing
 from .quality import op10_quality
 from .simhash import op1_simhash
 from .sketch import op8_sketch
+from .topk import op2_topk
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_topk": op2_topk,
     "op4_html": op4_html,
     "op5_language": op5_language,
     "op6_packing": op6_packing,
