@@ -5,6 +5,7 @@ from __future__ import annotations
 from .html import op4_html
 from .language import op5_language
 from .packing import op6_packing
+from .privacy import op9_privacy
 from .quality import op10_quality
 from .simhash import op1_simhash
 from .sketch import op8_sketch
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_packing": op6_packing,
     "op8_sketch": op8_sketch,
+    "op9_privacy": op9_privacy,
     "op10_quality": op10_quality,
 }
 
