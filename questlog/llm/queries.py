@@ -5,6 +5,7 @@ from __future__ import annotations
 from .html import op4_html
 from .language import op5_language
 from .packing import op6_packing
+from .pieces import op3_pieces
 from .privacy import op9_privacy
 from .quality import op10_quality
 from .simhash import op1_simhash
@@ -14,6 +15,7 @@ from .topk import op2_topk
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_topk": op2_topk,
+    "op3_pieces": op3_pieces,
     "op4_html": op4_html,
     "op5_language": op5_language,
     "op6_packing": op6_packing,
