@@ -203,9 +203,9 @@ def replacements(mentions: DataFrame, key: str) -> DataFrame:
     return joined.select("raw", F.expr(poured(key)).alias("replacement"))
 
 
-def rewrite(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
-    """``docs`` with surrogates in ``text_col`` and a last column ``_entities``:
-    how many mentions were replaced.
+def rewrite(docs: DataFrame, key: str = KEY, text_col: str = "text", count_as: str | None = None) -> DataFrame:
+    """``docs`` with surrogates in ``text_col``; with ``count_as``, a last column
+    of that name tells how many mentions were replaced.
 
     Null text stays null, with 0 mentions. Copies of a text are rewritten alike;
     repeated rows come out repeated. Other columns pass through, whatever their
@@ -217,7 +217,7 @@ def rewrite(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFram
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
     text = F.col(f"`{text_col}`")
     hit = F.coalesce(text.rlike(HINT) & text.rlike(ANY), F.lit(False))
-    rebuilt = lambda new, n: [*[(new if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in names], n.alias("_entities")]
+    rebuilt = lambda new, n: [*[(new if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in names], *([n.alias(count_as)] if count_as else [])]
     free = docs.where(~hit).select(row).select(*rebuilt(F.col(f"row.`{text_col}`"), F.lit(0)))
     hits = docs.where(hit).select(row, text.alias("text")).withColumn("h", F.sha2("text", 256))
     raws = hits.groupBy("h").agg(F.first(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("raws"))
@@ -236,4 +236,4 @@ def rewrite(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFram
 
 def op9_privacy(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return rewrite(docs).withColumnRenamed("_entities", "n_entities")
+    return rewrite(docs, count_as="n_entities")

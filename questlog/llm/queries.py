@@ -10,6 +10,7 @@ from .privacy import op9_privacy
 from .quality import op10_quality
 from .simhash import op1_simhash
 from .sketch import op8_sketch
+from .toolcalls import op7_toolcalls
 from .topk import op2_topk
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_html": op4_html,
     "op5_language": op5_language,
     "op6_packing": op6_packing,
+    "op7_toolcalls": op7_toolcalls,
     "op8_sketch": op8_sketch,
     "op9_privacy": op9_privacy,
     "op10_quality": op10_quality,

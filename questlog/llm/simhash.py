@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import components, prepare, table, text_batches, written
 
@@ -121,22 +122,57 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, words: int = WORD
     it has no other (then null). Empty table: no rows.
     """
     fps = written(fingerprints(docs, words=words), "fingerprints")
+    salted = grouped(fps, max_bits).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (
+        fps.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        .join(salted, ["fp", "salt"])
+        .select("doc_id", "fp", "component_id", "root")
+    )
+
+
+def grouped(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, component_id, root) for each distinct fingerprint of (doc_id, fp)."""
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
     linked = components(links(nodes, max_bits))
     member = nodes.join(linked, nodes.fp == linked.node).select("fp", "low", "root")
     lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
     named = member.join(lowest, "root").select("fp", "component_id", "root")
-    all_named = nodes.join(named.withColumn("found", F.lit(True)), "fp", "left").select(
+    return nodes.join(named.withColumn("found", F.lit(True)), "fp", "left").select(
         "fp",
         F.when(F.col("found"), F.col("component_id")).otherwise(F.col("low")).alias("component_id"),
         F.coalesce("root", "fp").alias("root"),
     )
-    salted = all_named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return (
-        fps.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-        .join(salted, ["fp", "salt"])
-        .select("doc_id", "fp", "component_id", "root")
+
+
+def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, words: int = WORDS) -> DataFrame:
+    """The row of ``docs`` with each component's smallest doc_id, with all its columns.
+
+    Where several rows have that doc_id in one component (or only nulls do), the
+    one with the lowest hash stays; repeated rows become one.
+    """
+    fps = written(fingerprints(docs, words=words), "fingerprints")
+    named = written(grouped(fps, max_bits), "components")
+    wanted = named.where("component_id is not null").select(F.col("component_id").alias("doc_id")).distinct()
+    times = fps.groupBy("doc_id").agg(F.count("*").alias("n"))
+    wanted = written(wanted.join(times, "doc_id"), "wanted")
+    key = docs["doc_id"].cast("long")
+    once, often = (wanted.where(c).select(F.col("doc_id").alias("_wanted")) for c in ("n = 1", "n > 1"))
+    single = docs.join(once, key == F.col("_wanted"), "left_semi")
+    # rows of one doc_id: told apart by their own fingerprints
+    rows = docs.join(often, key == F.col("_wanted"), "left_semi").unionByName(docs.where(docs["doc_id"].isNull()))
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("doc_id"), "text")
+
+    def run(batches):
+        for b, texts in text_batches(batches):
+            fp = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], names=["row", "doc_id", "fp"])
+
+    rows = rows.mapInArrow(run, T.StructType([*rows.schema.fields[:2], T.StructField("fp", T.LongType())]))
+    several = (
+        rows.join(named, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
     )
+    return single.unionByName(several)
 
 
 def op1_simhash(spark, sf_dir) -> DataFrame:
