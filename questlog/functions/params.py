@@ -21,17 +21,19 @@ VALUE_FIELDS = ("int_value", "float_value", "double_value", "string_value")
 def param(key: str, kind: str = "string", params: str = PARAMS_COLUMN) -> Column:
     """Value of the first entry whose key is ``key``; NULL when absent.
 
-    ``kind`` picks the typed field: ``int``, ``double`` (``float_value``,
-    else ``double_value``) or ``string``. This is the scalar subquery
-    ``(SELECT value.x FROM UNNEST(event_params) WHERE key = k)``; ``get``
-    (not ``[0]``) keeps a missing key NULL under ANSI mode.
+    ``kind`` picks the typed field: ``int``, ``double`` (``float_value``, else
+    ``double_value``, else ``int_value``: a whole price is logged as an int) or
+    ``string``. This is the scalar subquery
+    ``(SELECT value.x FROM UNNEST(event_params) WHERE key = k)`` as a position
+    in the array of keys: no lambda per key, and ``get`` (not ``[0]``) keeps a
+    missing key NULL under ANSI mode.
     """
-    hit = F.get(F.filter(F.col(params), lambda p: p["key"] == F.lit(key)), 0)
-    value = hit["value"]
+    at = F.array_position(F.col(params)["key"], key) - 1
+    value = F.get(F.col(params), at.cast("int"))["value"]
     if kind == "int":
         return value["int_value"]
     if kind in ("double", "float"):
-        return F.coalesce(value["float_value"], value["double_value"])
+        return F.coalesce(value["float_value"], value["double_value"], value["int_value"].cast("double"))
     if kind == "string":
         return value["string_value"]
     raise ValueError(f"unknown param kind {kind!r}")
@@ -79,7 +81,7 @@ def flatten_params(
     for name, (key, kind) in spec.items():
         c = param(key, kind, params)
         if name in cast:
-            c = c.cast(cast[name])
+            c = c.try_cast(cast[name])
         cols.append(c.alias(name))
     return df.select("*", *cols)
 

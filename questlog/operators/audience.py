@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio, round_money
+from ..schemas import AD_REWARD_CLAIM, IAP_PURCHASE
 from .engagement import daily_users
 
 
@@ -39,6 +40,25 @@ def user_revenue(ua: DataFrame, iap: DataFrame, ads: DataFrame) -> DataFrame:
         .groupBy("user_id")
         .agg(F.sum("_iap").alias("iap_rev"), F.sum("_ads").alias("ads_rev"))
     )
+    return _with_revenue(ua, per_user)
+
+
+def user_revenue_from_events(ua: DataFrame, ev: DataFrame) -> DataFrame:
+    """D02 from the event table: both revenues in one scan and one aggregate
+    (D01 for each event kind), then one join with the users."""
+    iap, ads = F.col("event_name") == IAP_PURCHASE, F.col("event_name") == AD_REWARD_CLAIM
+    facts = ev.where(iap | ads).select(
+        "user_id", F.when(iap, F.col("revenue")).alias("_iap"), F.when(ads, F.col("ad_revenue")).alias("_ads")
+    )
+    per_user = (
+        facts.where(F.col("user_id").isNotNull())
+        .groupBy("user_id")
+        .agg(F.sum("_iap").alias("iap_rev"), F.sum("_ads").alias("ads_rev"))
+    )
+    return _with_revenue(ua, per_user)
+
+
+def _with_revenue(ua: DataFrame, per_user: DataFrame) -> DataFrame:
     joined = ua.join(per_user, "user_id", "left")
     iap_rev = F.coalesce(F.col("iap_rev"), F.lit(0)).cast("decimal(28,2)")
     ads_rev = F.coalesce(F.col("ads_rev"), F.lit(0)).cast("decimal(28,2)")
@@ -148,3 +168,46 @@ def headline_kpis(ev: DataFrame, users: DataFrame, ads: DataFrame, digits: int =
         ratio("_dur", F.col("_n_dur") * 60, digits, num_scale=2).alias("avg_session_minutes"),
         ratio("_ads", "_users", digits).alias("ads_views_per_user"),
     )
+
+
+def headline_kpis_from_events(ev: DataFrame, ua: DataFrame, digits: int = 4) -> DataFrame:
+    """D07 from the tagged events of the users in ``ua``, in one scan.
+
+    Rows are first combined per (day, user), which carries everything the five
+    figures need; days are counted on top of that, and the number of users
+    joins as one more row of the final aggregate.
+    """
+    iap, ads = F.col("event_name") == IAP_PURCHASE, F.col("event_name") == AD_REWARD_CLAIM
+    money = F.when(iap, F.col("revenue")).when(ads, F.col("ad_revenue"))
+    per_user_day = ev.groupBy("event_date", "user_id").agg(
+        F.sum(money).alias("rev"),
+        F.sum(F.col("duration").cast("decimal(28,2)")).alias("dur"),
+        F.count("duration").alias("n_dur"),
+        F.count_if(ads).alias("ad"),
+    )
+    daily = per_user_day.groupBy("event_date").agg(
+        F.count("user_id").alias("pairs"), F.sum("rev").alias("rev"), F.sum("dur").alias("dur"),
+        F.sum("n_dur").alias("n_dur"), F.sum("ad").alias("ad"),
+    )
+    dated = F.col("event_date").isNotNull()
+    days = daily.select(
+        F.when(dated, F.col("pairs")).alias("dau"), F.col("rev").cast("decimal(28,2)").alias("rev"),
+        F.col("dur").cast("decimal(28,2)").alias("dur"), "n_dur", "ad", F.lit(0).cast("long").alias("users"),
+    )
+    none = {c: F.lit(None).cast(days.schema[c].dataType).alias(c) for c in ("dau", "rev", "dur", "n_dur", "ad")}
+    users = ua.agg(F.count(F.lit(1)).alias("users")).select(*none.values(), "users")
+    agg = days.unionByName(users).agg(
+        F.avg("dau").alias("_avg_dau"),
+        F.coalesce(F.sum("rev"), F.lit(0)).alias("_rev"),
+        F.sum("users").alias("_users"),
+        F.sum("dur").alias("_dur"),
+        F.coalesce(F.sum("n_dur"), F.lit(0)).alias("_n_dur"),
+        F.coalesce(F.sum("ad"), F.lit(0)).alias("_ads"),
+    )
+    return agg.select(
+        F.col("_avg_dau").cast("int").alias("avg_dau"),
+        round_money("_rev").alias("total_revenue"),
+        F.when(F.col("_users") > 0, ratio("_rev", "_users", digits, num_scale=2)).otherwise(F.lit(0.0)).alias("arpu"),
+        ratio("_dur", F.col("_n_dur") * 60, digits, num_scale=2).alias("avg_session_minutes"),
+        ratio("_ads", "_users", digits).alias("ads_views_per_user"),
+    )

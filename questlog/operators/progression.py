@@ -15,50 +15,56 @@ def user_max_level(ev: DataFrame) -> DataFrame:
     return ev.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.max("level_id").alias("max_level"))
 
 
-def level_funnel(ev: DataFrame, max_level: int = 20) -> DataFrame:
-    """D10 + D11: users whose highest level is at least L, for L = 1..max_level,
-    and each step as a percentage of the previous step.
+def level_funnel(ev: DataFrame, max_level: int | None = None) -> DataFrame:
+    """D10 + D11: users whose highest level is at least L, for every L from 1
+    to the highest level seen (or to ``max_level``, the report's length), and
+    each step as a percentage of the previous step.
 
-    Computed as one global aggregate over the per-user rows with one
-    conditional count per step (partial aggregation everywhere), then
-    unpivoted. No users x levels theta join, and levels above ``max_level``
-    still count for every step below them.
+    One aggregate to a histogram of highest levels, a spine from its maximum
+    and a running sum from the top: no users x levels theta join. The windows
+    run over one row per level.
     """
-    per_user = user_max_level(ev)
-    ml = F.col("max_level")
-    counts = per_user.agg(*[F.count_if(ml >= lvl).alias(f"l{lvl}") for lvl in range(1, max_level + 1)])
-    stack = ", ".join(f"{lvl}, l{lvl}" for lvl in range(1, max_level + 1))
-    steps = counts.selectExpr(f"stack({max_level}, {stack}) as (level, users)")
-    # one partition of max_level rows: bounded by the parameter, not the data
+    histogram = (
+        user_max_level(ev).where("max_level is not null").groupBy("max_level").agg(F.count(F.lit(1)).alias("n"))
+    )
+    top = F.max("max_level") if max_level is None else F.greatest(F.max("max_level"), F.lit(max_level).cast("long"))
+    spine = histogram.agg(top.alias("top"))
+    if max_level is not None:  # the report has all its steps even without a user
+        spine = spine.select(F.coalesce("top", F.lit(max_level).cast("long")).alias("top"))
+    spine = spine.where("top >= 1").select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("top").cast("long"))).alias("level"))
+    steps = spine.join(histogram, F.col("level") == F.col("max_level"), "left")
+    above = Window.orderBy(F.col("level").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = steps.select("level", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("users"))
     prev = F.lag("users").over(Window.orderBy("level"))
-    return steps.select(
+    funnel = steps.select(
         F.col("level").cast("int").alias("level"),
         F.concat(F.lit("Lvl "), F.col("level").cast("string")).alias("level_label"),
         F.col("users").cast("long").alias("users"),
         F.round(F.try_divide(F.col("users").cast("decimal(24,0)") * 100, prev.cast("decimal(24,0)")), 2)
         .cast("double")
         .alias("pct_previous"),
-    ).orderBy("level")
+    )
+    return (funnel if max_level is None else funnel.where(F.col("level") <= max_level)).orderBy("level")
 
 
-def churn_levels(ev: DataFrame, n: int = 10) -> DataFrame:
-    """Users whose highest level is L, for the ``n`` lowest levels
-    (ordered by level, as the source does; the limit is the feature)."""
-    return (
+def churn_levels(ev: DataFrame, n: int | None = None) -> DataFrame:
+    """Users whose highest level is L, for every level (or, as the
+    source's report has it, for the ``n`` lowest)."""
+    levels = (
         user_max_level(ev)
         .where(F.col("max_level").isNotNull())
         .groupBy(F.col("max_level").alias("level_id"))
         .agg(F.count(F.lit(1)).alias("churned_users"))
         .orderBy("level_id")
-        .limit(n)
     )
+    return levels if n is None else levels.limit(n)
 
 
 def level_outcomes(
-    ev: DataFrame, n: int = 20, outcomes: Sequence[str] = (LEVEL_COMPLETE, LEVEL_FAIL)
+    ev: DataFrame, n: int | None = None, outcomes: Sequence[str] = (LEVEL_COMPLETE, LEVEL_FAIL)
 ) -> DataFrame:
-    """Per level, the number of each outcome event (0 when none), for
-    the ``n`` lowest levels that have any event.
+    """Per level that has any event (or the report's ``n`` lowest), the
+    number of each outcome event (0 when none).
 
     This is ``pivot(event_name, outcomes).count()`` with the values given,
     written as one conditional count per outcome: no job discovers the
@@ -67,4 +73,5 @@ def level_outcomes(
     """
     rows = ev.where(F.col("level_id").isNotNull())
     counts = [F.count_if(F.col("event_name") == o).alias(o) for o in outcomes]
-    return rows.groupBy("level_id").agg(*counts).orderBy("level_id").limit(n)
+    levels = rows.groupBy("level_id").agg(*counts).orderBy("level_id")
+    return levels if n is None else levels.limit(n)

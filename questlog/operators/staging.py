@@ -15,7 +15,7 @@ from ..schemas import CORRUPT_COLUMN
 # master_events column -> (param key, typed field, cast). The source's
 # ``status`` and ``price`` params are renamed win_loss_status and revenue.
 DEFAULT_PARAM_SPEC: dict[str, tuple[str, str, str | None]] = {
-    "level_id": ("level_id", "int", "int"),
+    "level_id": ("level_id", "int", "long"),
     "gold_earned": ("gold_earned", "int", "long"),
     "win_loss_status": ("status", "string", None),
     "revenue": ("price", "double", "decimal(18,2)"),
@@ -31,11 +31,12 @@ DEFAULT_PARAM_SPEC: dict[str, tuple[str, str, str | None]] = {
 
 
 def is_corrupt(raw: DataFrame):
-    """Rows the JSON reader could not parse, or whose date is not yyyyMMdd."""
-    bad_date = F.col("event_date").isNotNull() & parse_yyyymmdd("event_date").isNull()
+    """Rows the JSON reader could not parse, whose date is missing or not
+    yyyyMMdd, or that name no event."""
+    bad = parse_yyyymmdd("event_date").isNull() | F.col("event_name").isNull()
     if CORRUPT_COLUMN in raw.columns:
-        return F.col(CORRUPT_COLUMN).isNotNull() | bad_date
-    return bad_date
+        return F.col(CORRUPT_COLUMN).isNotNull() | bad
+    return bad
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def build_master_events(
     for name, (key, kind, cast) in spec.items():
         c = param(key, kind)
         if cast:
-            c = c.cast(cast)
+            c = c.try_cast(cast)  # a value out of range is NULL, not a failed job
         cols.append(c.alias(name))
     fields = {f.name for f in raw.schema.fields}
     if "geo" in fields:

@@ -18,7 +18,7 @@ from ..functions.numeric import round_money
 from ..functions.params import explode_params, flatten_params, param
 from ..operators import audience, difficulty, economy, engagement, monetization, progression, retention, revenue
 from ..operators.staging import build_master_events, events_since
-from ..schemas import LEVEL_FAIL, RAW_EVENTS
+from ..schemas import CORRUPT_COLUMN, LEVEL_FAIL, RAW_EVENTS_WITH_CORRUPT
 from ..session import apply_engine_conf
 from ..sources.driver_tables import (
     INSTALL_WINDOW,
@@ -34,6 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the registered runs (fixed values).
 PINCH_THRESHOLD = 0.48
+# Lengths of the source's reports; without them the operators return every level and day.
+FUNNEL_LEVELS, CHURN_LEVELS, OUTCOME_LEVELS, LTV_DAYS = 20, 10, 20, 30
 FLOW_SINKS = {LEVEL_FAIL: 10}
 TIER_SUBSET = ("Tier 1", "Tier 3")
 SINCE_YYYYMMDD = "20240115"
@@ -49,14 +51,14 @@ def raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
 
 
-RAW_WITH_ID = T.StructType(RAW_EVENTS.fields + [T.StructField("event_id", T.LongType())])
+RAW_WITH_ID = T.StructType(RAW_EVENTS_WITH_CORRUPT.fields + [T.StructField("event_id", T.LongType())])
 
 
 def parsed_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NDJSON lines parsed with the explicit schema (PERMISSIVE), the same
     parser ``spark.read.json`` uses."""
     lines = raw_log_lines(spark, sf_dir)
-    return lines.select(F.from_json("value", RAW_WITH_ID, {"mode": "PERMISSIVE"}).alias("e")).select("e.*")
+    return lines.select(F.from_json("value", RAW_WITH_ID, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("e")).select("e.*")
 
 
 def _dashboard(spark: SparkSession, sf_dir: str):
@@ -144,7 +146,7 @@ def q_ua_roas(spark, sf_dir):
 
 
 def _users(t: DriverTables) -> DataFrame:
-    return audience.user_revenue(t.user_acquisition(), t.iap(), t.ads())
+    return audience.user_revenue_from_events(t.user_acquisition(), t.master_events())
 
 
 def q_user_revenue(spark, sf_dir):
@@ -172,7 +174,7 @@ def q_dau_any_event(spark, sf_dir):
 
 def q_headline_kpis(spark, sf_dir):
     t, ev, ua = _dashboard(spark, sf_dir)
-    return audience.headline_kpis(ev, _users(t), _facts(ev)[1])
+    return audience.headline_kpis_from_events(ev, ua)
 
 
 def q_tier_distribution(spark, sf_dir):
@@ -186,17 +188,17 @@ def q_user_max_level(spark, sf_dir):
 
 def q_level_funnel(spark, sf_dir):
     t, ev, ua = _dashboard(spark, sf_dir)
-    return progression.level_funnel(ev)
+    return progression.level_funnel(ev, FUNNEL_LEVELS)
 
 
 def q_churn_levels(spark, sf_dir):
     t, ev, ua = _dashboard(spark, sf_dir)
-    return progression.churn_levels(ev)
+    return progression.churn_levels(ev, CHURN_LEVELS)
 
 
 def q_level_outcomes(spark, sf_dir):
     t, ev, ua = _dashboard(spark, sf_dir)
-    return progression.level_outcomes(ev)
+    return progression.level_outcomes(ev, OUTCOME_LEVELS)
 
 
 def q_payer_kpis(spark, sf_dir):
@@ -216,14 +218,50 @@ def q_iap_day_diff(spark, sf_dir):
 
 def q_revenue_by_tier_day(spark, sf_dir):
     t, ev, ua = _dashboard(spark, sf_dir)
-    r = revenue.revenue_by_tier_day(iap_transactions_from_master(ev, TAGS), ad_impressions_from_master(ev, TAGS))
+    r = revenue.tier_day_sums(revenue.with_day_diff(revenue.revenue_facts(ev)))
     return r.select("tier", "day_diff", round_money("rev").alias("rev"))
 
 
 def q_ltv_curve(spark, sf_dir):
     t, ev, ua = _dashboard(spark, sf_dir)
-    iap, ads = iap_transactions_from_master(ev, TAGS), ad_impressions_from_master(ev, TAGS)
-    return revenue.ltv_curve(iap, ads, ua, tagged_facts=True)
+    sums = revenue.tier_day_sums(revenue.with_day_diff(revenue.revenue_facts(ev)))
+    return revenue.ltv_curve_of(sums, ua, LTV_DAYS)
+
+
+def q_ltv_curve_all_days(spark, sf_dir):
+    t, ev, ua = _dashboard(spark, sf_dir)
+    return revenue.ltv_curve_of(revenue.tier_day_sums(revenue.with_day_diff(revenue.revenue_facts(ev))), ua)
+
+
+def q_ltv_revenue_outside(spark, sf_dir):
+    """What the report's curve of days 0 to 10 leaves out."""
+    t, ev, ua = _dashboard(spark, sf_dir)
+    sums = revenue.tier_day_sums(revenue.with_day_diff(revenue.revenue_facts(ev)))
+    return revenue.revenue_outside_days(sums, 10)
+
+
+def q_level_funnel_all(spark, sf_dir):
+    return progression.level_funnel(_dashboard(spark, sf_dir)[1])
+
+
+def q_churn_levels_all(spark, sf_dir):
+    return progression.churn_levels(_dashboard(spark, sf_dir)[1])
+
+
+def q_level_outcomes_all(spark, sf_dir):
+    return progression.level_outcomes(_dashboard(spark, sf_dir)[1])
+
+
+def q_economy_flow_by_level(spark, sf_dir):
+    """C04 by date and level."""
+    ev = _t(spark, sf_dir).master_events()
+    return economy.economy_flow(ev, sinks=FLOW_SINKS, by=("event_date", "level_id"))
+
+
+def q_revenue_by_user(spark, sf_dir):
+    """Purchases per user."""
+    spent = audience.revenue_by_user(_t(spark, sf_dir).iap(), "price", "revenue")
+    return spent.select("user_id", round_money("revenue").alias("revenue"))
 
 
 def q_revenue_by_pack(spark, sf_dir):
@@ -430,6 +468,13 @@ QUERIES: dict[str, Query] = {
     "iap_day_diff": _engine(q_iap_day_diff),
     "revenue_by_tier_day": _engine(q_revenue_by_tier_day),
     "ltv_curve": _engine(q_ltv_curve),
+    "ltv_curve_all_days": _engine(q_ltv_curve_all_days),
+    "ltv_revenue_outside": _engine(q_ltv_revenue_outside),
+    "level_funnel_all": _engine(q_level_funnel_all),
+    "churn_levels_all": _engine(q_churn_levels_all),
+    "level_outcomes_all": _engine(q_level_outcomes_all),
+    "economy_flow_by_level": _engine(q_economy_flow_by_level),
+    "revenue_by_user": _engine(q_revenue_by_user),
     "revenue_by_pack": _engine(q_revenue_by_pack),
     "revenue_by_placement": _engine(q_revenue_by_placement),
     "raw_events_flatten": _engine(q_raw_events_flatten),

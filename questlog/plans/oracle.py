@@ -22,7 +22,7 @@ ME = f"""me AS (
     CASE event_type WHEN 'view' THEN 'session_start' WHEN 'click' THEN 'level_complete'
       WHEN 'error' THEN 'level_fail' WHEN 'purchase' THEN 'iap_purchase'
       WHEN 'signup' THEN 'ad_reward_claim' END AS event_name,
-    CASE WHEN event_type IN ('click', 'error') THEN CAST(event_id % 20 + 1 AS INTEGER) END AS level_id,
+    CASE WHEN event_type IN ('click', 'error') THEN CAST(event_id % 20 + 1 AS BIGINT) END AS level_id,
     CASE event_type WHEN 'click' THEN 'Win' WHEN 'error' THEN 'Fail' END AS win_loss_status,
     CASE WHEN event_type = 'click' THEN CAST(floor(value) AS BIGINT) END AS gold_earned,
     CASE WHEN event_type = 'signup' THEN CAST(50 AS BIGINT) END AS gold_reward,
@@ -62,8 +62,12 @@ USERS = """users AS (
       UNION ALL SELECT user_id, CAST(0 AS DECIMAL(18,2)), revenue FROM ads) f
     WHERE user_id IS NOT NULL GROUP BY 1) r USING (user_id)
 )"""
-COHORT = """cohort AS (SELECT user_pseudo_id, MIN(event_date) AS cohort_date FROM me GROUP BY 1),
-activity AS (SELECT DISTINCT user_pseudo_id, event_date FROM me)"""
+# every user's distinct days, numbered from the user's first one
+USER_DAYS = """user_days AS (
+  SELECT user_pseudo_id AS u, event_date AS d, first_value(event_date) OVER first_day AS first_d,
+    event_date - first_value(event_date) OVER first_day AS n
+  FROM (SELECT user_pseudo_id, event_date FROM me GROUP BY ALL)
+  WINDOW first_day AS (PARTITION BY user_pseudo_id ORDER BY event_date NULLS LAST))"""
 
 
 def with_(*ctes: str) -> str:
@@ -90,44 +94,36 @@ def _retention_rate(d: str, n: int) -> str:
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["retention_d1_d3_d7"] = with_(ME, COHORT) + """
-SELECT c.cohort_date,
-  COUNT(DISTINCT c.user_pseudo_id) AS cohort_size,
-  COUNT(DISTINCT CASE WHEN date_diff('day', c.cohort_date, a.event_date) = 1 THEN c.user_pseudo_id END) AS d1_retention,
-  COUNT(DISTINCT CASE WHEN date_diff('day', c.cohort_date, a.event_date) = 3 THEN c.user_pseudo_id END) AS d3_retention,
-  COUNT(DISTINCT CASE WHEN date_diff('day', c.cohort_date, a.event_date) = 7 THEN c.user_pseudo_id END) AS d7_retention
-FROM cohort c LEFT JOIN activity a ON c.user_pseudo_id = a.user_pseudo_id
-GROUP BY 1 ORDER BY 1 DESC"""
+def _active_on(n: int) -> str:
+    return f"count(*) FILTER (n = {n} AND u IS NOT NULL)"
+
+
+ORACLE["retention_d1_d3_d7"] = with_(ME, USER_DAYS) + f"""
+SELECT first_d AS cohort_date, count(DISTINCT u) AS cohort_size,
+  {_active_on(1)} AS d1_retention, {_active_on(3)} AS d3_retention, {_active_on(7)} AS d7_retention
+FROM user_days GROUP BY first_d"""
 
 ORACLE["retention_rate_d1_d7_d30"] = with_(
     ME,
-    COHORT,
-    """base AS (
-  SELECT c.cohort_date,
-    COUNT(DISTINCT c.user_pseudo_id) AS cohort_size,
-    COUNT(DISTINCT CASE WHEN date_diff('day', c.cohort_date, a.event_date) = 1 THEN c.user_pseudo_id END) AS d1,
-    COUNT(DISTINCT CASE WHEN date_diff('day', c.cohort_date, a.event_date) = 7 THEN c.user_pseudo_id END) AS d7,
-    COUNT(DISTINCT CASE WHEN date_diff('day', c.cohort_date, a.event_date) = 30 THEN c.user_pseudo_id END) AS d30
-  FROM cohort c LEFT JOIN activity a ON c.user_pseudo_id = a.user_pseudo_id GROUP BY 1)""",
+    USER_DAYS,
+    f"""base AS (SELECT first_d AS cohort_date, count(DISTINCT u) AS cohort_size,
+      {_active_on(1)} AS d1, {_active_on(7)} AS d7, {_active_on(30)} AS d30 FROM user_days GROUP BY first_d)""",
     "last AS (SELECT max(event_date) AS last_date FROM me)",
 ) + f"""
 SELECT cohort_date, cohort_size,
   {_retention_rate('d1', 1)} AS d1_retention_rate,
   {_retention_rate('d7', 7)} AS d7_retention_rate,
   {_retention_rate('d30', 30)} AS d30_retention_rate
-FROM base, last ORDER BY cohort_date DESC"""
+FROM base, last"""
 
 ORACLE["retention_matrix"] = with_(
     ME,
-    COHORT,
-    """cells AS (
-  SELECT c.cohort_date, CAST(date_diff('day', c.cohort_date, a.event_date) AS INTEGER) AS day_n, COUNT(*) AS users
-  FROM activity a JOIN cohort c ON a.user_pseudo_id = c.user_pseudo_id
-  WHERE a.event_date IS NOT NULL GROUP BY 1, 2)""",
+    USER_DAYS,
+    "cells AS (SELECT first_d AS cohort_date, CAST(n AS INTEGER) AS day_n, count(u) AS users FROM user_days WHERE d IS NOT NULL GROUP BY 1, 2)",
 ) + f"""
 SELECT cohort_date, day_n, users,
-  {ratio('users', 'max(CASE WHEN day_n = 0 THEN users END) OVER (PARTITION BY cohort_date)', 4)} AS rate
-FROM cells ORDER BY 1, 2"""
+  {ratio('users', 'first_value(users) OVER (PARTITION BY cohort_date ORDER BY day_n)', 4)} AS rate
+FROM cells"""
 
 ORACLE["economy_by_level"] = with_(ME) + f"""
 SELECT level_id,
@@ -193,15 +189,16 @@ FROM o WHERE wins < 0.48 * total_attempts AND total_attempts >= 0 ORDER BY win_r
 
 ORACLE["monetization_daily"] = with_(
     ME,
-    """ds AS (SELECT event_date, COUNT(DISTINCT user_id) AS dau,
-      COUNT(DISTINCT CASE WHEN event_name = 'iap_purchase' THEN user_id END) AS paying_users,
-      SUM(revenue) AS total_revenue FROM me GROUP BY 1)""",
+    # one row a user and day first, then one row a day
+    """user_day AS (SELECT event_date, user_id, bool_or(event_name = 'iap_purchase') AS paid, SUM(revenue) AS spent FROM me GROUP BY ALL)""",
+    """day AS (SELECT event_date, count(user_id) AS dau, count(user_id) FILTER (paid) AS paying_users, SUM(spent) AS total_revenue
+      FROM user_day GROUP BY event_date)""",
 ) + f"""
 SELECT event_date, dau, paying_users, {money('COALESCE(total_revenue, 0)')} AS total_revenue,
   {ratio('total_revenue', 'dau', 3, ns=2)} AS arpu,
   {ratio('total_revenue', 'paying_users', 3, ns=2)} AS arppu,
   {ratio('paying_users', 'dau', 4)} AS conversion_rate
-FROM ds ORDER BY event_date DESC"""
+FROM day"""
 
 ORACLE["user_ltv"] = with_(ME) + f"""
 SELECT user_id, {money('SUM(revenue)')} AS total_ltv FROM me WHERE event_name = 'iap_purchase' GROUP BY 1"""
@@ -429,3 +426,28 @@ ORACLE["stream_level_outcomes_daily"] = with_(ME) + """
 SELECT CAST(event_ts AS DATE) AS date, level_id, COUNT(*) AS attempts,
   COUNT(*) FILTER (WHERE win_loss_status = 'Win') AS wins
 FROM me WHERE event_name IN ('level_complete', 'level_fail') AND level_id IS NOT NULL GROUP BY 1, 2"""
+
+
+# ---- whole results beside the reports' first rows -------------------------------
+
+ORACLE["churn_levels_all"] = ORACLE["churn_levels"].replace("LIMIT 10", "")
+ORACLE["level_outcomes_all"] = ORACLE["level_outcomes"].replace("LIMIT 20", "")
+ORACLE["level_funnel_all"] = ORACLE["level_funnel"].replace(
+    "FROM range(1, 21) t(lvl)", "FROM range(1, (SELECT max(max_level) + 1 FROM ml)) t(lvl)"
+)
+ORACLE["ltv_curve_all_days"] = ORACLE["ltv_curve"].replace(
+    "CROSS JOIN (SELECT CAST(range AS INTEGER) AS day_diff FROM range(0, 31)) d",
+    """JOIN (SELECT tier, CAST(unnest(range(0, last + 1)) AS INTEGER) AS day_diff
+            FROM (SELECT tier, greatest(coalesce(max(day_diff), 0), 0) AS last FROM td GROUP BY 1)) d ON d.tier = ts.tier""",
+)
+ORACLE["ltv_revenue_outside"] = with_(ME, UA, IAP, ADS, IAPF, ADSF, _TIER_DAY) + f"""
+SELECT tier, {money('coalesce(SUM(rev) FILTER (day_diff < 0), 0)')} AS before_install,
+  {money('coalesce(SUM(rev) FILTER (day_diff > 10), 0)')} AS after_last_day
+FROM td WHERE day_diff IS NOT NULL GROUP BY 1"""
+ORACLE["economy_flow_by_level"] = with_(ME) + f"""
+SELECT event_date, level_id, gold_source, gold_sink, gold_source - gold_sink AS net_flow FROM (
+  SELECT event_date, level_id, CAST(SUM({_SRC}) AS BIGINT) AS gold_source, CAST(SUM({_SNK}) AS BIGINT) AS gold_sink
+  FROM me WHERE event_name IN ('level_complete', 'ad_reward_claim', 'level_fail') GROUP BY 1, 2) t"""
+ORACLE["revenue_by_user"] = with_(ME) + f"""
+SELECT user_id, {money('SUM(revenue)')} AS revenue FROM me
+WHERE event_name = 'iap_purchase' AND user_id IS NOT NULL GROUP BY 1"""

@@ -64,7 +64,7 @@ def master_events_from_driver(events: DataFrame) -> DataFrame:
         "CAST(ts AS DATE) AS event_date",
         "CAST(ts AS TIMESTAMP) AS event_ts",
         f"{_event_name_sql()} AS event_name",
-        f"CASE WHEN event_type IN ('click', 'error') THEN CAST(event_id % {LEVEL_CYCLE} + 1 AS INT) END AS level_id",
+        f"CASE WHEN event_type IN ('click', 'error') THEN CAST(event_id % {LEVEL_CYCLE} + 1 AS BIGINT) END AS level_id",
         "CASE event_type WHEN 'click' THEN 'Win' WHEN 'error' THEN 'Fail' END AS win_loss_status",
         "CASE WHEN event_type = 'click' THEN CAST(floor(value) AS BIGINT) END AS gold_earned",
         f"CASE WHEN event_type = 'signup' THEN CAST({AD_GOLD_REWARD} AS BIGINT) END AS gold_reward",
@@ -148,7 +148,7 @@ def raw_events_from_master(master: DataFrame) -> DataFrame:
 
 MASTER_EVENTS_DDL = (
     "event_id BIGINT, user_id BIGINT, user_pseudo_id BIGINT, event_date DATE, event_ts TIMESTAMP, "
-    "event_name STRING, level_id INT, win_loss_status STRING, gold_earned BIGINT, gold_reward BIGINT, "
+    "event_name STRING, level_id BIGINT, win_loss_status STRING, gold_earned BIGINT, gold_reward BIGINT, "
     "revenue DECIMAL(18,2), ad_revenue DECIMAL(18,2), pack STRING, placement STRING, duration DOUBLE"
 )
 ACQUIRED_EVENTS_DDL = MASTER_EVENTS_DDL + ", tier STRING, install_date DATE, in_ua BOOLEAN"

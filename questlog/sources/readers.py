@@ -33,20 +33,60 @@ def read_raw_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def data_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The data files under ``path`` (metadata only), in order."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    found = []
+    for one in [path] if isinstance(path, str) else path:
+        p = jvm.org.apache.hadoop.fs.Path(one)
+        listing = p.getFileSystem(conf).listFiles(p, True)
+        while listing.hasNext():
+            f = listing.next().getPath()
+            if not f.getName().startswith(("_", ".")):
+                found.append(f.toString())
+    return sorted(found)
+
+
+def header_groups(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Files by their first line: the writer keeps only the columns that exist,
+    so column sets and orders differ between files. One line of each file is read."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    groups: dict[str, list[str]] = {}
+    for f in data_files(spark, path):
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), "UTF-8"))
+        try:
+            header = lines.readLine()
+        finally:
+            lines.close()
+        if header is not None:
+            groups.setdefault(header.lstrip("\ufeff"), []).append(f)
+    return groups
+
+
 def _csv(spark: SparkSession, schema: StructType, path) -> DataFrame:
-    """CSV matched to ``schema`` by header name, not by position: the
-    writer keeps only the columns that exist, so the column set and order
-    vary. Every column is read as text (no inference pass) and cast to its
-    declared type by name; a missing column is NULL; a value that does not
-    parse is NULL (``try_cast``), never a failed job."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    present = {c.lower(): c for c in df.columns}
-    cols = []
-    for field in schema.fields:
-        src = present.get(field.name.lower())
-        value = F.col(f"`{src}`").try_cast(field.dataType) if src else F.lit(None).cast(field.dataType)
-        cols.append(value.alias(field.name))
-    return df.select(*cols)
+    """CSV matched to ``schema`` by header name, not by position: files are
+    read by groups of equal headers. Every column is read as text (no inference
+    pass) and cast to its declared type by name; a missing column is NULL; a
+    value that does not parse is NULL (``try_cast``), never a failed job."""
+    parts = []
+    for _, files in sorted(header_groups(spark, path).items()):
+        df = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(files)
+        present = {c.strip().lower(): c for c in reversed(df.columns)}
+        cols = []
+        for field in schema.fields:
+            src = present.get(field.name.lower())
+            value = F.col(f"`{src}`").try_cast(field.dataType) if src else F.lit(None).cast(field.dataType)
+            cols.append(value.alias(field.name))
+        parts.append(df.select(*cols))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def read_flat_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -62,11 +102,11 @@ def read_flat_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "user_id",
         "country",
         "os",
-        F.col("level_id").cast("int").alias("level_id"),
+        F.col("level_id").try_cast("long").alias("level_id"),
         F.col("status").alias("win_loss_status"),
         "weapon_used",
-        F.col("gold_earned").cast("long").alias("gold_earned"),
-        F.col("price").cast(MONEY).alias("revenue"),
+        F.col("gold_earned").try_cast("long").alias("gold_earned"),
+        F.col("price").try_cast(MONEY).alias("revenue"),
         "product_id",
         "duration",
     )
@@ -81,7 +121,7 @@ def read_user_acquisition(spark: SparkSession, path: str | list[str]) -> DataFra
         F.to_date(F.try_to_timestamp(F.col("install_date"))).alias("install_date"),
         "source",
         "campaign_id",
-        F.col("cpi").cast(MONEY).alias("cpi"),
+        F.col("cpi").try_cast(MONEY).alias("cpi"),
         "tier",
     )
 
@@ -90,7 +130,7 @@ def read_iap(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """IAP transactions CSV."""
     df = _csv(spark, IAP_CSV, path)
     return df.select(
-        "user_id", F.try_to_timestamp(F.col("timestamp")).alias("timestamp"), F.col("price").cast(MONEY).alias("price"), "pack"
+        "user_id", F.try_to_timestamp(F.col("timestamp")).alias("timestamp"), F.col("price").try_cast(MONEY).alias("price"), "pack"
     )
 
 
@@ -100,7 +140,7 @@ def read_ads(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return df.select(
         "user_id",
         F.try_to_timestamp(F.col("timestamp")).alias("timestamp"),
-        F.col("revenue").cast(MONEY).alias("revenue"),
+        F.col("revenue").try_cast(MONEY).alias("revenue"),
         "placement",
     )
 

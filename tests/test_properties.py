@@ -46,36 +46,45 @@ def as_set(df):
 def test_rewrites_equal_direct_sql(spark, seed):
     ev = spark.createDataFrame(random_events(seed), MASTER_SCHEMA)
     ev.createOrReplaceTempView("me_prop")
-    direct_retention = spark.sql(
-        """
-        WITH cohort AS (SELECT user_pseudo_id, MIN(event_date) AS cohort_date FROM me_prop GROUP BY 1),
-             activity AS (SELECT DISTINCT user_pseudo_id, event_date FROM me_prop)
-        SELECT c.cohort_date, COUNT(DISTINCT c.user_pseudo_id) AS cohort_size,
-          COUNT(DISTINCT CASE WHEN date_diff(a.event_date, c.cohort_date) = 1 THEN c.user_pseudo_id END),
-          COUNT(DISTINCT CASE WHEN date_diff(a.event_date, c.cohort_date) = 3 THEN c.user_pseudo_id END),
-          COUNT(DISTINCT CASE WHEN date_diff(a.event_date, c.cohort_date) = 7 THEN c.user_pseudo_id END)
-        FROM cohort c LEFT JOIN activity a ON c.user_pseudo_id = a.user_pseudo_id GROUP BY 1"""
-    )
-    assert as_set(retention.retention(ev)) == as_set(direct_retention)
-
-    direct_money = spark.sql(
-        """
-        SELECT event_date, COUNT(DISTINCT user_id) AS dau,
-          COUNT(DISTINCT CASE WHEN event_name = 'iap_purchase' THEN user_id END) AS paying_users,
-          CAST(COALESCE(SUM(revenue), 0) AS DOUBLE) AS total_revenue
-        FROM me_prop GROUP BY 1"""
-    )
+    rows = [r.asDict() for r in ev.collect()]
+    # retention from plain sets: the days of each user, numbered from the first
+    days = {}
+    for r in rows:
+        days.setdefault(r["user_pseudo_id"], set()).add(r["event_date"])
+    cohorts = {}
+    for user, seen in days.items():
+        first = min((x for x in seen if x), default=None)
+        size = cohorts.setdefault(first, [0, 0, 0, 0])
+        if user is not None:
+            size[0] += 1
+            for i, n in enumerate((1, 3, 7), 1):
+                size[i] += first is not None and first + dt.timedelta(days=n) in seen
+    want = sorted(((first, *size) for first, size in cohorts.items()), key=lambda row: tuple((x is None, str(x)) for x in row))
+    assert as_set(retention.retention(ev)) == want
+
+    money = {}
+    for r in rows:
+        users, payers, total = money.setdefault(r["event_date"], (set(), set(), []))
+        if r["user_id"] is not None:
+            users.add(r["user_id"])
+            if r["event_name"] == "iap_purchase":
+                payers.add(r["user_id"])
+        total.append(r["revenue"] or Decimal(0))
+    want = [(day, len(u), len(p), float(sum(t))) for day, (u, p, t) in money.items()]
+    want.sort(key=lambda row: tuple((x is None, str(x)) for x in row))
     got = monetization.monetization_daily(ev).select("event_date", "dau", "paying_users", "total_revenue")
-    assert as_set(got) == as_set(direct_money)
-
-    direct_funnel = spark.sql(
-        """
-        WITH ml AS (SELECT user_id, max(level_id) AS m FROM me_prop WHERE user_id IS NOT NULL GROUP BY 1)
-        SELECT l.id AS level, CAST(COUNT(ml.user_id) AS BIGINT) AS users
-        FROM range(1, 21) l LEFT JOIN ml ON ml.m >= l.id GROUP BY 1"""
-    )
-    got = progression.level_funnel(ev).select("level", "users")
-    assert as_set(got) == as_set(direct_funnel)
+    assert as_set(got) == want
+
+    for length in (20, None):  # the report's steps, and all of them
+        direct_funnel = spark.sql(
+            f"""
+            WITH ml AS (SELECT user_id, max(level_id) AS m FROM me_prop WHERE user_id IS NOT NULL GROUP BY 1),
+                 l AS (SELECT explode(sequence(1, {length or "(SELECT max(m) FROM ml)"})) AS id)
+            SELECT l.id AS level, CAST(COUNT(ml.user_id) AS BIGINT) AS users
+            FROM l LEFT JOIN ml ON ml.m >= l.id GROUP BY 1"""
+        )
+        got = progression.level_funnel(ev, length).select("level", "users")
+        assert as_set(got) == as_set(direct_funnel)
 
 
 @pytest.mark.parametrize("seed", [4, 5])

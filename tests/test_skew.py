@@ -102,5 +102,5 @@ def test_tagged_tier_filter_equals_semi_join_for_a_subset(spark):
     joined = audience.filter_by_tier(t.master_events(), t.user_acquisition(), chosen).select("event_id")
     assert tagged.count() > 0
     assert tagged.exceptAll(joined).count() == 0 and joined.exceptAll(tagged).count() == 0
-    curve = revenue.ltv_curve(t.iap(), t.ads(), t.user_acquisition(), chosen=chosen).collect()
+    curve = revenue.ltv_curve(t.iap(), t.ads(), t.user_acquisition(), 30, chosen=chosen).collect()
     assert {r["tier"] for r in curve} == {"Tier 2"} and len(curve) == 31
