@@ -19,7 +19,7 @@ from ..functions.params import explode_params, flatten_params, param
 from ..operators import audience, difficulty, economy, engagement, monetization, progression, retention, revenue
 from ..operators.staging import build_master_events, events_since
 from ..schemas import CORRUPT_COLUMN, LEVEL_FAIL, RAW_EVENTS_WITH_CORRUPT
-from ..session import apply_engine_conf
+from ..session import apply_engine_conf, partitions_for_input
 from ..sources.driver_tables import (
     INSTALL_WINDOW,
     DriverTables,
@@ -367,7 +367,7 @@ def _flat_csv(spark, sf_dir) -> str:
         F.col("revenue").cast("double").alias("price"),
         F.col("pack").alias("product_id"),
     )
-    folder, _ = staged_folder(spark, "flat_events_csv", [t._path("events")], lambda p: write_csv(flat, p, FLAT_CSV_COLUMNS))
+    folder, _ = staged_folder(spark, "flat_events_csv", [t._path("events")], lambda p: write_csv(flat, p, FLAT_CSV_COLUMNS), flat)
     return folder
 
 
@@ -388,7 +388,7 @@ def q_acquisition_csv(spark, sf_dir):
     )
     folder, _ = staged_folder(
         spark, "user_acquisition_csv", [t._path("events"), t._path("customer")],
-        lambda p: write_csv(ua, p, ua.columns),
+        lambda p: write_csv(ua, p, ua.columns), ua,
     )
     back = read_user_acquisition(spark, folder)
     return back.select("user_id", "install_date", "source", "campaign_id", round_money("cpi").alias("cpi"), "tier")
@@ -399,7 +399,7 @@ def q_raw_log_files(spark, sf_dir):
     source version), read back with the explicit schema and staged."""
     t = _t(spark, sf_dir)
     raw = t.raw_events().drop("event_id")
-    folder, _ = staged_folder(spark, "raw_log_json", [t._path("events")], lambda p: write_raw_events(raw, p))
+    folder, _ = staged_folder(spark, "raw_log_json", [t._path("events")], lambda p: write_raw_events(raw, p), raw)
     me = build_master_events(read_raw_events(spark, folder))
     return me.select(
         "user_id", "event_date", "event_name", "level_id", "win_loss_status", "gold_earned",
@@ -424,6 +424,7 @@ def _engine(fn: Query) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_engine_conf(spark)
+        partitions_for_input(spark, [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("events", "customer")])
         return fn(spark, sf_dir)
 
     run.__name__ = fn.__name__

@@ -9,7 +9,6 @@ are broadcast only after their real size is measured.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -102,14 +101,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     The value of ``spark.checkpoint.dir`` is used as given (SparkContext
-    picks it up at start). Only when it is unset (a bare local test session)
-    is a private folder created and registered with ``setCheckpointDir``;
-    the key itself cannot be changed at runtime.
+    picks it up at start). Only when it is unset in a local session (one
+    machine, as in tests) is a private folder created and registered with
+    ``setCheckpointDir``; on a cluster each executor would write to a disk of
+    its own and readers would miss files, so an unset key is an error there.
     """
     global _fallback_root
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _fallback_root is None:
         _fallback_root = tempfile.mkdtemp(prefix="questlog-ckpt-")
     sc = spark.sparkContext
@@ -130,7 +132,7 @@ def input_bytes(spark: SparkSession, paths) -> int:
 
 
 def configure_for_input(
-    spark: SparkSession, paths, bytes_per_partition: int = 256 * 1024 * 1024, max_partitions: int = 200_000
+    spark: SparkSession, paths, bytes_per_partition: int = 256 * 1024 * 1024
 ) -> int:
     """Size ``spark.sql.shuffle.partitions`` from the input: about one
     partition per ``bytes_per_partition`` of input, at least one per core.
@@ -140,17 +142,20 @@ def configure_for_input(
     Returns the number set."""
     cores = spark.sparkContext.defaultParallelism
     n = -(-input_bytes(spark, paths) // bytes_per_partition)
-    n = max(cores, min(max_partitions, n))
+    n = max(cores, n)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
 
 
+def partitions_for_input(spark: SparkSession, paths, bytes_per_partition: int = 256 * 1024 * 1024) -> None:
+    """Raise ``spark.sql.shuffle.partitions`` to what the input needs; a higher setting stays."""
+    n = -(-input_bytes(spark, paths) // bytes_per_partition)
+    if n > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for stream state and
     intermediate tables that must survive executor loss)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, "questlog", *parts])
-
-
-def local_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"

@@ -7,15 +7,13 @@ acquisition table, which is one aggregate per player plus one join.
 
 from __future__ import annotations
 
-import warnings
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import format_yyyymmdd
 from ..functions.params import to_event_params
-from ..schemas import AD_REWARD_CLAIM, IAP_PURCHASE, LEVEL_COMPLETE, LEVEL_FAIL, SESSION_START
-from .staged import staged_table
+from ..schemas import AD_REWARD_CLAIM, IAP_PURCHASE, LEVEL_COMPLETE, LEVEL_FAIL, MASTER_EVENTS_COLUMNS, SESSION_START
+from .staged import last_staged, staged_table
 
 # Driver event_type -> game event_name.
 EVENT_NAME_BY_TYPE = {
@@ -157,6 +155,13 @@ USER_ACQUISITION_DDL = (
 )
 
 
+def assert_unique_users(ua: DataFrame) -> None:
+    """The acquisition table has one row per user; a second one would double the user's events."""
+    twice = ua.where(F.col("user_id").isNotNull()).groupBy("user_id").count().where("count > 1")
+    if not twice.isEmpty():
+        raise ValueError("user_acquisition has several rows for a user")
+
+
 class DriverTables:
     """Lazy accessors over one scale-factor folder. Each DataFrame (a plan,
     not data) is built once per instance, so a query that needs the event
@@ -177,19 +182,6 @@ class DriverTables:
             self._memo[name] = build()
         return self._memo[name]
 
-    def _staged_or_live(self, name: str, staged, live) -> DataFrame:
-        """The staged table; if the shared folder cannot be written, the
-        same table computed on the fly (identical rows, no pushdown)."""
-
-        def build():
-            try:
-                return staged()
-            except Exception as exc:  # noqa: BLE001  (Py4J / IO errors)
-                warnings.warn(f"staging {name} failed ({type(exc).__name__}); computing it on the fly", stacklevel=3)
-                return live()
-
-        return self._get(name, build)
-
     def events(self) -> DataFrame:
         return self._get("events", lambda: read_table(self.spark, self.sf_dir, "events"))
 
@@ -201,81 +193,85 @@ class DriverTables:
         return self._get("master_events_live", lambda: master_events_from_driver(self.events()))
 
     def master_events(self) -> DataFrame:
-        """The staged table (partitioned by day, sorted by event name within
-        a day), or the live mapping when ``staged`` is off."""
+        """The typed events: the stored table without its user tags (a scan
+        reads only the columns asked for), or the live mapping when ``staged`` is off."""
         if not self.staged:
             return self.master_events_live()
-        return self._staged_or_live(
-            "master_events",
-            lambda: staged_table(
-                self.spark,
-                "master_events",
-                [self._path("events")],
-                self.master_events_live,
-                partition_by=("event_date",),
-                sort_within=("event_name", "user_id"),
-                schema=MASTER_EVENTS_DDL,
-            ),
-            self.master_events_live,
-        )
+        return self._get("master_events", lambda: self.acquired_events().select(*MASTER_EVENTS_COLUMNS))
 
     def user_acquisition_live(self) -> DataFrame:
-        return user_acquisition_from_driver(self.master_events(), self.customer())
+        return user_acquisition_from_driver(self.master_events_live(), self.customer())
 
     def user_acquisition(self) -> DataFrame:
         """One row per player (staged, sorted by user), or computed on the fly
         when ``staged`` is off."""
         if not self.staged:
             return self._get("ua", self.user_acquisition_live)
-        return self._staged_or_live(
+        return self._get(
             "ua",
             lambda: staged_table(
                 self.spark,
                 "user_acquisition",
                 [self._path("events"), self._path("customer")],
-                self.user_acquisition_live,
+                lambda files: self.user_acquisition_live(),
                 sort_within=("user_id",),
                 schema=USER_ACQUISITION_DDL,
             ),
-            self.user_acquisition_live,
         )
 
-    def acquired_events_live(self) -> DataFrame:
-        """Every event tagged with its user's tier, install date and whether
-        the user is in the acquisition table (a left join on user, one row per user on the
-        right, so no event is duplicated or lost)."""
+    def acquired_events_live(self, files: list[str] | None = None) -> DataFrame:
+        """Every event (of some source files) tagged with its user's tier,
+        install date and whether the user is in the acquisition table: a left
+        join on user, one row per user on the right (the acquisition aggregate
+        guarantees it, see :func:`assert_unique_users`), so no event is
+        duplicated or lost. Events without a user are kept out of the join."""
         users = self.user_acquisition().where(F.col("user_id").isNotNull()).select(
             "user_id", "tier", "install_date", F.lit(True).alias("_in")
         )
-        me = self.master_events()
-        joined = me.join(users, "user_id", "left")
-        return joined.select(
-            *[F.col(c) for c in me.columns],
-            "tier",
-            "install_date",
-            F.coalesce(F.col("_in"), F.lit(False)).alias("in_ua"),
+        me = self.master_events_live() if files is None else master_events_from_driver(self.spark.read.parquet(*files))
+        tagged = me.where(F.col("user_id").isNotNull()).join(users, "user_id", "left")
+        tagged = tagged.select(*me.columns, "tier", "install_date", F.coalesce(F.col("_in"), F.lit(False)).alias("in_ua"))
+        no_user = me.where(F.col("user_id").isNull()).select(
+            *me.columns, F.lit(None).cast("string").alias("tier"), F.lit(None).cast("date").alias("install_date"), F.lit(False).alias("in_ua")
         )
+        return tagged.unionByName(no_user)
 
     def acquired_events(self) -> DataFrame:
-        """``acquired_events_live`` staged like ``master_events``: the
-        dashboard marts read it with a pushed-down ``in_ua`` / ``tier``
-        filter instead of joining every event to the user table per query."""
+        """``acquired_events_live`` staged, partitioned by day and sorted by
+        event name within one: the one stored fact table. The dashboard marts
+        read it with a pushed-down ``in_ua`` / ``tier`` filter instead of
+        joining every event to the user table per query. New source files add a
+        part as long as no earlier user's tags change."""
         if not self.staged:
             return self._get("acquired", self.acquired_events_live)
-        return self._staged_or_live(
+        return self._get(
             "acquired",
             lambda: staged_table(
                 self.spark,
-                "acquired_events",
+                "tagged_events",
                 [self._path("events"), self._path("customer")],
                 self.acquired_events_live,
                 partition_by=("event_date",),
                 sort_within=("event_name", "user_id"),
                 schema=ACQUIRED_EVENTS_DDL,
+                appendable=self._tags_unchanged,
             ),
-            self.acquired_events_live,
         )
 
+    def _tags_unchanged(self) -> bool:
+        """Whether every user of the last staged fact table has the tags it has there."""
+        assert_unique_users(self.user_acquisition())
+        old = last_staged(self.spark, "tagged_events", ACQUIRED_EVENTS_DDL, [self._path("events"), self._path("customer")])
+        if old is None:
+            return False
+        seen = old.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+            F.max("tier").alias("_t"), F.max("install_date").alias("_d"), F.max("in_ua").alias("_i")
+        )
+        same = F.col("_t").eqNullSafe(F.col("tier")) & F.col("_d").eqNullSafe(F.col("install_date"))
+        now = self.user_acquisition().select("user_id", "tier", "install_date", F.lit(True).alias("_now"))
+        changed = seen.join(now, "user_id", "left").where(~(same & F.col("_i").eqNullSafe(F.coalesce("_now", F.lit(False)))))
+        return changed.isEmpty()
+
     def iap(self) -> DataFrame:
         return self._get("iap", lambda: iap_transactions_from_master(self.master_events()))
 

@@ -1,25 +1,31 @@
-"""Staged tables: the flattened ``master_events`` (and the acquisition
-dimension) written once as Parquet and read by every KPI query, as the
-source's queries read a stored ``master_events`` table.
-
-The table lives under the shared ``spark.checkpoint.dir`` and is keyed by
-a fingerprint of its sources (size, file count, modification time), so a
-changed source gets a new table. It is written to a temporary folder and
-renamed into place, so readers never see half a table and a writer that
-loses an executor (or the whole job) leaves no partial table behind.
+"""Staged tables: what many queries read, computed once per version of its
+sources and of its definition.
+
+A table is written to a folder of its own under the shared
+``spark.checkpoint.dir`` and published by a manifest written last, which lists
+every data file with its size: nothing is renamed, and a reader takes exactly
+the listed files' folders or builds the table again. The key covers path, size
+and time of every source file, and the definition (the analysed plan and the
+schema). When files were only added to the sources, a table whose rows each
+come from one source file gets another part from the added files instead of
+being written again.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
-STAGE_VERSION = "1"  # bump when a staged table's rows change for the same schema
+# From this number of parts on a table is written anew as one.
+MOST_PARTS = 16
 
 
 def _fs(spark: SparkSession, path: str):
@@ -28,15 +34,28 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
 
 
-def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
-    """Size, file count and modification time of each source (metadata
-    calls only; no data is read)."""
-    parts = [STAGE_VERSION]
+def files_of(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[int]]:
+    """Size and modification time of every file under ``paths`` (metadata only)."""
+    found = {}
     for path in paths:
         p, fs = _fs(spark, path)
-        summary = fs.getContentSummary(p)
-        status = fs.getFileStatus(p)
-        parts.append(f"{path}|{summary.getLength()}|{summary.getFileCount()}|{status.getModificationTime()}")
+        listing = fs.listFiles(p, True)
+        while listing.hasNext():
+            f = listing.next()
+            if not f.getPath().getName().startswith(("_", ".")):
+                found[f.getPath().toString()] = [f.getLen(), f.getModificationTime()]
+    return found
+
+
+def definition(df: DataFrame, *more: str) -> str:
+    """A hash of how ``df`` is computed: its analysed plan without expression
+    numbers and file places, and its schema."""
+    plan = df._jdf.queryExecution().analyzed().toString()  # noqa: SLF001
+    plan = re.sub(r"#\d+L?|plan_id=\d+|\[id=\d+\]|\w+:/\S+", "", plan)
+    return _hash(plan, df.schema.json(), *more)
+
+
+def _hash(*parts: str) -> str:
     return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:16]
 
 
@@ -45,64 +64,107 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _read_json(spark: SparkSession, path: str) -> dict | None:
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return json.loads(lines.readLine() or "null")
+    except ValueError:
+        return None
+    finally:
+        lines.close()
+
+
+def _write_json(spark: SparkSession, path: str, what: dict) -> None:
+    """One object, put in place by closing it."""
+    p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(json.dumps(what).encode())
+    out.close()
+
+
+def _data(spark: SparkSession, folder: str) -> dict[str, int]:
+    return {f: size for f, (size, _) in files_of(spark, [folder]).items()}
+
+
+def _whole(spark: SparkSession, manifest: dict | None) -> bool:
+    """Whether every file the manifest lists is there with its size."""
+    return bool(manifest) and all(
+        exists(spark, part) and _data(spark, part) == listed for part, listed in manifest["parts"].items()
+    )
+
+
 def staged_table(
     spark: SparkSession,
     name: str,
     sources: Sequence[str],
-    build: Callable[[], DataFrame],
+    build: Callable[[list[str] | None], DataFrame],
     partition_by: Sequence[str] = (),
     sort_within: Sequence[str] = (),
     schema: str | None = None,
+    appendable: Callable[[], bool] | None = None,
 ) -> DataFrame:
-    """Read the staged ``name`` for these sources, building it first if
-    needed. ``build`` returns the (lazy) DataFrame to store; ``schema``
-    (DDL, optional) fixes column order and types on read, partition
-    columns included."""
-    key = fingerprint(spark, sources)
-    if schema:  # a changed definition gets a new table
-        key = hashlib.sha1(f"{key}|{schema}".encode()).hexdigest()[:16]
-    final = scratch_path(spark, "staged", f"{name}-{key}")
-    if not exists(spark, f"{final}/_SUCCESS"):
-        df = build()
-        tmp = f"{final}.tmp-{uuid.uuid4().hex}"
-        write_staged(df, tmp, partition_by, sort_within)
-        _publish(spark, tmp, final)
-        schema = schema or df.schema
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(final)
+    """Read the staged ``name`` for these sources, building it first if needed.
+
+    ``build(None)`` returns the (lazy) DataFrame to store; ``schema`` (DDL,
+    optional) fixes column order and types on read, partition columns included.
+    With ``appendable``, ``build(files)`` returns what some files of the first
+    source add; it is used when files were only added there and ``appendable()``
+    holds (earlier rows stay as they are).
+    """
+    defined = definition(build(None), schema or "", ",".join(partition_by), ",".join(sort_within))
+    now = files_of(spark, sources)
+    root = scratch_path(spark, "staged")
+    version = _hash(defined, json.dumps(sorted(now.items())))
+    place, latest = f"{root}/{name}-{version}.json", f"{root}/{name}-{_hash(schema or '', *sources)}.latest.json"
+    manifest = _read_json(spark, place)
+    if not _whole(spark, manifest):
+        before = _read_json(spark, latest) if appendable else None
+        added = sorted(set(now) - set((before or {}).get("sources", {})))
+        grown = before and before.get("defined") == defined and added and all(now.get(f) == v for f, v in before["sources"].items())
+        own = files_of(spark, sources[:1]) if grown else {}
+        parts: dict[str, dict[str, int]] = {}
+        files = None
+        if grown and set(added) <= set(own) and len(before["parts"]) < MOST_PARTS and _whole(spark, before) and appendable():
+            parts, files = before["parts"], added
+        folder = f"{root}/{name}-{version}-{uuid.uuid4().hex}"
+        write_staged(build(files), folder, partition_by, sort_within)
+        manifest = {"parts": {**parts, folder: _data(spark, folder)}, "sources": now, "defined": defined}
+        _write_json(spark, place, manifest)
+        _write_json(spark, latest, manifest)
+    shape = schema or build(None).schema
+    return reduce(DataFrame.unionByName, [spark.read.schema(shape).parquet(part) for part in manifest["parts"]])
+
+
+def last_staged(spark: SparkSession, name: str, schema: str, sources: Sequence[str]) -> DataFrame | None:
+    """The last table published under ``name`` for these sources, whatever their version; None if there is none."""
+    root = scratch_path(spark, "staged")
+    manifest = _read_json(spark, f"{root}/{name}-{_hash(schema, *sources)}.latest.json")
+    if not _whole(spark, manifest):
+        return None
+    return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(part) for part in manifest["parts"]])
 
 
 def staged_folder(
-    spark: SparkSession, name: str, sources: Sequence[str], write: Callable[[str], object]
+    spark: SparkSession, name: str, sources: Sequence[str], write: Callable[[str], object], of: DataFrame
 ) -> tuple[str, object | None]:
-    """A folder produced by ``write(path)`` once per source version (same
-    publish-by-rename rule as :func:`staged_table`). Returns the folder and
-    what ``write`` returned (None when the folder already existed)."""
-    final = scratch_path(spark, "staged", f"{name}-{fingerprint(spark, sources)}")
-    if exists(spark, final):
-        return final, None
-    tmp = f"{final}.tmp-{uuid.uuid4().hex}"
-    result = write(tmp)
-    _publish(spark, tmp, final)
-    return final, result
-
-
-def _publish(spark: SparkSession, tmp: str, final: str) -> None:
-    """Move a finished table into place. A directory rename onto an existing
-    directory would nest it, so an existing (complete) table wins and our
-    copy is dropped; a copy nested by a lost race is removed."""
-    src, fs = _fs(spark, tmp)
-    dst, _ = _fs(spark, final)
-    if fs.exists(dst):
-        fs.delete(src, True)
-        return
-    if not fs.rename(src, dst) and not fs.exists(dst):
-        raise OSError(f"could not move staged table into {final}")
-    nested, _ = _fs(spark, f"{final}/{tmp.rsplit('/', 1)[-1]}")
-    if fs.exists(nested):
-        fs.delete(nested, True)
-    if fs.exists(src):
-        fs.delete(src, True)
+    """A folder produced by ``write(path)`` once per version of the sources and
+    of ``of``, the DataFrame it writes (same manifest rule as
+    :func:`staged_table`). Returns the folder and what ``write`` returned (None
+    when the folder was there)."""
+    now = files_of(spark, sources)
+    root = scratch_path(spark, "staged")
+    place = f"{root}/{name}-{_hash(definition(of), json.dumps(sorted(now.items())))}.json"
+    manifest = _read_json(spark, place)
+    if _whole(spark, manifest):
+        return next(iter(manifest["parts"])), None
+    folder = f"{place.removesuffix('.json')}-{uuid.uuid4().hex}"
+    result = write(folder)
+    _write_json(spark, place, {"parts": {folder: _data(spark, folder)}, "sources": now})
+    return folder, result
 
 
 def write_staged(df: DataFrame, path: str, partition_by: Sequence[str], sort_within: Sequence[str]) -> None:

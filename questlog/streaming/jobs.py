@@ -238,6 +238,7 @@ def _driver_log_stream(spark: SparkSession, sf_dir: str, name: str, chunks: int
         f"raw_log_{chunks}",
         [t._path("events")],  # noqa: SLF001
         lambda path: write_log_in_arrival_order(raw, path, chunks=chunks),
+        raw,
     )
     span = arrival_span(raw, chunks)
     # files of a later arrival are newer, so a batch never mixes in older days
