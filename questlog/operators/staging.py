@@ -22,6 +22,9 @@ DEFAULT_PARAM_SPEC: dict[str, tuple[str, str, str | None]] = {
     "gold_reward": ("gold_reward", "int", "long"),
     "placement": ("placement", "string", None),
     "product_id": ("product_id", "string", None),
+    "pack": ("product_id", "string", None),
+    "ad_revenue": ("ad_revenue", "double", "decimal(18,2)"),
+    "duration": ("duration", "double", "double"),
     "difficulty": ("difficulty", "string", None),
     "weapon_used": ("weapon_used", "string", None),
     "death_reason": ("death_reason", "string", None),
@@ -52,6 +55,10 @@ def build_master_events(
     """Parse the date, flatten the parameters, project struct fields and
     cast money; corrupt rows are left out (see :func:`quarantine`).
 
+    Without an ``event_id`` in the log (or in ``keep``) each event gets a hash
+    of its fields as one: a tie-break that is the same on every run. The result
+    has every column of the ``master_events`` contract, so all marts read it.
+
     ``event_date`` stays the session's date from the log: it is never
     derived from ``event_timestamp`` (late events of a session copy it).
     """
@@ -74,6 +81,9 @@ def build_master_events(
     if "device" in fields:
         cols += [F.col("device.mobile_os").alias("os"), F.col("device.category").alias("device_category")]
     cols += [F.col(c) for c in keep]
+    if "event_id" not in keep:
+        own = F.col("event_id") if "event_id" in fields else F.xxhash64(*[c for c in raw.columns if c != CORRUPT_COLUMN])
+        cols.append(own.alias("event_id"))
     return raw.where(~is_corrupt(raw)).select(*cols)
 
 

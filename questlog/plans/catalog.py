@@ -29,6 +29,7 @@ from ..sources.driver_tables import (
 from ..sources.readers import read_flat_events, read_raw_events, read_user_acquisition
 from ..sources.sinks import write_csv, write_raw_events
 from ..sources.staged import staged_folder
+from .files import FILE_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -489,4 +490,5 @@ QUERIES: dict[str, Query] = {
     "stream_dau_exact": _engine(q_stream_dau_exact),
     "stream_economy_daily": _engine(q_stream_economy_daily),
     "stream_level_outcomes_daily": _engine(q_stream_level_outcomes_daily),
+    **{name: _engine(fn) for name, fn in FILE_QUERIES.items()},
 }

@@ -451,3 +451,36 @@ SELECT event_date, level_id, gold_source, gold_sink, gold_source - gold_sink AS
 ORACLE["revenue_by_user"] = with_(ME) + f"""
 SELECT user_id, {money('SUM(revenue)')} AS revenue FROM me
 WHERE event_name = 'iap_purchase' AND user_id IS NOT NULL GROUP BY 1"""
+
+# ---- runs that start from files ---------------------------------------------------
+
+ORACLE["iap_csv"] = with_(ME, IAP) + f"""
+SELECT CAST(user_id AS VARCHAR) AS user_id, timestamp, {money('price')} AS price, pack FROM iap"""
+ORACLE["ads_csv"] = with_(ME, ADS) + f"""
+SELECT CAST(user_id AS VARCHAR) AS user_id, timestamp, {money('revenue')} AS revenue, placement FROM ads"""
+ORACLE["log_user_revenue"] = ORACLE["files_user_revenue"] = ORACLE["user_revenue"].replace(
+    "SELECT user_id, install_date, source", "SELECT CAST(user_id AS VARCHAR) AS user_id, install_date, source"
+)
+ORACLE["files_revenue_by_tier_day"] = ORACLE["revenue_by_tier_day"]
+ORACLE["log_headline_kpis"] = ORACLE["headline_kpis"]
+ORACLE["log_ltv_curve"] = ORACLE["ltv_curve"]
+ORACLE["log_wallet_balance"] = ORACLE["wallet_balance"].replace(
+    "SELECT user_id, event_id,", "SELECT CAST(user_id AS VARCHAR) AS user_id, event_ts,"
+)
+ORACLE["log_quarantine"] = """
+SELECT 'events' AS side, count(*) AS n FROM events
+UNION ALL SELECT 'quarantine', 5 * count(*) FILTER (event_id % 100 = 0) FROM events"""
+ORACLE["nested_structs"] = with_(ME) + """
+SELECT event_id, CAST(c_nationkey AS VARCHAR) AS country, c_name AS city, c_mktsegment AS os,
+  CASE WHEN c_custkey IS NOT NULL THEN 'mobile' END AS device_category
+FROM me LEFT JOIN customer ON user_id = c_custkey"""
+ORACLE["mart_replaced_day"] = ORACLE["economy_flow"]
+ORACLE["views_sql"] = with_(ME, UA) + """
+SELECT ua.source, event_name, count(*) AS events, count(DISTINCT me.user_id) AS users
+FROM me JOIN ua ON me.user_id = ua.user_id GROUP BY 1, 2"""
+ORACLE["stream_pinch_alert"] = with_(ME) + """
+SELECT event_date AS date, level_id, COUNT(*) AS attempts, COUNT(*) FILTER (win_loss_status = 'Win') AS wins
+FROM me WHERE event_name IN ('level_complete', 'level_fail') AND level_id IS NOT NULL
+GROUP BY 1, 2 HAVING wins < 0.48 * attempts"""
+ORACLE["stream_dau_approx"] = with_(ME) + """
+SELECT DISTINCT event_date AS date, TRUE AS within_bound FROM me WHERE event_name = 'session_start'"""

@@ -81,17 +81,20 @@ def dau_approx_stream(ev: DataFrame, delay: str = "2 days", user: str = "user_ps
 
 
 def economy_window_stream(
-    ev: DataFrame, delay: str = "1 hour", window: str = DAY, sink_events: dict[str, int] | None = None
+    ev: DataFrame, delay: str = "1 hour", window: str = DAY, sink_events: dict[str, int] | None = None, by_session_day: bool = False
 ) -> DataFrame:
-    """Revenue and gold flow per tumbling event-time window."""
+    """Revenue and gold flow per tumbling event-time window.
+    ``by_session_day``: the session's date is the event time, as in the batch
+    form, so a session past midnight counts on the day it began."""
+    ev = session_day_time(ev) if by_session_day else ev.withColumn("day_time", F.col("event_ts"))
     sink_events = sink_events or {}
     sink = F.lit(0).cast("long")
     for name, amount in sink_events.items():
         sink = sink + F.when(F.col("event_name") == name, F.lit(amount)).otherwise(0)
     src = F.coalesce(F.col("gold_earned"), F.lit(0)) + F.coalesce(F.col("gold_reward"), F.lit(0))
     return (
-        ev.withWatermark("event_ts", delay)
-        .groupBy(F.window("event_ts", window).alias("w"))
+        ev.withWatermark("day_time", delay)
+        .groupBy(F.window("day_time", window).alias("w"))
         .agg(
             F.sum("revenue").alias("revenue"),
             F.sum(src).alias("gold_source"),
@@ -101,12 +104,13 @@ def economy_window_stream(
     )
 
 
-def level_outcome_stream(ev: DataFrame, delay: str = "1 hour", window: str = "1 hour") -> DataFrame:
-    """T05 input: attempts and wins per (window, level)."""
+def level_outcome_stream(ev: DataFrame, delay: str = "1 hour", window: str = "1 hour", by_session_day: bool = False) -> DataFrame:
+    """T05 input: attempts and wins per (window, level); ``by_session_day`` as in :func:`economy_window_stream`."""
+    ev = session_day_time(ev) if by_session_day else ev.withColumn("day_time", F.col("event_ts"))
     rows = ev.where(F.col("event_name").isin(LEVEL_COMPLETE, LEVEL_FAIL) & F.col("level_id").isNotNull())
     return (
-        rows.withWatermark("event_ts", delay)
-        .groupBy(F.window("event_ts", window).alias("w"), "level_id")
+        rows.withWatermark("day_time", delay)
+        .groupBy(F.window("day_time", window).alias("w"), "level_id")
         .agg(F.count(F.lit(1)).alias("attempts"), F.count_if(F.col("win_loss_status") == WIN).alias("wins"))
         .select(F.col("w.start").alias("window_start"), "level_id", "attempts", "wins")
     )
@@ -123,17 +127,15 @@ def batch_writer(out_path: str, fmt: str = "parquet") -> Callable[[DataFrame, in
     return write
 
 
-def pinch_alert_writer(out_path: str, threshold: float = 0.30, min_attempts: int = 1):
+def pinch_alert_writer(out_path: str, threshold: float = 0.30, min_attempts: int = 1, retract: bool = False):
     """Aggregate first, then keep windows/levels whose win rate is below
-    the threshold; written idempotently per batch."""
+    the threshold; written idempotently per batch. ``retract``: every updated
+    row is written with a column ``alert``, so a later batch can take an alert back."""
     write = batch_writer(out_path)
 
     def alert(batch: DataFrame, batch_id: int) -> None:
-        hard = batch.where(
-            (F.col("attempts") >= min_attempts)
-            & (F.col("wins") < F.lit(Decimal(str(threshold))) * F.col("attempts"))
-        )
-        write(hard, batch_id)
+        low = (F.col("attempts") >= min_attempts) & (F.col("wins") < F.lit(Decimal(str(threshold))) * F.col("attempts"))
+        write(batch.withColumn("alert", low) if retract else batch.where(low), batch_id)
 
     return alert
 
@@ -263,7 +265,7 @@ def run_stream_economy_on_driver_tables(spark: SparkSession, sf_dir: str, sinks:
     """T04 end to end: revenue and gold flow per one-day event-time window."""
     run, ev, span = _driver_log_stream(spark, sf_dir, "stream_economy")
     q = start(
-        economy_window_stream(ev, delay=f"{span + 1} days", window=DAY, sink_events=sinks),
+        economy_window_stream(ev, delay=f"{span + 1} days", window=DAY, sink_events=sinks, by_session_day=True),
         batch_writer(f"{run}/mart"),
         f"{run}/checkpoint",
     )
@@ -282,10 +284,31 @@ def run_stream_level_outcomes_on_driver_tables(spark: SparkSession, sf_dir: str)
     event-time window (the alert writer filters these rows)."""
     run, ev, span = _driver_log_stream(spark, sf_dir, "stream_level_outcomes")
     q = start(
-        level_outcome_stream(ev, delay=f"{span + 1} days", window=DAY),
+        level_outcome_stream(ev, delay=f"{span + 1} days", window=DAY, by_session_day=True),
         batch_writer(f"{run}/mart"),
         f"{run}/checkpoint",
     )
     q.awaitTermination()
     latest = latest_per_key(f"{run}/mart", spark, ["window_start", "level_id"], ["attempts", "wins"])
     return latest.select(F.col("window_start").cast("date").alias("date"), "level_id", "attempts", "wins")
+
+
+def run_stream_pinch_alert_on_driver_tables(spark: SparkSession, sf_dir: str, threshold: float) -> DataFrame:
+    """T05 end to end: days and levels whose latest win rate is below ``threshold``."""
+    run, ev, span = _driver_log_stream(spark, sf_dir, "stream_pinch_alert")
+    q = start(
+        level_outcome_stream(ev, delay=f"{span + 1} days", window=DAY, by_session_day=True),
+        pinch_alert_writer(f"{run}/mart", threshold, retract=True),
+        f"{run}/checkpoint",
+    )
+    q.awaitTermination()
+    latest = latest_per_key(f"{run}/mart", spark, ["window_start", "level_id"], ["attempts", "wins", "alert"]).where("alert")
+    return latest.select(F.col("window_start").cast("date").alias("date"), "level_id", "attempts", "wins")
+
+
+def run_stream_dau_approx_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T03 end to end: approximate DAU per day."""
+    run, ev, span = _driver_log_stream(spark, sf_dir, "stream_dau_approx")
+    q = start(dau_approx_stream(ev, delay=f"{span + 1} days"), batch_writer(f"{run}/mart"), f"{run}/checkpoint")
+    q.awaitTermination()
+    return latest_per_key(f"{run}/mart", spark, ["date"], ["dau_approx"])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -106,6 +108,8 @@ def test_checkpoint_folder_fallback_when_unset():
             return default
 
     class Ctx:
+        master = "local[2]"
+
         def __init__(self):
             self.dir = None
 
@@ -123,3 +127,33 @@ def test_checkpoint_folder_fallback_when_unset():
     root = session.ensure_checkpoint_dir(fake)
     assert os.path.isdir(root) and fake.sparkContext.dir == root
     assert session.ensure_checkpoint_dir(fake) == root  # one folder per process
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):  # executors have disks of their own
+        fake.sparkContext.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.ensure_checkpoint_dir(fake)
+
+
+def test_session_past_midnight_counts_on_its_day_in_stream_and_batch(spark, tmp_dir):
+    import json
+
+    from questlog.operators import economy
+    from questlog.operators.staging import build_master_events
+    from questlog.sources.readers import read_raw_events
+
+    line = lambda ts: json.dumps(
+        {"event_date": "20251101", "event_timestamp": ts, "user_id": "u", "user_pseudo_id": "u", "event_name": "level_complete",
+         "event_params": [{"key": "gold_earned", "value": {"int_value": 7}}, {"key": "level_id", "value": {"int_value": 1}}]}
+    )
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:  # 23:55 and 00:07 of the next day
+        f.write(line(1762041300000000) + "\n" + line(1762042020000000) + "\n")
+    batch = economy.economy_flow(build_master_events(read_raw_events(spark, src)), sinks={}).collect()
+    ev = jobs.flatten_stream(jobs.raw_event_stream(spark, src))
+    q = jobs.start(
+        jobs.economy_window_stream(ev, by_session_day=True), jobs.batch_writer(os.path.join(tmp_dir, "m")), os.path.join(tmp_dir, "c")
+    )
+    q.awaitTermination()
+    rows = spark.read.parquet(os.path.join(tmp_dir, "m")).collect()
+    assert [(r["window_start"].date(), r["gold_source"]) for r in rows] == [(r["event_date"], r["gold_source"]) for r in batch]
+    assert len(rows) == 1 and rows[0]["gold_source"] == 14
