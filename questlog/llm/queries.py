@@ -26,4 +26,35 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 
-ORACLE: dict[str, str] = {}
+# Trained models, hashes, tokenizers and HTML are beyond DuckDB's SQL: those queries are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op2_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 5""",
+    "op7_toolcalls": """
+WITH m AS (SELECT conv_id, turn, role, text, count(*) AS copies FROM conversations GROUP BY ALL),
+r AS (SELECT * FROM m WHERE role = 'assistant' AND turn > 0),
+u AS (SELECT * FROM m WHERE role = 'user'),
+every AS (
+  SELECT u.conv_id, u.turn, CASE WHEN r.turn IS NULL THEN 'no_result' ELSE 'linked' END AS status, u.text IS NOT NULL AS valid, u.copies,
+    '{"arguments":{"text":' || coalesce(CAST(to_json(u.text) AS VARCHAR), 'null') || ',"turn":' || u.turn || '},"depends_on":' ||
+    CASE WHEN u.turn > 1 THEN '["' || u.conv_id || ':' || (u.turn - 2) || '"]' ELSE '[]' END ||
+    ',"id":"' || u.conv_id || ':' || u.turn || '","name":"reply","result":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || '}' AS json
+  FROM u LEFT JOIN r ON u.conv_id = r.conv_id AND r.turn = u.turn + 1
+  UNION ALL
+  SELECT conv_id, turn, CASE WHEN role = 'assistant' AND turn > 0 THEN 'orphan_result' ELSE 'message' END, NULL, copies,
+    '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}'
+  FROM m WHERE role <> 'user' AND NOT (role = 'assistant' AND turn > 0
+    AND EXISTS (SELECT 1 FROM u WHERE u.conv_id = m.conv_id AND u.turn = m.turn - 1)))
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position, turn,
+  conv_id || ':' || (turn - CASE WHEN status = 'orphan_result' THEN 1 ELSE 0 END) AS id, status, valid, copies, json
+FROM every""",
+}
