@@ -10,6 +10,7 @@ resumes without double counting.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 from decimal import Decimal
@@ -21,9 +22,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.staging import build_master_events, is_corrupt
 from ..schemas import LEVEL_COMPLETE, LEVEL_FAIL, RAW_EVENTS_WITH_CORRUPT, SESSION_START, WIN
 from ..session import apply_engine_conf, scratch_path
+from ..sources.sinks import write_mart
+from ..sources.staged import exists
 
 DAY = "1 day"
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# Starting a stream sets session settings for a moment; two threads take turns.
+_START = threading.Lock()
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -127,15 +132,35 @@ def batch_writer(out_path: str, fmt: str = "parquet") -> Callable[[DataFrame, in
     return write
 
 
-def pinch_alert_writer(out_path: str, threshold: float = 0.30, min_attempts: int = 1, retract: bool = False):
+def upsert_writer(out_path: str, keys: list[str], day: str = "date") -> Callable[[DataFrame, int], None]:
+    """Idempotent ``foreachBatch`` upsert of a mart partitioned by ``day``.
+    A batch replaces the partitions of its days, with their earlier rows of
+    other keys kept; the merge is checkpointed before the partitions it read are
+    overwritten, and a retried batch writes the same rows again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if exists(spark, out_path):
+            old = spark.read.schema(batch.schema).parquet(out_path)
+            kept = old.join(batch.select(day).distinct(), day, "left_semi").join(batch.select(*keys), keys, "left_anti")
+            batch = batch.unionByName(kept.select(*batch.columns))
+        write_mart(batch.checkpoint(), out_path, (day,))
+
+    return write
+
+
+def pinch_alert_writer(
+    out_path: str, threshold: float = 0.30, min_attempts: int = 1, upsert_keys: list[str] | None = None, day: str = "date"
+):
     """Aggregate first, then keep windows/levels whose win rate is below
-    the threshold; written idempotently per batch. ``retract``: every updated
-    row is written with a column ``alert``, so a later batch can take an alert back."""
-    write = batch_writer(out_path)
+    the threshold; written idempotently per batch. With ``upsert_keys``, every
+    updated row is upserted with a column ``alert``, so a later batch can take
+    an alert back."""
+    write = upsert_writer(out_path, upsert_keys, day) if upsert_keys else batch_writer(out_path)
 
     def alert(batch: DataFrame, batch_id: int) -> None:
         low = (F.col("attempts") >= min_attempts) & (F.col("wins") < F.lit(Decimal(str(threshold))) * F.col("attempts"))
-        write(batch.withColumn("alert", low) if retract else batch.where(low), batch_id)
+        write(batch.withColumn("alert", low) if upsert_keys else batch.where(low), batch_id)
 
     return alert
 
@@ -155,6 +180,7 @@ def start(
     name: str | None = None,
     state_partitions: int | None = None,
     rocksdb_state: bool = True,
+    interval: str = "1 minute",
 ) -> StreamingQuery:
     """Start a stream with a ``foreachBatch`` sink and a checkpoint.
 
@@ -170,22 +196,23 @@ def start(
     w = df.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     settings = {"spark.sql.shuffle.partitions": str(state_partitions)}
     if rocksdb_state:
         settings[STATE_PROVIDER] = ROCKSDB_PROVIDER
         settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
-    previous = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        return w.start()  # the stream clones the session conf here
-    finally:
-        for k, v in previous.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    with _START:
+        previous = {k: spark.conf.get(k, None) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        try:
+            return w.start()  # the stream clones the session conf here
+        finally:
+            for k, v in previous.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
 
 
 def _day_bounds(raw: DataFrame):
@@ -256,59 +283,48 @@ def run_stream_dau_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFra
     """T02 end to end: the log streamed with ``availableNow`` through
     staging and the exact-DAU operator into an idempotent mart, read back."""
     run, ev, span = _driver_log_stream(spark, sf_dir, "stream_dau")
-    q = start(dau_exact_stream(ev, delay=f"{span + 1} days"), batch_writer(f"{run}/mart"), f"{run}/checkpoint")
-    q.awaitTermination()
-    return latest_per_key(f"{run}/mart", spark, ["date"], ["dau"])
+    daily = dau_exact_stream(ev, delay=f"{span + 1} days")
+    return _upserted(spark, daily, upsert_writer(f"{run}/mart", ["date"]), run)
 
 
 def run_stream_economy_on_driver_tables(spark: SparkSession, sf_dir: str, sinks: dict[str, int]) -> DataFrame:
     """T04 end to end: revenue and gold flow per one-day event-time window."""
     run, ev, span = _driver_log_stream(spark, sf_dir, "stream_economy")
-    q = start(
-        economy_window_stream(ev, delay=f"{span + 1} days", window=DAY, sink_events=sinks, by_session_day=True),
-        batch_writer(f"{run}/mart"),
-        f"{run}/checkpoint",
-    )
-    q.awaitTermination()
-    latest = latest_per_key(f"{run}/mart", spark, ["window_start"], ["revenue", "gold_source", "gold_sink"])
-    return latest.select(
-        F.col("window_start").cast("date").alias("date"),
-        F.col("revenue").cast("double").alias("revenue"),
-        "gold_source",
-        "gold_sink",
-    )
+    flow = economy_window_stream(ev, delay=f"{span + 1} days", window=DAY, sink_events=sinks, by_session_day=True)
+    daily = flow.select(F.col("window_start").cast("date").alias("date"), "revenue", "gold_source", "gold_sink")
+    mart = _upserted(spark, daily, upsert_writer(f"{run}/mart", ["date"]), run)
+    return mart.withColumn("revenue", F.col("revenue").cast("double"))
 
 
 def run_stream_level_outcomes_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T05 input end to end: attempts and wins per level and one-day
     event-time window (the alert writer filters these rows)."""
     run, ev, span = _driver_log_stream(spark, sf_dir, "stream_level_outcomes")
-    q = start(
-        level_outcome_stream(ev, delay=f"{span + 1} days", window=DAY, by_session_day=True),
-        batch_writer(f"{run}/mart"),
-        f"{run}/checkpoint",
-    )
-    q.awaitTermination()
-    latest = latest_per_key(f"{run}/mart", spark, ["window_start", "level_id"], ["attempts", "wins"])
-    return latest.select(F.col("window_start").cast("date").alias("date"), "level_id", "attempts", "wins")
+    daily = _daily_outcomes(ev, span)
+    return _upserted(spark, daily, upsert_writer(f"{run}/mart", ["date", "level_id"]), run)
+
+
+def _daily_outcomes(ev: DataFrame, span: int) -> DataFrame:
+    outcomes = level_outcome_stream(ev, delay=f"{span + 1} days", window=DAY, by_session_day=True)
+    return outcomes.select(F.col("window_start").cast("date").alias("date"), "level_id", "attempts", "wins")
+
+
+def _upserted(spark: SparkSession, daily: DataFrame, sink, run: str, *extra: str) -> DataFrame:
+    """Run ``daily`` to the end of its input into the mart of ``run``, and read the mart."""
+    start(daily, sink, f"{run}/checkpoint").awaitTermination()
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in daily.schema.fields] + list(extra))
+    return spark.read.schema(schema).parquet(f"{run}/mart")
 
 
 def run_stream_pinch_alert_on_driver_tables(spark: SparkSession, sf_dir: str, threshold: float) -> DataFrame:
     """T05 end to end: days and levels whose latest win rate is below ``threshold``."""
     run, ev, span = _driver_log_stream(spark, sf_dir, "stream_pinch_alert")
-    q = start(
-        level_outcome_stream(ev, delay=f"{span + 1} days", window=DAY, by_session_day=True),
-        pinch_alert_writer(f"{run}/mart", threshold, retract=True),
-        f"{run}/checkpoint",
-    )
-    q.awaitTermination()
-    latest = latest_per_key(f"{run}/mart", spark, ["window_start", "level_id"], ["attempts", "wins", "alert"]).where("alert")
-    return latest.select(F.col("window_start").cast("date").alias("date"), "level_id", "attempts", "wins")
+    sink = pinch_alert_writer(f"{run}/mart", threshold, upsert_keys=["date", "level_id"])
+    return _upserted(spark, _daily_outcomes(ev, span), sink, run, "alert boolean").where("alert").drop("alert")
 
 
 def run_stream_dau_approx_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T03 end to end: approximate DAU per day."""
     run, ev, span = _driver_log_stream(spark, sf_dir, "stream_dau_approx")
-    q = start(dau_approx_stream(ev, delay=f"{span + 1} days"), batch_writer(f"{run}/mart"), f"{run}/checkpoint")
-    q.awaitTermination()
-    return latest_per_key(f"{run}/mart", spark, ["date"], ["dau_approx"])
+    daily = dau_approx_stream(ev, delay=f"{span + 1} days")
+    return _upserted(spark, daily, upsert_writer(f"{run}/mart", ["date"]), run)

@@ -157,3 +157,20 @@ def test_session_past_midnight_counts_on_its_day_in_stream_and_batch(spark, tmp_
     rows = spark.read.parquet(os.path.join(tmp_dir, "m")).collect()
     assert [(r["window_start"].date(), r["gold_source"]) for r in rows] == [(r["event_date"], r["gold_source"]) for r in batch]
     assert len(rows) == 1 and rows[0]["gold_source"] == 14
+
+
+def test_upsert_replaces_keys_and_keeps_the_others(spark, tmp_dir):
+    import datetime as dt
+
+    from questlog.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    out = os.path.join(tmp_dir, "mart")
+    write = jobs.upsert_writer(out, ["date", "level_id"])
+    d1, d2 = dt.date(2025, 11, 1), dt.date(2025, 11, 2)
+    make = lambda *rows: spark.createDataFrame(rows, "date date, level_id long, wins long")
+    write(make((d1, 1, 5), (d1, 2, 6), (d2, 1, 7)), 0)
+    for _ in range(2):  # the second is a retried batch
+        write(make((d1, 2, 9), (d1, 3, 1)), 1)
+    got = spark.read.schema("date date, level_id long, wins long").parquet(out).select("date", "level_id", "wins").collect()
+    assert sorted(map(tuple, got)) == [(d1, 1, 5), (d1, 2, 9), (d1, 3, 1), (d2, 1, 7)]
