@@ -3,6 +3,7 @@ running wallet balance (C05)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,8 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_mean, ratio
 from ..schemas import AD_REWARD_CLAIM, LEVEL_COMPLETE
-
-MICROS_PER_HOUR = 3_600_000_000
+from ..session import scratch_path
 
 
 def economy_by_level(ev: DataFrame, event: str = LEVEL_COMPLETE) -> DataFrame:
@@ -85,48 +85,51 @@ def wallet_balance(
     user: str = "user_id",
     ts: str = "event_ts",
     tiebreak: str = "event_id",
-    bucket_micros: int = MICROS_PER_HOUR,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Running signed gold per user over time (one row per event).
 
     A plain ``sum().over(partitionBy(user).orderBy(ts))`` sends all of a
-    user's events to one task; a single hot user could hold a third of the
-    data. The running sum is split in two exact parts instead:
-
-    1. inside each (user, time bucket): running sum ordered by (ts, id);
-       the shuffle key includes the bucket, so a hot user spreads over all
-       the buckets it is active in;
-    2. before each bucket: the sum of the user's earlier bucket totals,
-       computed on the per-bucket aggregate (one row per user and bucket)
-       and joined back on (user, bucket).
+    user's events to one task; a single hot user, one of its hours, or the
+    events without a user could hold a third of the data. The running sum is
+    split in two exact parts instead:
+
+    1. rows are dealt to ``ranges`` ranges of equal size of the order (user,
+       ts, id) and written once, narrow, with their range's number (a number
+       that is stored can't differ between the two reads); inside each (user,
+       range) a running sum;
+    2. before each range: the sum of the user's earlier ranges, computed on one
+       row per user and range and joined back on (user, range), the key by which
+       the running sums lie already.
+
+    NULL users are a group of their own and NULL times come first, as in the
+    one-window form.
     """
+    spark = ev.sparkSession
     sources = dict(DEFAULT_SOURCES if sources is None else sources)
     src, snk = _signed_amount(sources, sinks)
     user_type = ev.schema[user].dataType
-    # Non-null join keys (NULL user / NULL time are groups of their own, as
-    # in the one-window form, where NULL times sort first).
-    bucket = F.coalesce(
-        F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_micros)).cast("long"),
-        F.lit(-(2**63)).cast("long"),
-    )
     rows = ev.select(
         F.col(user),
         F.coalesce(F.col(user), F.lit(0).cast(user_type)).alias("_u"),
         F.col(user).isNull().alias("_un"),
-        bucket.alias("_b"),
         F.col(tiebreak),
         F.col(ts),
         (src - snk).alias("delta"),
     )
-    keys = ["_u", "_un", "_b"]
-    in_bucket = Window.partitionBy(*keys).orderBy(ts, tiebreak).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    local = rows.withColumn("_local", F.sum("delta").over(in_bucket))
-
-    totals = rows.groupBy(*keys).agg(F.sum("delta").alias("_bucket_total"))
-    before = Window.partitionBy("_u", "_un").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, F.coalesce(F.sum("_bucket_total").over(before), F.lit(0)).alias("_offset"))
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_first() for c in ("_un", "_u", ts, tiebreak)]
+    dealt = rows.repartitionByRange(ranges, *order).withColumn("_r", F.spark_partition_id())
+    path = scratch_path(spark, "wallet", uuid.uuid4().hex)
+    dealt.write.parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+
+    keys = ["_u", "_un", "_r"]
+    running = Window.partitionBy(*keys).orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = dealt.withColumn("_local", F.sum("delta").over(running))
+    totals = dealt.groupBy(*keys).agg(F.sum("delta").alias("_total"))
+    before = Window.partitionBy("_u", "_un").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
     return local.join(offsets, keys, "inner").select(
         user, tiebreak, ts, "delta", (F.col("_offset") + F.col("_local")).alias("balance")
     )

@@ -189,7 +189,7 @@ def test_economy_flow_and_wallet(master_df):
     assert flow == [(d("2025-11-01"), 100, 10, 90), (d("2025-11-02"), 50, 20, 30)]
     wallet = sorted(
         (r["user_id"], r["event_id"], r["balance"])
-        for r in economy.wallet_balance(ev, sinks={"level_fail": 10}, bucket_micros=3_600_000_000).collect()
+        for r in economy.wallet_balance(ev, sinks={"level_fail": 10}).collect()
     )
     assert wallet == [("a", 1, 100), ("a", 2, 90), ("a", 3, 140), ("a", 4, 130), ("b", 5, -10)]
 

@@ -133,7 +133,7 @@ def test_wallet_split_equals_single_window(spark):
     from pyspark.sql import Window
 
     sinks = {"level_fail": 10}
-    split = economy.wallet_balance(ev, sinks=sinks, bucket_micros=3_600_000_000 * 5)
+    split = economy.wallet_balance(ev, sinks=sinks, ranges=5)
     src, snk = economy._signed_amount(economy.DEFAULT_SOURCES, sinks)
     w = Window.partitionBy("user_id").orderBy("event_ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     # one window per user, ordered by the same keys (NULL times first)

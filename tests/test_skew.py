@@ -7,6 +7,7 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -33,12 +34,20 @@ def hot_events(n=3000, seed=11):
     return rows
 
 
-def test_wallet_split_with_hot_user(spark):
-    ev = spark.createDataFrame(hot_events(), MASTER_SCHEMA)
+@pytest.mark.parametrize("case", ["hot user", "hot hour", "hot instant", "no user"])
+def test_wallet_split_with_hot_user(spark, case):
+    rows = [list(r) for r in hot_events()]
+    for r in rows:
+        if r[1] == "hot":
+            r[4] = {"hot hour": dt.datetime(2025, 11, 1, 5, r[0] % 60), "hot instant": dt.datetime(2025, 11, 1, 5)}.get(case, r[4])
+            r[1] = None if case == "no user" else r[1]
+    ev = spark.createDataFrame([tuple(r) for r in rows], MASTER_SCHEMA)
     sinks = {"level_fail": 10}
-    split = economy.wallet_balance(ev, sinks=sinks)
+    split = economy.wallet_balance(ev, sinks=sinks, ranges=12)
     plan = physical_plan(split)
-    assert "_b" in plan and "Window" in plan  # windows are keyed by (user, hour bucket)
+    assert "_r" in plan and "Window" in plan  # windows are keyed by (user, range)
+    sizes = [r["n"] for r in spark.read.parquet(split.inputFiles()[0].rsplit("/", 1)[0]).groupBy("_u", "_un", "_r").agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 2.5 * len(rows) / 12  # however the rows are skewed
     src, snk = economy._signed_amount(economy.DEFAULT_SOURCES, sinks)
     w = Window.partitionBy("user_id").orderBy("event_ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     single = ev.select("user_id", "event_id", (src - snk).alias("delta"), "event_ts").select(
