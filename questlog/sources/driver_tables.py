@@ -216,6 +216,7 @@ class DriverTables:
                 lambda files: self.user_acquisition_live(),
                 sort_within=("user_id",),
                 schema=USER_ACQUISITION_DDL,
+                fixed=True,
             ),
         )
 
@@ -255,6 +256,7 @@ class DriverTables:
                 sort_within=("event_name", "user_id"),
                 schema=ACQUIRED_EVENTS_DDL,
                 appendable=self._tags_unchanged,
+                fixed=True,
             ),
         )
 

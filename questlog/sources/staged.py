@@ -3,8 +3,8 @@ sources and of its definition.
 
 A table is written to a folder of its own under the shared
 ``spark.checkpoint.dir`` and published by a manifest written last, which lists
-every data file with its size: nothing is renamed, and a reader takes exactly
-the listed files' folders or builds the table again. The key covers path, size
+its parts with their numbers of files and bytes: nothing is renamed, and a reader
+takes whole parts or builds the table again. The key covers path, size
 and time of every source file, and the definition (the analysed plan and the
 schema). When files were only added to the sources, a table whose rows each
 come from one source file gets another part from the added files instead of
@@ -26,6 +26,9 @@ from ..session import scratch_path
 
 # From this number of parts on a table is written anew as one.
 MOST_PARTS = 16
+MANY_FILES = 500
+# Definitions found in this process, for tables whose build is fixed by the code.
+_defined: dict[tuple, str] = {}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -34,10 +37,23 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
 
 
+def summary(spark: SparkSession, path: str) -> list[int]:
+    """Number of files and bytes under ``path``, in one call."""
+    p, fs = _fs(spark, path)
+    got = fs.getContentSummary(p)
+    return [got.getFileCount(), got.getLength()]
+
+
 def files_of(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[int]]:
-    """Size and modification time of every file under ``paths`` (metadata only)."""
+    """Size and modification time of every file under ``paths`` (metadata
+    only; folders of many files are listed by Spark, in parallel)."""
     found = {}
     for path in paths:
+        if summary(spark, path)[0] > MANY_FILES:
+            listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+            for r in listed.selectExpr("path", "length", "unix_millis(modificationTime) AS t").collect():
+                found[r["path"]] = [r["length"], r["t"]]
+            continue
         p, fs = _fs(spark, path)
         listing = fs.listFiles(p, True)
         while listing.hasNext():
@@ -86,14 +102,10 @@ def _write_json(spark: SparkSession, path: str, what: dict) -> None:
     out.close()
 
 
-def _data(spark: SparkSession, folder: str) -> dict[str, int]:
-    return {f: size for f, (size, _) in files_of(spark, [folder]).items()}
-
-
 def _whole(spark: SparkSession, manifest: dict | None) -> bool:
-    """Whether every file the manifest lists is there with its size."""
+    """Whether every part has the files and bytes its manifest lists."""
     return bool(manifest) and all(
-        exists(spark, part) and _data(spark, part) == listed for part, listed in manifest["parts"].items()
+        exists(spark, part) and summary(spark, part) == listed for part, listed in manifest["parts"].items()
     )
 
 
@@ -106,6 +118,7 @@ def staged_table(
     sort_within: Sequence[str] = (),
     schema: str | None = None,
     appendable: Callable[[], bool] | None = None,
+    fixed: bool = False,
 ) -> DataFrame:
     """Read the staged ``name`` for these sources, building it first if needed.
 
@@ -113,10 +126,16 @@ def staged_table(
     optional) fixes column order and types on read, partition columns included.
     With ``appendable``, ``build(files)`` returns what some files of the first
     source add; it is used when files were only added there and ``appendable()``
-    holds (earlier rows stay as they are).
+    holds (earlier rows stay as they are). ``fixed``: the definition follows
+    from the code and the sources alone, so it is found once a process and version.
     """
-    defined = definition(build(None), schema or "", ",".join(partition_by), ",".join(sort_within))
     now = files_of(spark, sources)
+    known = (name, schema, tuple(partition_by), tuple(sort_within), json.dumps(sorted(now.items())))
+    defined = _defined.get(known) if fixed else None
+    if defined is None:
+        defined = definition(build(None), schema or "", ",".join(partition_by), ",".join(sort_within))
+        if fixed:
+            _defined[known] = defined
     root = scratch_path(spark, "staged")
     version = _hash(defined, json.dumps(sorted(now.items())))
     place, latest = f"{root}/{name}-{version}.json", f"{root}/{name}-{_hash(schema or '', *sources)}.latest.json"
@@ -126,13 +145,13 @@ def staged_table(
         added = sorted(set(now) - set((before or {}).get("sources", {})))
         grown = before and before.get("defined") == defined and added and all(now.get(f) == v for f, v in before["sources"].items())
         own = files_of(spark, sources[:1]) if grown else {}
-        parts: dict[str, dict[str, int]] = {}
+        parts: dict[str, list[int]] = {}
         files = None
         if grown and set(added) <= set(own) and len(before["parts"]) < MOST_PARTS and _whole(spark, before) and appendable():
             parts, files = before["parts"], added
         folder = f"{root}/{name}-{version}-{uuid.uuid4().hex}"
         write_staged(build(files), folder, partition_by, sort_within)
-        manifest = {"parts": {**parts, folder: _data(spark, folder)}, "sources": now, "defined": defined}
+        manifest = {"parts": {**parts, folder: summary(spark, folder)}, "sources": now, "defined": defined}
         _write_json(spark, place, manifest)
         _write_json(spark, latest, manifest)
     shape = schema or build(None).schema
@@ -163,7 +182,7 @@ def staged_folder(
         return next(iter(manifest["parts"])), None
     folder = f"{place.removesuffix('.json')}-{uuid.uuid4().hex}"
     result = write(folder)
-    _write_json(spark, place, {"parts": {folder: _data(spark, folder)}, "sources": now})
+    _write_json(spark, place, {"parts": {folder: summary(spark, folder)}, "sources": now})
     return folder, result
 
 
