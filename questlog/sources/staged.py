@@ -172,17 +172,17 @@ def staged_folder(
 ) -> tuple[str, object | None]:
     """A folder produced by ``write(path)`` once per version of the sources and
     of ``of``, the DataFrame it writes (same manifest rule as
-    :func:`staged_table`). Returns the folder and what ``write`` returned (None
-    when the folder was there)."""
+    :func:`staged_table`). Returns the folder and what ``write`` returned, which
+    the manifest keeps (it must be JSON)."""
     now = files_of(spark, sources)
     root = scratch_path(spark, "staged")
     place = f"{root}/{name}-{_hash(definition(of), json.dumps(sorted(now.items())))}.json"
     manifest = _read_json(spark, place)
-    if _whole(spark, manifest):
-        return next(iter(manifest["parts"])), None
+    if _whole(spark, manifest) and "result" in manifest:
+        return next(iter(manifest["parts"])), manifest["result"]
     folder = f"{place.removesuffix('.json')}-{uuid.uuid4().hex}"
     result = write(folder)
-    _write_json(spark, place, {"parts": {folder: summary(spark, folder)}, "sources": now})
+    _write_json(spark, place, {"parts": {folder: summary(spark, folder)}, "sources": now, "result": result})
     return folder, result
 
 

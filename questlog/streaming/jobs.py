@@ -221,13 +221,6 @@ def _day_bounds(raw: DataFrame):
     return day_num, bounds["lo"], bounds["hi"]
 
 
-def arrival_span(raw: DataFrame, chunks: int) -> int:
-    """Days covered by one arrival when the log is split in ``chunks``
-    (one two-value aggregate; the stream's watermark delay must exceed it)."""
-    _, lo, hi = _day_bounds(raw)
-    return 1 if lo is None else max(1, (hi - lo + chunks) // chunks)
-
-
 def write_log_in_arrival_order(raw: DataFrame, path: str, chunks: int = 3) -> int:
     """Write the nested log as NDJSON in ``chunks`` successive appends
     ordered by session date (earlier days arrive first, as in a live feed).
@@ -262,14 +255,13 @@ def _driver_log_stream(spark: SparkSession, sf_dir: str, name: str, chunks: int
 
     t = DriverTables(spark, sf_dir)
     raw = t.raw_events().drop("event_id")
-    log, _ = staged_folder(
+    log, span = staged_folder(
         spark,
         f"raw_log_{chunks}",
         [t._path("events")],  # noqa: SLF001
         lambda path: write_log_in_arrival_order(raw, path, chunks=chunks),
         raw,
     )
-    span = arrival_span(raw, chunks)
     # files of a later arrival are newer, so a batch never mixes in older days
     per_batch = max(1, -(-count_data_files(spark, log) // chunks))
     # the stream gets its own session (same cluster, separate SQL settings),
