@@ -19,7 +19,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +39,20 @@ TOKENIZER = "word_bpe_49k.json"
 CACHED_IDS = 2_000_000
 
 
-# A full stop or comma between a letter and white space is a token group of its own.
-STOP = re.compile(rb"(?<=[a-z])[.,](?=[ \n])")
+# Signs between a letter and white space are a token group of their own.
+SIGNS = re.compile(rb"[.,;:!?%&$*#|](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[.,;:!?%&$*#|]*(?=[ \n])")
+
+
+class Numbered(dict):
+    """Numbers words as they are first asked for, and lists the new ones."""
+
+    def __init__(self):
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
 
 
 class WordTokenizer:
@@ -65,28 +76,33 @@ class WordTokenizer:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.begin, self.size, self.flat = array("q"), array("q"), array("I")
+        self.index = Numbered()
+        self.begin, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat = np.empty(0, "<u4")
 
     def _learn(self, words: list[bytes]) -> None:
         text = [w.decode() for w in words]
+        begin, size = np.zeros(len(text), np.int64), np.zeros(len(text), np.int64)
+        parts, total, other = [self.flat], len(self.flat), []
         plain = [i for i, t in enumerate(text) if t.isalpha()]
-        ids: list = [None] * len(text)
         for at in range(0, len(plain), 500):
             part = plain[at : at + 500]
             got = np.array(self._encode([" ".join([text[i] for i in part])])[0], "<u4")
             stops = np.flatnonzero(self.ends[got]) + 1
             if len(stops) == len(part):  # one word each
-                for i, x in zip(part, np.split(got, stops[:-1])):
-                    ids[i] = x.tolist()
-        other = [i for i, x in enumerate(ids) if x is None]
+                size[part] = np.diff(stops, prepend=0)
+                begin[part] = total + stops - size[part]
+                parts.append(got)
+                total += len(got)
+            else:
+                other += part
+        other += [i for i, t in enumerate(text) if not t.isalpha()]
         for i, x in zip(other, self._encode([text[i] for i in other])):
-            ids[i] = x
-        for w, x in zip(words, ids):
-            self.index[w] = len(self.begin)
-            self.begin.append(len(self.flat))
-            self.size.append(len(x))
-            self.flat.extend(x)
+            begin[i], size[i] = total, len(x)
+            parts.append(np.array(x, "<u4"))
+            total += len(x)
+        self.begin, self.size = np.append(self.begin, begin), np.append(self.size, size)
+        self.flat = np.concatenate(parts)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -94,25 +110,21 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.flat) > CACHED_IDS:
             self._clear()
-        split = []
+        numbers, number = [], self.index.__getitem__
         for t in texts:
             raw = t.encode()
             if b"<|" not in raw:  # else lower-casing might make a special token
-                raw = STOP.sub(rb" \g<0>", raw.lower())
-            split.append(raw.split())
-        fresh = set().union(*split).difference(self.index)
-        if fresh:
-            self._learn(sorted(fresh))
-        begin, size = np.array(self.begin, np.int64), np.array(self.size, np.int64)
-        flat, out, get = np.array(self.flat, "<u4"), [], self.index.__getitem__
-        for words in split:
-            if not words:
-                out.append(np.empty(0, "<u4"))
-                continue
-            at = np.fromiter(map(get, words), np.int64, len(words))
-            n = size[at]
+                raw = SIGNS.sub(rb" \g<0>", raw.lower())
+            words = raw.split()
+            numbers.append(np.fromiter(map(number, words), np.int64, len(words)))
+        if self.index.fresh:
+            self._learn(self.index.fresh)
+            self.index.fresh = []
+        out = []
+        for at in numbers:
+            n = self.size[at]
             first = np.cumsum(n) - n
-            out.append(flat[np.repeat(begin[at] - first, n) + np.arange(n.sum())])
+            out.append(self.flat[np.repeat(self.begin[at] - first, n) + np.arange(n.sum())])
         return out
 
 
