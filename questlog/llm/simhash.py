@@ -157,7 +157,8 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, words: int = WORDS) -> D
     wanted = written(wanted.join(times, "doc_id"), "wanted")
     key = docs["doc_id"].cast("long")
     once, often = (wanted.where(c).select(F.col("doc_id").alias("_wanted")) for c in ("n = 1", "n > 1"))
-    single = docs.join(once, key == once["_wanted"], "left_semi")
+    # one join strategy at every size: the ids grow with the documents, so they are never a broadcast
+    single = docs.join(once.hint("merge"), key == once["_wanted"], "left_semi")
     # rows of one doc_id: told apart by their own fingerprints
     rows = docs.join(often, key == often["_wanted"], "left_semi").unionByName(docs.where(docs["doc_id"].isNull()))
     rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("doc_id"), "text")
