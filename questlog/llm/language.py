@@ -142,8 +142,10 @@ def document_probabilities(p, texts: list[str]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], dict[str, np.ndarray]]:
-    """Languages and network from (text, lang) rows; at most about ``sample``
-    documents a language and SAMPLE_WINDOWS windows a document reach the driver."""
+    """Languages and network from (text, lang) rows; about ``sample`` distinct
+    texts a language (all, if fewer), chosen by hash, and SAMPLE_WINDOWS windows a
+    text reach the driver. Copies count once; every language that has a text with
+    a byte is learned."""
 
     def pick(batches):
         for b, texts in text_batches(batches):
@@ -154,20 +156,20 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], dict[str, np.
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(out, pa.binary())], names=["lang", "rows"])
 
     prepare(docs.sparkSession)
-    told = docs.where("lang is not null and text is not null").select("text", "lang")
-    counts = {r["lang"]: r["n"] for r in told.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    told = docs.where("lang is not null and text <> ''").select("text", "lang", F.xxhash64("text").alias("h"))
+    counts = {r["lang"]: r["n"] for r in told.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(counts)
     if not langs:
         return [], {}
     share = F.lit(0.0)
     for lang in langs:
         share = F.when(F.col("lang") == lang, min(1.0, sample / counts[lang])).otherwise(share)
-    chosen = told.where(F.xxhash64("text").cast("double") / 2.0**64 + 0.5 <= share).dropDuplicates(["text", "lang"])
-    got = chosen.mapInArrow(pick, "lang string, rows binary").where("length(rows) > 0").collect()
-    got = sorted((r["lang"], bytes(r["rows"])) for r in got)
-    if not got:
-        return [], {}
-    langs = sorted({lang for lang, _ in got})
+    chosen = told.where(F.col("h").cast("double") / 2.0**64 + 0.5 <= share).dropDuplicates(["text", "lang"])
+    read = lambda rows: [(r["lang"], bytes(r["rows"])) for r in rows.select("text", "lang").mapInArrow(pick, "lang string, rows binary").collect()]
+    got = read(chosen)
+    for lang in sorted(set(langs) - {lang for lang, _ in got}):  # no hash is low enough: its lowest
+        got += read(told.where(F.col("lang") == lang).dropDuplicates(["text"]).orderBy("h").limit(sample))
+    got.sort()
     rows = np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, WINDOW) for _, x in got])
     target = np.repeat([langs.index(lang) for lang, _ in got], [len(x) // WINDOW for _, x in got])
     return langs, train(rows, target, len(langs))

@@ -292,6 +292,23 @@ def test_language_odd_inputs(spark):
     assert language.keep_identified(docs).columns == docs.columns
 
 
+def test_language_sample_counts_distinct_texts(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(language, "train", lambda rows, target, classes: seen.update(zip(*np.unique(target, return_counts=True))) or {})
+    short = [f"text {i}" for i in range(1000)]  # a window each
+    docs = make(spark, short + ["copy"] * 20_000, lang="aa").union(make(spark, ["x y"], lang="bb")).union(make(spark, ["", None], lang="cc"))
+    assert language.fit(docs)[0] == ["aa", "bb"]
+    assert 200 < seen[0] < 400 and seen[1] == 1
+
+
+def test_language_with_no_low_hash_is_learned(spark):
+    docs = None
+    for k in range(8):  # about a third of them draw nothing at one text a language
+        part = make(spark, [f"{k} text {i}" for i in range(50)], lang=f"l{k}")
+        docs = part if docs is None else docs.union(part)
+    assert language.fit(docs, sample=1)[0] == [f"l{k}" for k in range(8)]
+
+
 # ---- quality ------------------------------------------------------------------
 
 
