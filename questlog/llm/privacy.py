@@ -4,7 +4,8 @@ Detected entities (e-mail addresses, phone and card numbers, IP addresses,
 account and social security numbers, secrets, titled names) are replaced by
 keyed surrogates of the same type and format: digits stay digits, letters keep
 their case and script, a valid card number stays valid, an address octet stays
-an octet, a name keeps the gender its title tells. A surrogate depends on the
+an octet, a name keeps the gender its title tells. Given names are entities of
+their own, by gender. A surrogate depends on the
 key and the entity's canonical form (case, spaces and separators don't count),
 so mentions of one entity agree wherever they stand. Over all distinct entities
 surrogates are checked for collisions, with each other and with the originals,
@@ -43,6 +44,7 @@ DETECTORS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "name": rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
 }
+GIVEN = r"^[^ ]+ (\p{L}+) \p{L}+$"
 ANY = "|".join(f"(?:{p})" for p in DETECTORS.values())
 # What a text must have for any detector to match: quick to look for.
 HINT = rf"[0-9@]|(?i:token|secret|password|passwd|key)[\"']? ?[:=]|(?:{MALE}|{FEMALE})[. ]"
@@ -123,14 +125,19 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         f"when '{s}' then array_join(transform(sequence(1, greatest(4, length(entity))), i -> case when i % 2 = 1 then {drawn('i', c)} else {drawn('i', v)} end), '')"
         for s, (c, v, _, _) in SYLLABLES.items()
     )
+    given = " ".join(
+        f"when '{s}' then concat(array_join(transform(sequence(1, 4 + 2 * greatest(0, attempt - {LENGTHEN - 1})), i -> case when i % 2 = 1 then {drawn('i', c)} else {drawn('i', v)} end), ''), case kind when 'given male' then '{male}' else '{female}' end)"
+        for s, (c, v, male, female) in SYLLABLES.items()
+    )
     made = entities.withColumn("h", F.expr(stream(key, "kind, entity, attempt", "length(entity) + 16"))).withColumn(
         "surrogate",
-        F.expr(f"case kind when 'ip' then {address} when 'name' then case {script} {names} end else {by_class} end"),
+        F.expr(f"case kind when 'ip' then {address} when 'name' then case {script} {names} end"
+            f" when 'given male' then case {script} {given} end when 'given female' then case {script} {given} end else {by_class} end"),
     )
     # a card number with a valid check digit gets one
     valid = f"{_luhn('entity')} % 10 = 0"
     fixed = f"concat(substr(surrogate, 1, length(surrogate) - 1), cast((10 - {_luhn('concat(substr(surrogate, 1, length(surrogate) - 1), 0)')} % 10) % 10 as string))"
-    longer = f"case when attempt >= {LENGTHEN} then concat(surrogate, substr(sha2(concat_ws('|', h, attempt), 256), 1, 8)) else surrogate end"
+    longer = f"case when attempt >= {LENGTHEN} and not startswith(kind, 'given') then concat(surrogate, substr(sha2(concat_ws('|', h, attempt), 256), 1, 8)) else surrogate end"
     return (
         made.withColumn("surrogate", F.expr(f"case when kind = 'card' and {valid} then {fixed} else surrogate end"))
         .withColumn("surrogate", F.expr(longer))
@@ -153,6 +160,9 @@ def assigned(entities: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFra
     entities = written(entities, "entities")
     pending, done = entities.withColumn("attempt", F.lit(0)), None
     originals = entities.select("kind", F.col("entity").alias("value"))
+    # a given name is no surrogate of either gender
+    both = F.explode(F.array(F.lit("given male"), F.lit("given female"))).alias("kind")
+    originals = originals.union(originals.where("startswith(kind, 'given')").select(both, "value"))
     for attempt in range(attempts):
         made = written(surrogates(pending, key), "drawn")
         taken = originals if done is None else originals.union(done.select("kind", F.col("surrogate").alias("value")))
@@ -166,21 +176,14 @@ def assigned(entities: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFra
     raise RuntimeError(f"no free surrogate after {attempts} draws")
 
 
-def poured(key: str) -> str:
-    """SQL: the replacement of a mention ``raw`` by its entity's ``surrogate``, in the mention's own format."""
+def poured() -> str:
+    """SQL: the replacement of a mention ``raw`` by its entity's ``surrogate`` (and ``given_surrogate``), in the mention's own format."""
     place = "length(surrogate) - length(regexp_replace(substr(raw, i + 1), '[^0-9]', '')) + 1"
     digits = f"array_join(transform(filter(split(raw, ''), c -> c <> ''), (c, i) -> case when c rlike '[0-9]' and {place} >= 1 then substr(surrogate, {place}, 1) else c end), '')"
     letters = "array_join(transform(filter(split(raw, ''), c -> c <> ''), (c, i) -> case when c = lower(c) then substr(surrogate, i + 1, 1) else upper(substr(surrogate, i + 1, 1)) end), '')"
     spaced = "array_join(transform(filter(split(raw, ''), c -> c <> ''), (c, i) -> case when c = ' ' then c else substr(surrogate, i + 1 - (length(substr(raw, 1, i + 1)) - length(replace(substr(raw, 1, i + 1), ' ', ''))), 1) end), '')"
     title = "regexp_extract(raw, '^[^ ]+ ', 0)"
-    first = "regexp_extract(raw, '^[^ ]+ (\\\\p{L}+) \\\\p{L}+$', 1)"
-    given = []
-    for s, (c, v, male, female) in SYLLABLES.items():
-        given.append(
-            f"when '{s}' then initcap(concat({drawn('1', c)}, {drawn('2', v)}, {drawn('3', c)}, {drawn('4', v)}, case when male then '{male}' else '{female}' end))"
-        )
-    script = f"case when {first} rlike '[а-яё]' then 'а' when {first} rlike '[α-ωά-ώ]' then 'α' else 'a' end"
-    given_sql = f"case when {first} = '' then '' else concat(case {script} {' '.join(given)} end, ' ') end"
+    given_sql = "case when given_surrogate is null then '' else concat(initcap(given_surrogate), ' ') end"
     longer = f"length(surrogate) > length(entity) and kind <> 'name'"
     return f"""case
         when kind = 'secret' then concat(substr(raw, 1, length(raw) - length(entity)), surrogate)
@@ -196,11 +199,14 @@ def replacements(mentions: DataFrame, key: str) -> DataFrame:
     """(raw, replacement) for each distinct mention of ``mentions`` (raw)."""
     told = mentions.select("raw").distinct().withColumn("kind", kind_of(F.col("raw")))
     told = told.withColumn("entity", F.expr(canonical("kind", "raw"))).withColumn("male", F.col("raw").rlike(f"^(?:{MALE})[. ]"))
+    first = F.when(F.col("kind") == "name", F.lower(F.regexp_extract("raw", GIVEN, 1)))
+    told = told.withColumn("given", F.when(first != "", first)).withColumn("given_kind", F.when(F.col("male"), "given male").otherwise("given female"))
     told = written(told, "mentions")
-    own = assigned(told.select("kind", "entity").distinct(), key)
-    first = "regexp_extract(raw, '^[^ ]+ (\\\\p{L}+) \\\\p{L}+$', 1)"
-    joined = told.join(own, ["kind", "entity"]).withColumn("h", F.expr(f"sha2(concat_ws('|', '{key}', 'given', male, lower({first})), 256)"))
-    return joined.select("raw", F.expr(poured(key)).alias("replacement"))
+    givens = told.where("given is not null").select(F.col("given_kind").alias("kind"), F.col("given").alias("entity"))
+    own = assigned(told.select("kind", "entity").union(givens).distinct(), key)
+    of_given = own.where("startswith(kind, 'given')").toDF("given_kind", "given", "given_surrogate")
+    joined = told.join(own, ["kind", "entity"]).join(of_given, ["given_kind", "given"], "left")
+    return joined.select("raw", F.expr(poured()).alias("replacement"))
 
 
 def rewrite(docs: DataFrame, key: str = KEY, text_col: str = "text", count_as: str | None = None) -> DataFrame:

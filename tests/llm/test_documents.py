@@ -400,6 +400,19 @@ def test_surrogates_are_distinct_where_the_format_is_narrow(spark):
     assert len(set(got.values())) == len(texts) and not set(got.values()) & set(texts)
 
 
+def letters(n, k=4):
+    return "".join(chr(97 + n // 26**i % 26) for i in range(k))
+
+
+def test_given_names_of_one_surname_stay_distinct(spark):
+    names = [letters(i).capitalize() for i in range(6000)]  # more than there are stems of two syllables
+    docs = make(spark, [f"Mr {a} Smith" for a in names] + ["Mrs Baaa Smith", "Mr baaa", "Mr BAAA", "Mr. Baaa Smith"])
+    got = {r.doc_id: r.text for r in privacy.rewrite(docs).collect()}
+    assert len({got[i] for i in range(6001)}) == 6001 and not {got[i].split()[1] for i in range(6000)} & set(names)
+    assert all(re.fullmatch(r"Mr [A-Z][a-z]+on [A-Z][a-z]+", got[i]) for i in range(6000))
+    assert got[6003].split()[1:] == got[1].split()[1:] and got[6000].split()[1].endswith("na")
+
+
 def test_no_python_in_the_native_operators(spark):
     docs = make(spark, PRIVATE)
     plan = privacy.rewrite(docs)._jdf.queryExecution().toString()  # noqa: SLF001
