@@ -11,6 +11,9 @@ so mentions of one entity agree wherever they stand. Over all distinct entities
 surrogates are checked for collisions, with each other and with the originals,
 and drawn anew until each entity has its own.
 
+The full names and surnames that a text's titled names give are replaced
+wherever else they stand in that text, without a title too.
+
 Texts without an entity pass by with no shuffle. Mentions are gathered once for
 each distinct text that has any, so copies cost one row.
 """
@@ -32,6 +35,8 @@ SALTS = 8
 # The detectors, in the order in which they are tried.
 MALE = "Mr|Herr|Señor|Sr|Sir|Г-н|г-н|Κύριος"
 FEMALE = "Mrs|Ms|Mme|Mlle|Frau|Señora|Sra|Madam|Г-жа|г-жа|Κυρία"
+NEUTRAL = r"Dr|Dra|Doctor|Prof|Professor|(?<![.\p{L}])M(?=\. )"
+TITLE = rf"(?:{MALE}|{FEMALE}|{NEUTRAL})\.? "
 DETECTORS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}",
     "secret": r"(?<!\p{L})(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']? ?[:=] ?[\"']?[A-Za-z0-9_+/.-]{8,}",
@@ -42,12 +47,12 @@ DETECTORS = {
     r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
     "card": r"(?<![A-Za-z0-9])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{13,19})(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "name": rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
+    "name": rf"(?<!\p{{L}}){TITLE}\p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
 }
 GIVEN = r"^[^ ]+ (\p{L}+) \p{L}+$"
 ANY = "|".join(f"(?:{p})" for p in DETECTORS.values())
 # What a text must have for any detector to match: quick to look for.
-HINT = rf"[0-9@]|(?i:token|secret|password|passwd|key)[\"']? ?[:=]|(?:{MALE}|{FEMALE})[. ]"
+HINT = rf"[0-9@]|(?i:token|secret|password|passwd|key)[\"']? ?[:=]|(?:{MALE}|{FEMALE}|{NEUTRAL})[. ]"
 
 # Letters a surrogate letter is drawn from, by script.
 LETTERS = (
@@ -60,11 +65,11 @@ LETTERS = (
     ("α-ωά-ώ", "αβγδεζηθικλμνξοπρστυφχψω"),
     ("Α-ΩΆ-Ώ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"),
 )
-# Consonants, vowels, and the endings of male and female first names, by script.
+# Consonants, vowels, and the endings of male, female and other first names, by script.
 SYLLABLES = {
-    "а": ("бвгдзклмнпрст", "аеиоу", "ин", "на"),
-    "α": ("βγδζκλμνπρστ", "αειου", "ος", "να"),
-    "a": ("bdfgklmnprstvz", "aeiou", "on", "na"),
+    "а": ("бвгдзклмнпрст", "аеиоу", "ин", "на", "ей"),
+    "α": ("βγδζκλμνπρστ", "αειου", "ος", "να", "ης"),
+    "a": ("bdfgklmnprstvz", "aeiou", "on", "na", "el"),
 }
 
 
@@ -106,7 +111,7 @@ def drawn(place: str, letters: str) -> str:
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """``entities`` (kind, entity, male, attempt) with a drawn ``surrogate``."""
+    """``entities`` (kind, entity, attempt) with a drawn ``surrogate``."""
     cases = " ".join(f"when c rlike '[{span}]' then {drawn('i + 1', letters)}" for span, letters in LETTERS)
     keep_first = "case when kind = 'card' then 1 when kind = 'iban' then 2 else 0 end"
     keep_last = "case when kind = 'email' then length(regexp_extract(entity, '[.][^.]*$', 0)) else 0 end"
@@ -123,16 +128,17 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     script = "case when entity rlike '[а-яё]' then 'а' when entity rlike '[α-ωά-ώ]' then 'α' else 'a' end"
     names = " ".join(
         f"when '{s}' then array_join(transform(sequence(1, greatest(4, length(entity))), i -> case when i % 2 = 1 then {drawn('i', c)} else {drawn('i', v)} end), '')"
-        for s, (c, v, _, _) in SYLLABLES.items()
+        for s, (c, v, *_) in SYLLABLES.items()
     )
     given = " ".join(
-        f"when '{s}' then concat(array_join(transform(sequence(1, 4 + 2 * greatest(0, attempt - {LENGTHEN - 1})), i -> case when i % 2 = 1 then {drawn('i', c)} else {drawn('i', v)} end), ''), case kind when 'given male' then '{male}' else '{female}' end)"
-        for s, (c, v, male, female) in SYLLABLES.items()
+        f"when '{s}' then concat(array_join(transform(sequence(1, 4 + 2 * greatest(0, attempt - {LENGTHEN - 1})), i -> case when i % 2 = 1 then {drawn('i', c)} else {drawn('i', v)} end), ''), case kind when 'given male' then '{male}' when 'given female' then '{female}' else '{other}' end)"
+        for s, (c, v, male, female, other) in SYLLABLES.items()
     )
     made = entities.withColumn("h", F.expr(stream(key, "kind, entity, attempt", "length(entity) + 16"))).withColumn(
         "surrogate",
         F.expr(f"case kind when 'ip' then {address} when 'name' then case {script} {names} end"
-            f" when 'given male' then case {script} {given} end when 'given female' then case {script} {given} end else {by_class} end"),
+            f" when 'given male' then case {script} {given} end when 'given female' then case {script} {given} end"
+            f" when 'given other' then case {script} {given} end else {by_class} end"),
     )
     # a card number with a valid check digit gets one
     valid = f"{_luhn('entity')} % 10 = 0"
@@ -160,9 +166,9 @@ def assigned(entities: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFra
     entities = written(entities, "entities")
     pending, done = entities.withColumn("attempt", F.lit(0)), None
     originals = entities.select("kind", F.col("entity").alias("value"))
-    # a given name is no surrogate of either gender
-    both = F.explode(F.array(F.lit("given male"), F.lit("given female"))).alias("kind")
-    originals = originals.union(originals.where("startswith(kind, 'given')").select(both, "value"))
+    # a given name is no surrogate of any gender
+    every = F.explode(F.array(*[F.lit(f"given {g}") for g in ("male", "female", "other")])).alias("kind")
+    originals = originals.union(originals.where("startswith(kind, 'given')").select(every, "value"))
     for attempt in range(attempts):
         made = written(surrogates(pending, key), "drawn")
         taken = originals if done is None else originals.union(done.select("kind", F.col("surrogate").alias("value")))
@@ -198,9 +204,10 @@ def poured() -> str:
 def replacements(mentions: DataFrame, key: str) -> DataFrame:
     """(raw, replacement) for each distinct mention of ``mentions`` (raw)."""
     told = mentions.select("raw").distinct().withColumn("kind", kind_of(F.col("raw")))
-    told = told.withColumn("entity", F.expr(canonical("kind", "raw"))).withColumn("male", F.col("raw").rlike(f"^(?:{MALE})[. ]"))
+    told = told.withColumn("entity", F.expr(canonical("kind", "raw")))
+    gender = F.when(F.col("raw").rlike(f"^(?:{MALE})[. ]"), "given male").when(F.col("raw").rlike(f"^(?:{FEMALE})[. ]"), "given female")
     first = F.when(F.col("kind") == "name", F.lower(F.regexp_extract("raw", GIVEN, 1)))
-    told = told.withColumn("given", F.when(first != "", first)).withColumn("given_kind", F.when(F.col("male"), "given male").otherwise("given female"))
+    told = told.withColumn("given", F.when(first != "", first)).withColumn("given_kind", gender.otherwise("given other"))
     told = written(told, "mentions")
     givens = told.where("given is not null").select(F.col("given_kind").alias("kind"), F.col("given").alias("entity"))
     own = assigned(told.select("kind", "entity").union(givens).distinct(), key)
@@ -209,6 +216,39 @@ def replacements(mentions: DataFrame, key: str) -> DataFrame:
     return joined.select("raw", F.expr(poured()).alias("replacement"))
 
 
+def untitled(raw) -> Column:
+    return F.regexp_replace(raw, f"^{TITLE}", "")
+
+
+def pattern(people: Column) -> Column:
+    """What is replaced in a text whose titled mentions give the names ``people``."""
+    again = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(people, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    return F.when(F.size(people) > 0, again).otherwise(F.lit(ANY))
+
+
+def named(texts: DataFrame) -> DataFrame:
+    """``texts`` (text) with ``mentions`` (raw, source) and ``people``.
+
+    Full names and surnames that a text's titled mentions give (``people``) are
+    mentions wherever else they stand in it. ``source`` is the titled mention that
+    tells the entity, one with a gender first; null: the mention itself.
+    """
+    out = texts.withColumn("found", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
+    out = out.withColumn("titled", F.array_distinct(F.filter("found", lambda r: r.rlike(f"^{DETECTORS['name']}$"))))
+    neutral = f"^(?:{NEUTRAL})[. ]"
+    out = out.withColumn("titled", F.concat(F.filter("titled", lambda r: ~r.rlike(neutral)), F.filter("titled", lambda r: r.rlike(neutral))))
+    out = out.withColumn(
+        "who", F.transform("titled", lambda r: F.struct(r.alias("raw"), untitled(r).alias("full"), F.regexp_extract(r, r"(\p{L}+)$", 1).alias("last")))
+    )
+    full = F.filter(F.col("who.full"), lambda x: x.contains(" "))  # before the surnames: the longer match
+    out = out.withColumn("people", F.array_distinct(F.concat(full, F.col("who.last"))))
+    first = lambda field, body: F.get(F.filter("who", lambda w: w[field] == body), F.lit(0))["raw"]
+    source = lambda raw: F.coalesce(first("full", untitled(raw)), first("last", untitled(raw)))
+    every = F.transform(F.regexp_extract_all("text", pattern(F.col("people")), F.lit(0)), lambda r: F.struct(r.alias("raw"), source(r).alias("source")))
+    plain = F.transform("found", lambda r: F.struct(r.alias("raw"), F.lit(None).cast("string").alias("source")))
+    return out.withColumn("mentions", F.when(F.size("people") > 0, every).otherwise(plain)).select("h", "mentions", "people")
+
+
 def rewrite(docs: DataFrame, key: str = KEY, text_col: str = "text", count_as: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text_col``; with ``count_as``, a last column
     of that name tells how many mentions were replaced.
@@ -226,15 +266,20 @@ def rewrite(docs: DataFrame, key: str = KEY, text_col: str = "text", count_as: s
     rebuilt = lambda new, n: [*[(new if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in names], *([n.alias(count_as)] if count_as else [])]
     free = docs.where(~hit).select(row).select(*rebuilt(F.col(f"row.`{text_col}`"), F.lit(0)))
     hits = docs.where(hit).select(row, text.alias("text")).withColumn("h", F.sha2("text", 256))
-    raws = hits.groupBy("h").agg(F.first(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("raws"))
+    raws = named(hits).groupBy("h").agg(F.first(F.struct("mentions", "people")).alias("m")).select("h", "m.*")
     raws = written(raws, "raws")
-    spread = raws.select("h", F.posexplode("raws").alias("at", "raw"))
-    told = spread.join(replacements(spread, key), "raw")
-    by_text = told.groupBy("h").agg(F.sort_array(F.collect_list(F.struct("at", "replacement"))).alias("news"))
-    by_text = by_text.select("h", F.col("news.replacement").alias("news"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    spread = raws.select("h", F.posexplode("mentions").alias("at", "m"), "people")
+    spread = spread.select("h", "at", "m.raw", F.coalesce("m.source", "m.raw").alias("source"), F.when(F.col("at") == 0, F.col("people")).alias("people"))
+    told = spread.join(replacements(spread.select(F.col("source").alias("raw")), key).toDF("source", "replacement"), "source")
+    # another mention of a titled name: its own title, and as much of the name as it has
+    part = F.when(untitled("raw").contains(" "), untitled("replacement")).otherwise(F.regexp_extract("replacement", "([^ ]+)$", 1))
+    own = F.when(F.col("raw") == F.col("source"), F.col("replacement")).otherwise(F.concat(F.regexp_extract("raw", f"^{TITLE}", 0), part))
+    told = told.withColumn("replacement", own)
+    by_text = told.groupBy("h").agg(F.sort_array(F.collect_list(F.struct("at", "replacement"))).alias("news"), F.first("people", True).alias("people"))
+    by_text = by_text.select("h", F.col("news.replacement").alias("news"), "people", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     # rows of one text are spread by whatever else they hold
     salted = hits.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
-    gaps = F.split("text", ANY, -1)
+    gaps = F.split("text", pattern(F.col("people")), -1)
     new = F.array_join(F.zip_with(gaps, "news", lambda gap, r: F.concat(gap, F.coalesce(r, F.lit("")))), "")
     done = salted.join(by_text, ["h", "salt"]).select(*rebuilt(new, F.size("news")))
     return free.unionByName(done)

@@ -413,6 +413,25 @@ def test_given_names_of_one_surname_stay_distinct(spark):
     assert got[6003].split()[1:] == got[1].split()[1:] and got[6000].split()[1].endswith("na")
 
 
+def test_later_mentions_without_a_title_follow(spark):
+    docs = make(spark, [
+        "Mr. John Smith met Dr. Ann Lee. Smith said: John Smith's mail is js@x.org; Smithson, Leeds and Blacksmith stay. Lee left, so did Dr. John Smith.",
+        "Smith and John Smith have no title here.",
+        "Prof. Ann Lee and Mrs. Ann Lee, at 5 P.M. Then M. Dupont came. Dupont, Ann Lee.",
+        "Dr. Ann Lee",
+    ])
+    got = {r.doc_id: r for r in privacy.rewrite(docs, count_as="found").collect()}
+    t = got[0].text
+    a = re.fullmatch(
+        r"Mr\. (\w+) (\w+) met Dr\. (\w+) (\w+)\. (\w+) said: (\w+) (\w+)'s mail is \w\w@\w\.org; Smithson, Leeds and Blacksmith stay\. (\w+) left, so did Dr\. (\w+) (\w+)\.", t
+    ).groups()
+    assert a[1] == a[4] == a[6] == a[9] != "Smith" and a[0] == a[5] == a[8] != "John" and a[3] == a[7] != "Lee" and got[0].found == 7
+    assert got[1].text == docs.where("doc_id = 1").first().text and got[1].found == 0
+    b = re.fullmatch(r"Prof\. (\w+) (\w+) and Mrs\. (\w+) (\w+), at 5 P\.M\. Then M\. (\w+) came\. (\w+), (\w+) (\w+)\.", got[2].text).groups()
+    assert b[0] == b[2] == b[6] and b[1] == b[3] == b[7] == a[3] and b[4] == b[5] != "Dupont" and b[0].endswith("na")
+    assert got[3].text.split()[1:] == [a[2], a[3]] and a[2].endswith("el")
+
+
 def test_no_python_in_the_native_operators(spark):
     docs = make(spark, PRIVATE)
     plan = privacy.rewrite(docs)._jdf.queryExecution().toString()  # noqa: SLF001
