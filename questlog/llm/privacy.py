@@ -52,7 +52,7 @@ DETECTORS = {
 GIVEN = r"^[^ ]+ (\p{L}+) \p{L}+$"
 ANY = "|".join(f"(?:{p})" for p in DETECTORS.values())
 # What a text must have for any detector to match: quick to look for.
-HINT = rf"[0-9@]|(?i:token|secret|password|passwd|key)[\"']? ?[:=]|(?:{MALE}|{FEMALE}|{NEUTRAL})[. ]"
+HINT = rf"[0-9@]|sk-|gh[pousr]_|AKIA|[0-9a-f]{{32}}|(?i:token|secret|password|passwd|key)[\"']? ?[:=]|(?:{MALE}|{FEMALE}|{NEUTRAL})[. ]"
 
 # Letters a surrogate letter is drawn from, by script.
 LETTERS = (

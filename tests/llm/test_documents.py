@@ -432,6 +432,12 @@ def test_later_mentions_without_a_title_follow(spark):
     assert got[3].text.split()[1:] == [a[2], a[3]] and a[2].endswith("el")
 
 
+def test_keys_without_a_digit_are_replaced(spark):
+    keys = ["sk-" + "abcde" * 4, "ghp_" + "abcdef" * 5, "AKIA" + "ABCD" * 4, "abcdef" * 5 + "ab", "abcdef" * 6 + "abcd"]
+    got = {r.doc_id: r.text for r in privacy.rewrite(make(spark, [f"it is {k} here" for k in keys])).collect()}
+    assert all(k not in got[i] and len(got[i]) == len(k) + 11 for i, k in enumerate(keys))
+
+
 def test_no_python_in_the_native_operators(spark):
     docs = make(spark, PRIVATE)
     plan = privacy.rewrite(docs)._jdf.queryExecution().toString()  # noqa: SLF001
