@@ -12,13 +12,15 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 
-# Rows in one Arrow batch: bounds a Python worker's memory when texts are long.
+# Rows and bytes of one Arrow batch: bound a Python worker's memory when texts are long.
 ARROW_ROWS = 1000
+ARROW_BYTES = 64 * 1024 * 1024
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Bound the Arrow batches that Python workers hold."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from .html import op4_html
 from .language import op5_language
 from .negatives import op11_negatives
+from .ngrams import op13_ngrams
 from .packing import op6_packing
 from .pieces import op3_pieces
 from .privacy import op9_privacy
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_negatives": op11_negatives,
     "op12_spelling": op12_spelling,
+    "op13_ngrams": op13_ngrams,
 }
 
 # Trained models, hashes, tokenizers and HTML are beyond DuckDB's SQL: those queries are tested against brute force.
