@@ -40,7 +40,7 @@ def _amount(a: Column | str | int) -> Column:
     return F.col(a) if isinstance(a, str) else F.lit(a)
 
 
-def _signed_amount(sources: Mapping[str, str], sinks: Mapping[str, Column | str | int]) -> tuple[Column, Column]:
+def signed_amount(sources: Mapping[str, str], sinks: Mapping[str, Column | str | int]) -> tuple[Column, Column]:
     """(gold in, gold out) of one event row, each 0 when not applicable."""
     src = F.lit(0).cast("long")
     for event, amount in sources.items():
@@ -66,16 +66,16 @@ def economy_flow(
     amount column or constant}. ``sources`` defaults to level completions
     and ad rewards; pass ``{"level_complete": "gold_earned"}`` to count only
     what the per-level report counts."""
+    sums = flow_sums(ev, sinks, sources, by)
+    return sums.select(*by, "gold_source", "gold_sink", (F.col("gold_source") - F.col("gold_sink")).alias("net_flow")).orderBy(*by)
+
+
+def flow_sums(ev: DataFrame, sinks: Mapping[str, Column | str | int], sources: Mapping[str, str] | None, by: Sequence[str]) -> DataFrame:
+    """Gold created and removed by ``by``."""
     sources = dict(DEFAULT_SOURCES if sources is None else sources)
-    src, snk = _signed_amount(sources, sinks)
-    names = list(sources) + list(sinks)
-    return (
-        ev.where(F.col("event_name").isin(names))
-        .groupBy(*by)
-        .agg(F.sum(src).alias("gold_source"), F.sum(snk).alias("gold_sink"))
-        .select(*by, "gold_source", "gold_sink", (F.col("gold_source") - F.col("gold_sink")).alias("net_flow"))
-        .orderBy(*by)
-    )
+    src, snk = signed_amount(sources, sinks)
+    rows = ev.where(F.col("event_name").isin(list(sources) + list(sinks)))
+    return rows.groupBy(*by).agg(F.sum(src).alias("gold_source"), F.sum(snk).alias("gold_sink"))
 
 
 def wallet_balance(
@@ -107,7 +107,7 @@ def wallet_balance(
     """
     spark = ev.sparkSession
     sources = dict(DEFAULT_SOURCES if sources is None else sources)
-    src, snk = _signed_amount(sources, sinks)
+    src, snk = signed_amount(sources, sinks)
     user_type = ev.schema[user].dataType
     rows = ev.select(
         F.col(user),

@@ -23,24 +23,33 @@ def monetization_daily(ev: DataFrame, purchase_event: str = PURCHASE) -> DataFra
     distinct count becomes a plain count and no ``Expand`` is planned; a hot
     user or a hot day is pre-aggregated map-side before either shuffle.
     """
+    return daily_ratios(daily_sums(ev, purchase_event)).orderBy(F.col("event_date").desc())
+
+
+def daily_sums(ev: DataFrame, purchase_event: str = PURCHASE) -> DataFrame:
+    """What K09's ratios are made of: (event_date, dau, paying_users, revenue)."""
     per_user = ev.groupBy("event_date", "user_id").agg(
         F.max(F.col("event_name") == purchase_event).alias("_payer"),
         F.sum("revenue").alias("_rev"),
     )
-    daily = per_user.groupBy("event_date").agg(
+    return per_user.groupBy("event_date").agg(
         F.count("user_id").alias("dau"),
         F.count_if(F.col("user_id").isNotNull() & F.col("_payer")).alias("paying_users"),
-        F.sum("_rev").alias("_total"),
+        F.sum("_rev").alias("revenue"),
     )
+
+
+def daily_ratios(daily: DataFrame) -> DataFrame:
+    """K09's columns from :func:`daily_sums`."""
     return daily.select(
         "event_date",
         "dau",
         "paying_users",
-        round_money(F.coalesce(F.col("_total"), F.lit(0))).alias("total_revenue"),
-        ratio("_total", "dau", 3, num_scale=2).alias("arpu"),
-        ratio("_total", "paying_users", 3, num_scale=2).alias("arppu"),
+        round_money(F.coalesce(F.col("revenue"), F.lit(0))).alias("total_revenue"),
+        ratio("revenue", "dau", 3, num_scale=2).alias("arpu"),
+        ratio("revenue", "paying_users", 3, num_scale=2).alias("arppu"),
         ratio("paying_users", "dau", 4).alias("conversion_rate"),
-    ).orderBy(F.col("event_date").desc())
+    )
 
 
 def user_ltv(ev: DataFrame, purchase_event: str = PURCHASE) -> DataFrame:

@@ -30,6 +30,7 @@ from ..sources.readers import read_flat_events, read_raw_events, read_user_acqui
 from ..sources.sinks import write_csv, write_raw_events
 from ..sources.staged import staged_folder
 from .files import FILE_QUERIES
+from .live import LIVE_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,8 +160,7 @@ def q_tiers(spark, sf_dir):
 
 
 def q_tier_filtered_events(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    ev = audience.filter_by_tier(t.master_events(), t.user_acquisition(), TIER_SUBSET)
+    ev = audience.filter_tagged_by_tier(_t(spark, sf_dir).acquired_events(), TIER_SUBSET)
     return ev.select("event_id", "user_id", "event_name")
 
 
@@ -235,10 +235,10 @@ def q_ltv_curve_all_days(spark, sf_dir):
 
 
 def q_ltv_revenue_outside(spark, sf_dir):
-    """What the report's curve of days 0 to 10 leaves out."""
+    """What the report's curve of days 0 to 30 leaves out."""
     t, ev, ua = _dashboard(spark, sf_dir)
     sums = revenue.tier_day_sums(revenue.with_day_diff(revenue.revenue_facts(ev)))
-    return revenue.revenue_outside_days(sums, 10)
+    return revenue.revenue_outside_days(sums, LTV_DAYS)
 
 
 def q_level_funnel_all(spark, sf_dir):
@@ -490,5 +490,5 @@ QUERIES: dict[str, Query] = {
     "stream_dau_exact": _engine(q_stream_dau_exact),
     "stream_economy_daily": _engine(q_stream_economy_daily),
     "stream_level_outcomes_daily": _engine(q_stream_level_outcomes_daily),
-    **{name: _engine(fn) for name, fn in FILE_QUERIES.items()},
+    **{name: _engine(fn) for name, fn in {**FILE_QUERIES, **LIVE_QUERIES}.items()},
 }

@@ -442,7 +442,7 @@ ORACLE["ltv_curve_all_days"] = ORACLE["ltv_curve"].replace(
 )
 ORACLE["ltv_revenue_outside"] = with_(ME, UA, IAP, ADS, IAPF, ADSF, _TIER_DAY) + f"""
 SELECT tier, {money('coalesce(SUM(rev) FILTER (day_diff < 0), 0)')} AS before_install,
-  {money('coalesce(SUM(rev) FILTER (day_diff > 10), 0)')} AS after_last_day
+  {money('coalesce(SUM(rev) FILTER (day_diff > 30), 0)')} AS after_last_day
 FROM td WHERE day_diff IS NOT NULL GROUP BY 1"""
 ORACLE["economy_flow_by_level"] = with_(ME) + f"""
 SELECT event_date, level_id, gold_source, gold_sink, gold_source - gold_sink AS net_flow FROM (
@@ -484,3 +484,38 @@ FROM me WHERE event_name IN ('level_complete', 'level_fail') AND level_id IS NOT
 GROUP BY 1, 2 HAVING wins < 0.48 * attempts"""
 ORACLE["stream_dau_approx"] = with_(ME) + """
 SELECT DISTINCT event_date AS date, TRUE AS within_bound FROM me WHERE event_name = 'session_start'"""
+
+# ---- what is kept up to date -------------------------------------------------------
+
+ORACLE["bitmap_dau"] = ORACLE["dau_sessions"]
+ORACLE["bitmap_mau"] = ORACLE["mau_sessions"]
+ORACLE["bitmap_stickiness"] = ORACLE["engagement_stickiness"]
+ORACLE["bitmap_dau_any_event"] = ORACLE["dau_any_event"]
+ORACLE["bitmap_rolling_users"] = with_(ME, _SESSION_DAYS, "span AS (SELECT unnest(range(min(event_date), max(event_date) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM sd)") + """
+SELECT CAST(d AS DATE) AS date, count(DISTINCT user_pseudo_id) AS users
+FROM span JOIN sd ON event_date BETWEEN CAST(d AS DATE) - 6 AND CAST(d AS DATE) GROUP BY 1"""
+ORACLE["sketch_active_users"] = with_(ME, _SESSION_DAYS) + """
+SELECT DISTINCT 'day' AS span, event_date AS period, TRUE AS within_bound FROM sd
+UNION ALL SELECT DISTINCT 'month', CAST(date_trunc('month', event_date) AS DATE), TRUE FROM sd"""
+ORACLE["words_retention"] = ORACLE["retention_d1_d3_d7"]
+ORACLE["words_retention_rates"] = ORACLE["retention_rate_d1_d7_d30"]
+ORACLE["words_retention_matrix"] = ORACLE["retention_matrix"]
+ORACLE["states_difficulty"] = ORACLE["difficulty_curve"]
+ORACLE["states_monetization"] = ORACLE["monetization_daily"]
+ORACLE["states_economy_flow"] = ORACLE["economy_flow"]
+ORACLE["states_economy_flow_by_level"] = ORACLE["economy_flow_by_level"]
+ORACLE["stream_wallet_balance"] = ORACLE["log_wallet_balance"]
+# four arrivals by day, every 10th event an arrival late and every 50th two; two days of delay
+ORACLE["stream_late_rows"] = with_(
+    ME,
+    "bounds AS (SELECT min(event_date) AS lo, (max(event_date) - min(event_date) + 1 + 3) // 4 AS span, max(event_date) AS hi FROM me)",
+    """arrived AS (SELECT event_date, least((event_date - lo) // span
+        + CASE WHEN event_id % 50 = 0 THEN 2 WHEN event_id % 10 = 0 THEN 1 ELSE 0 END, 3) AS arrival FROM me, bounds)""",
+    "tops AS (SELECT arrival, max(event_date) AS top FROM arrived GROUP BY 1)",
+    """marks AS (SELECT arrival, max(top) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 2 AS mark
+        FROM tops)""",
+    "judged AS (SELECT event_date, coalesce(event_date + 1 <= mark, FALSE) AS late FROM arrived JOIN marks USING (arrival))",
+) + """
+SELECT event_date AS date, count(*) FILTER (NOT late) AS on_time, count(*) FILTER (late) AS late,
+  CASE WHEN event_date + 1 <= (SELECT hi FROM bounds) - 2 AND count(*) FILTER (NOT late) > 0 THEN count(*) FILTER (NOT late) END AS emitted
+FROM judged GROUP BY 1"""

@@ -135,16 +135,27 @@ def batch_writer(out_path: str, fmt: str = "parquet") -> Callable[[DataFrame, in
 def upsert_writer(out_path: str, keys: list[str], day: str = "date") -> Callable[[DataFrame, int], None]:
     """Idempotent ``foreachBatch`` upsert of a mart partitioned by ``day``.
     A batch replaces the partitions of its days, with their earlier rows of
-    other keys kept; the merge is checkpointed before the partitions it read are
-    overwritten, and a retried batch writes the same rows again."""
+    other keys kept; a retried batch writes the same rows again.
+
+    Where the day is the key, a partition is replaced as a whole and nothing is
+    read. Otherwise the batch, which is read three times, is held while it is merged
+    (a micro-batch is an aggregate of what changed), only its days are read from the
+    mart, and what is kept of them is checkpointed before they are overwritten."""
+    whole_days = list(keys) == [day]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if exists(spark, out_path):
-            old = spark.read.schema(batch.schema).parquet(out_path)
-            kept = old.join(batch.select(day).distinct(), day, "left_semi").join(batch.select(*keys), keys, "left_anti")
-            batch = batch.unionByName(kept.select(*batch.columns))
-        write_mart(batch.checkpoint(), out_path, (day,))
+        if whole_days or not exists(spark, out_path):
+            write_mart(batch, out_path, (day,))
+            return
+        batch = batch.persist()
+        try:
+            days = [r[0] for r in batch.select(day).distinct().collect()]
+            old = spark.read.schema(batch.schema).parquet(out_path).where(F.col(day).isin(days))
+            kept = old.join(batch.select(*keys), keys, "left_anti").select(*batch.columns).checkpoint()
+            write_mart(batch.unionByName(kept), out_path, (day,))
+        finally:
+            batch.unpersist()
 
     return write
 
