@@ -35,13 +35,19 @@ def canonical(json: str) -> str:
     return f"to_json(try_parse_json({json}))"
 
 
+def quoted(text: str) -> str:
+    """SQL: a text as a JSON string, whatever characters it holds; null as ``null``."""
+    return f"coalesce(substr(to_json(array({text})), 2, length(to_json(array({text}))) - 2), 'null')"
+
+
 def parts(messages: DataFrame) -> DataFrame:
     """Calls, results and messages of (conv_id, turn, role, text), with the number of copies of repeated rows."""
     rows = messages.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
     ).groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies"))
     blocks = F.regexp_extract_all("text", F.lit(r"(?s)<tool_call>(.*?)</tool_call>"), F.lit(1))
-    rows = rows.withColumn("blocks", F.when(F.col("role") == "assistant", blocks))
+    linked = "conv_id is not null and turn is not null"  # else a row has no identifier
+    rows = rows.withColumn("blocks", F.when((F.col("role") == "assistant") & F.expr(linked), blocks))
     explicit = rows.where("size(blocks) > 0").select("conv_id", "turn", "role", "copies", F.posexplode("blocks").alias("n", "block"))
     explicit = explicit.selectExpr(
         "conv_id", "turn", "n", "'call' kind", "coalesce(get_json_object(block, '$.id'), concat(conv_id, ':', turn, ':', n)) id",
@@ -50,11 +56,10 @@ def parts(messages: DataFrame) -> DataFrame:
     )
     plain = rows.where("blocks is null or size(blocks) = 0")
     told = "role = 'tool' and get_json_object(text, '$.tool_call_id') is not null"
-    linked = "conv_id is not null and turn is not null"
     plain = plain.selectExpr(
         "conv_id", "turn", "0 n",
-        f"""case when {told} or {linked} and role = 'assistant' and turn > 0 then 'result'
-            when {linked} and role = 'user' then 'call' else 'message' end kind""",
+        f"""case when not ({linked}) then 'message' when {told} or role = 'assistant' and turn > 0 then 'result'
+            when role = 'user' then 'call' else 'message' end kind""",
         f"""case when {told} then get_json_object(text, '$.tool_call_id')
             when role = 'assistant' then concat(conv_id, ':', turn - 1) else concat(conv_id, ':', turn) end id""",
         "case when role = 'user' then 'reply' end name",
@@ -144,10 +149,10 @@ def link_calls(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
         """case when kind is null then 'orphan_result' when ordered and level is null then 'cycle'
             when answered then 'linked' else 'no_result' end status""",
         f"{checked(schemas or SCHEMAS)} valid", "coalesce(copies, r_copies) copies",
-        """case when kind is null then to_json(named_struct('content', result, 'role', r_role), map('ignoreNullFields', 'false'))
-            else concat('{"arguments":', coalesce(to_json(v), to_json(named_struct('malformed', arguments), map('ignoreNullFields', 'false'))),
-                ',"depends_on":', coalesce(to_json(array_sort(depends_on)), '[]'), ',"id":', to_json(parse_json(concat('"', replace(replace(id, '\\\\', '\\\\\\\\'), '"', '\\\\"'), '"'))),
-                ',"name":', coalesce(concat('"', name, '"'), 'null'), ',"result":', coalesce(substr(to_json(array(result)), 2, length(to_json(array(result))) - 2), 'null'), '}') end json""",
+        f"""case when kind is null then to_json(named_struct('content', result, 'role', r_role), map('ignoreNullFields', 'false'))
+            else concat('{{"arguments":', coalesce(to_json(v), to_json(named_struct('malformed', arguments), map('ignoreNullFields', 'false'))),
+                ',"depends_on":', coalesce(to_json(array_sort(depends_on)), '[]'), ',"id":', {quoted("id")}, ',"name":', {quoted("name")},
+                ',"result":', {quoted("result")}, '}}') end json""",
     )
     other = rows.where("kind = 'message'").withColumn("status", F.lit("message"))
     other = other.unionByName(calls.where("not first").unionByName(results.where("not first")).drop("first").withColumn("status", F.lit("duplicate")))
