@@ -174,7 +174,7 @@ def search(pages, x, root: int, q: np.ndarray, reach: float, k: int, barred: np.
     return found_rows[found_d <= bound + SLACK]
 
 
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query long, vec_id long, score long"
 
 
 def _search_group(width: int, top2: float, k: int):
@@ -191,11 +191,15 @@ def _search_group(width: int, top2: float, k: int):
             # |q - x|^2 = |q|^2 + M^2 - 2 q.x: the distance of a row that scores the bound
             reach = np.sqrt(np.maximum((whole_q**2).sum(1) + top2 - 2 * queries["bound"].to_numpy(np.float64), 0))
             reach = np.where(queries["bound"].isna(), np.inf, reach)
-            for i, query_id in enumerate(queries["vec_id"]):
-                rows = search(pages, x, root, q[i], float(reach[i]), k, ids == query_id)
+            for i, (number, vec_id) in enumerate(zip(queries["query"], queries["vec_id"])):
+                own = np.flatnonzero(ids == vec_id)
+                own = own[(exact[own] == whole_q[i]).all(1)][:1]  # one row is the query itself, its equals are not
+                barred = np.zeros(len(ids), bool)
+                barred[own] = True
+                rows = search(pages, x, root, q[i], float(reach[i]), k, barred)
                 scores = exact[rows] @ whole_q[i].astype(np.int64)
-                out.extend((query_id, ids[rows[j]], scores[j]) for j in np.lexsort((ids[rows], -scores))[:k])
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+                out.extend((number, ids[rows[j]], scores[j]) for j in np.lexsort((ids[rows], -scores))[:k])
+        return pd.DataFrame(out, columns=["query", "vec_id", "score"]).astype("int64")
 
     return run
 
@@ -241,9 +245,9 @@ def top_k(embeddings: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
 
     Vectors that are null or hold a null or a non-finite component take no part;
     shorter vectors count as padded with 0, empty ones score 0. "Other" rows are
-    those of another vec_id, so repeated rows of a query's own id don't appear;
-    other repeated rows appear as often as they are there. A null vec_id takes
-    no part. Empty table: no rows.
+    all but the query's own: rows that repeat its vec_id, or the whole row, appear like
+    any other, as often as they are there, and each of several query rows of one vec_id is a
+    query of its own. A null vec_id takes no part. Empty table: no rows.
     """
     spark = embeddings.sparkSession
     rows = written(vectors(embeddings).where("vec_id is not null"), "vectors")
@@ -251,7 +255,7 @@ def top_k(embeddings: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not n:
         return empty
-    top2, width = float(top2), int(width) // 8
+    top2, width = float(top2), max(1, int(width) // 8)  # vectors may all be empty
     # Routing objects: rows spread over the table by hash, at most ROUTES of them.
     wanted = max(1, min(ROUTES, -(-n // CHUNK)))
     picked = rows.orderBy(F.xxhash64("vec_id")).limit(wanted).select("v").collect()
@@ -278,12 +282,14 @@ def top_k(embeddings: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     trees = written(trees, "pages")
 
     blocks = max(1, -(-(n // every) // QUERIES))
-    spread = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block")
-    asked = routed.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).withColumn("chunk", place)
-    home = asked.select("vec_id", "v", "route", "chunk", spread, F.lit(None).cast("long").alias("bound"))
+    # queries are numbered once: equal rows ask the same and are one query
+    asked = routed.where(F.col("vec_id") % every == 0).groupBy("vec_id", "v", "route").agg(F.count("*").alias("times"))
+    asked = written(asked.withColumn("query", F.monotonically_increasing_id()).withColumn("chunk", place), "queries")
+    spread = F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block")
+    home = asked.select("vec_id", "v", "route", "chunk", spread, F.lit(None).cast("long").alias("bound"), "query")
     first = written(_searched(trees, home, blocks, width, top2, k), "home")
-    bounds = first.groupBy("query_id").agg(F.count("*").alias("found"), F.min("score").alias("low")).select(
-        F.col("query_id").alias("vec_id"), F.when(F.col("found") >= k, F.col("low")).alias("bound")
+    bounds = first.groupBy("query").agg(F.count("*").alias("found"), F.min("score").alias("low")).select(
+        "query", F.when(F.col("found") >= k, F.col("low")).alias("bound")
     )
     centres, reach_of, counts = heads, radius, chunks
 
@@ -307,16 +313,17 @@ def top_k(embeddings: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
                             take.append(i), to_route.append(r), to_chunk.append(part)
             got = b.take(pa.array(take, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [got.column(0), got.column(1), pa.array(to_route, pa.int32()), pa.array(to_chunk, pa.int32()), got.column(5), got.column(4)],
-                names=["vec_id", "v", "route", "chunk", "block", "bound"],
+                [got.column(0), got.column(1), pa.array(to_route, pa.int32()), pa.array(to_chunk, pa.int32()), got.column(5), got.column(4), got.column(6)],
+                names=["vec_id", "v", "route", "chunk", "block", "bound", "query"],
             )
 
-    bounded = home.drop("bound").join(bounds, "vec_id", "left").select("vec_id", "v", "route", "chunk", "bound", "block")
-    onward = bounded.mapInArrow(visit, "vec_id long, v binary, route int, chunk int, block int, bound long")
+    bounded = home.drop("bound").join(bounds, "query", "left").select("vec_id", "v", "route", "chunk", "bound", "block", "query")
+    onward = bounded.mapInArrow(visit, "vec_id long, v binary, route int, chunk int, block int, bound long, query long")
     rest = _searched(trees, onward, blocks, width, top2, k)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = first.union(rest).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    who = asked.select("query", F.col("vec_id").alias("query_id"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return ranked.join(who, "query").select("query_id", "rank", "vec_id", "score")
 
 
 def _searched(trees: DataFrame, queries: DataFrame, blocks: int, width: int, top2: float, k: int) -> DataFrame:

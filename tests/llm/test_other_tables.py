@@ -103,6 +103,39 @@ def test_search_skips_distances_and_stays_exact():
     assert sum(counted) < 0.5 * len(x) * len(x[::97])
 
 
+def brute_rows(rows, every, k=5):
+    """Every row is one of its own: repeated query rows ask, and are found, as often as they are there."""
+    w = [(i, np.floor(256 * np.array(v, np.float64))) for i, v in rows]
+    out = []
+    for at, (q, v) in enumerate(w):
+        if q % every == 0:
+            score = sorted((-int(sum(a * b for a, b in zip(v, x))), i) for n, (i, x) in enumerate(w) if n != at)
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(score[:k])]
+    return sorted(out)
+
+
+def test_topk_answers_every_query_row(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CHUNK", 20)
+    r = random.Random(4)
+    rows = [(i % 60, [float(np.float32(r.gauss(0, 1))) for _ in range(3)]) for i in range(120)]  # two vectors an id
+    rows += [rows[0], rows[0], rows[50], (100, []), (100, []), (150, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(tuple(x) for x in topk.top_k(df.repartition(3), every=50).collect()) == brute_rows(rows, 50)
+
+
+def test_topk_of_empty_vectors(spark):
+    rows = [(i, []) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(tuple(x) for x in topk.top_k(df).collect()) == brute_rows(rows, 50)
+
+
+def test_topk_by_many_routes_on_the_whole_table(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CHUNK", 32)
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert sorted(tuple(x) for x in topk.top_k(df).collect()) == brute_rows(rows, 50)
+
+
 def test_topk_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df).count() == 0
@@ -143,6 +176,24 @@ def test_linking(spark):
     assert toolcalls.link_calls(df.limit(0)).count() == 0
 
 
+def test_odd_ids_and_names_stay_json(spark):
+    odd = ["a\nb", "t\tx", 'q"q', "back\\slash", "\r\x0b\x01", "é 😀", ""]
+    block = lambda **x: f"<tool_call>{json.dumps(x)}</tool_call>"
+    rows = [(7, i, "assistant", block(id=x, name=x, arguments={x or "k": x})) for i, x in enumerate(odd)]
+    rows += [(7, 100 + i, "tool", json.dumps({"tool_call_id": x, "content": x})) for i, x in enumerate(odd) if x]
+    rows += [(None, 1, "assistant", block(id="n", name="n")), (None, 2, "tool", json.dumps({"tool_call_id": "n", "content": "c"})), (8, None, "assistant", block(id="m"))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = toolcalls.link_calls(df).collect()
+    assert all(isinstance(json.loads(r.json), dict) for r in got)
+    by = {json.loads(r.json).get("id"): json.loads(r.json) for r in got if r.conv_id == 7}
+    for x in odd:
+        if x:
+            assert by[x] == {"arguments": {x: x}, "depends_on": [], "id": x, "name": x, "result": x}
+            same = next(r.json for r in got if r.conv_id == 7 and json.loads(r.json)["id"] == x)
+            assert same.lower() == json.dumps(by[x], sort_keys=True, separators=(",", ":"), ensure_ascii=False).lower()
+    assert [r.status for r in got if r.conv_id != 7] == ["message"] * 3  # rows without an identifier
+
+
 def test_long_conversation_is_in_order(spark):
     n = 1000
     rows = [(1, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(n)]
