@@ -12,12 +12,15 @@ and what is left is probed in the long ones.
   lists; where too many of those are frequent, the document is taken apart in full.
 * **Merge.** The short lists are a table sorted by shingle; merging them is Spark's sort-merge
   join of the lists with themselves, and a candidate's occurrences are counted per pair.
+* **Bound.** Each set has a mark of ``MARKS`` bits, the parity of its hashes in as many buckets. Two marks differ in at most
+  as many bits as the sets have shingles not in common, so most pairs that meet without linking (copies edited
+  too much, a passage in common) are ruled out where the lists are merged, by a few XORs.
 * **Probe.** A pair with t occurrences is probed with a binary search for each remaining
   shingle in the partner's sorted set, and given up as soon as T is out of reach.
 
 Only the classes are asked for, so no group of copies is paired off. Documents of equal sets
-are one node. Of each short list, first only the pairs with a few leading nodes are probed,
-which joins a group of near copies into one component; then the lists are merged again for
+are one node. Of each short list, first only the pairs with a few leading nodes are counted
+and probed, which joins a group of near copies into one component; then the lists are merged again for
 the pairs of nodes in different components. A pair inside a component needs no proof, and every
 other pair with t occurrences is probed: no link between components is lost.
 """
@@ -34,7 +37,11 @@ from .common import components, prepare, table, text_batches, written
 
 WORDS = 4
 SHARE = (85, 100)
-HOT = 256
+# t grows by one with so many shingles.
+PER_OCCURRENCE = 100
+# Bits of a set's mark, in words of 64.
+MARKS = 512
+HOT = 64
 LEADERS = 3
 SEED = 0
 # Below this number of rows, the ids of the nodes to be probed are broadcast (16 bytes each); above, texts are shuffled.
@@ -64,7 +71,7 @@ def at_least(n: int) -> int:
 
 def occurrences(n: int) -> int:
     """t: how often a partner must occur in the short lists."""
-    return 1 + n // 100
+    return 1 + n // PER_OCCURRENCE
 
 
 def short_lists(n: int) -> int:
@@ -95,11 +102,27 @@ def linked(a: np.ndarray, b: np.ndarray, block: int = 512) -> bool:
     return found >= need
 
 
-SETS = "doc_id long, text_hash long, n long, node long, first array<long>"
+SETS = "doc_id long, text_hash long, n long, node long, first array<long>, mark array<long>"
+
+
+def mark(hashes: np.ndarray) -> np.ndarray:
+    """The parity of the number of hashes in each of ``MARKS`` buckets, as 64-bit words."""
+    odd = np.bincount(hashes & (MARKS - 1), minlength=MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def may_link(a: str, b: str) -> F.Column:
+    """Whether sizes (columns n and the side's name) and marks allow two sets to link: they have at most so many
+    shingles not in common as the marks differ in bits."""
+    both = F.col(f"n{a}") + F.col(f"n{b}")
+    total = SHARE[0] + SHARE[1]
+    most = both - 2 * F.floor((SHARE[0] * both + (total - 1)) / total)
+    differ = sum((F.bit_count(F.col(f"mark{a}")[i].bitwiseXOR(F.col(f"mark{b}")[i])) for i in range(MARKS // 64)), F.lit(0))
+    return size_fits(f"n{a}", f"n{b}") & (differ <= most)
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, n, node, first) of every row: set size, the set's hash and its first shingles by hash."""
+    """(doc_id, text_hash, n, node, first, mark) of every row: set size, the set's hash, its first shingles by hash, its mark."""
 
     def run(batches):
         for b, texts in text_batches(batches):
@@ -109,8 +132,9 @@ def sets(docs: DataFrame) -> DataFrame:
                     b.column(0), b.column(1), pa.array([len(s) for s in found], pa.int64()),
                     pa.array(np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in found], np.uint64).view(np.int64)),
                     pa.array([s[: first_shingles(len(s))] for s in found], pa.list_(pa.int64())),
+                    pa.array([mark(s) for s in found], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_hash", "n", "node", "first"],
+                names=["doc_id", "text_hash", "n", "node", "first", "mark"],
             )
 
     prepare(docs.sparkSession)
@@ -180,6 +204,11 @@ def size_fits(a: str, b: str) -> F.Column:
     return F.lit(SHARE[1]) * F.least(a, b) >= F.lit(SHARE[0]) * F.greatest(a, b)
 
 
+def enough() -> F.Column:
+    """Whether two documents met in t short lists (column ``times``), t being the smaller one's."""
+    return F.col("times") >= 1 + F.floor(F.least("na", "nb") / PER_OCCURRENCE)
+
+
 def probed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The links among ``pairs`` (a, b), and the whole sets that were made for them (``known``: those made before)."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -223,9 +252,10 @@ def classes(docs: DataFrame, hot_at: int = HOT, leaders: int = LEADERS) -> DataF
     """
     own = written(sets(docs), "sets")
     some = own.where("n > 0")
-    nodes = some.groupBy("node", "n").agg(F.min("doc_id").alias("low"), F.min_by("text_hash", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("text_hash"), F.first("first").alias("first"))
+    nodes = some.groupBy("node", "n").agg(F.min("doc_id").alias("low"), F.min_by("text_hash", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("text_hash"), F.first("first").alias("first"), F.first("mark").alias("mark"))
     nodes = written(nodes, "nodes")
     lists = short_list_table(docs, nodes, hot_at)
+    sides = [nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("mark").alias(f"mark{x}")) for x in "ab"]
 
     # the few that lead each list, among nodes of about one size: the same few in all the lists of a group of near copies
     size = F.floor(F.log(F.col("n")) / F.log(F.lit(SHARE[1] / SHARE[0]))).alias("size")
@@ -235,8 +265,10 @@ def classes(docs: DataFrame, hot_at: int = HOT, leaders: int = LEADERS) -> DataF
     ).where("many > 1")
     heads = heads.select("s", "size", F.explode("heads").alias("head")).select("s", "size", F.col("head.node").alias("a"), F.col("head.n").alias("m"))
     pairs = sized.join(heads, ["s", "size"]).where((F.col("node") != F.col("a")) & size_fits("n", "m"))
-    pairs = pairs.select(F.least("node", "a").alias("a"), F.greatest("node", "a").alias("b")).distinct()
-    first, wholes = probed(written(pairs, "pairs"), docs, nodes)
+    pairs = pairs.groupBy(F.least("node", "a").alias("a"), F.greatest("node", "a").alias("b")).agg(F.count("*").alias("times"))
+    for x, side in zip("ab", sides):
+        pairs = pairs.join(side.hint("merge"), x)
+    first, wholes = probed(written(pairs.where(may_link("a", "b") & enough()).select("a", "b"), "pairs"), docs, nodes)
     found = components(first)
 
     # the rest: lists that reach into several components, pairs of nodes in different ones
@@ -244,10 +276,10 @@ def classes(docs: DataFrame, hot_at: int = HOT, leaders: int = LEADERS) -> DataF
     owned = written(owned, "owned")
     mixed = owned.groupBy("s").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("s")
     left = owned.join(mixed, "s", "left_semi")
-    one, other = left.select("s", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")), left.select("s", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    t = 1 + F.floor(F.least("na", "nb") / 100)
-    met = one.join(other, "s").where((F.col("ca") < F.col("cb")) & size_fits("na", "nb")).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("times"))
-    rest, _ = probed(written(met.where(F.col("times") >= t).select("a", "b"), "pairs"), docs, nodes, wholes)
+    one, other = (left.join(side.hint("merge"), left["node"] == side[x]).select("s", x, F.col("c").alias(f"c{x}"), f"n{x}", f"mark{x}") for x, side in zip("ab", sides))
+    met = one.join(other.hint("merge"), "s").where((F.col("ca") < F.col("cb")) & may_link("a", "b"))
+    met = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("times"))
+    rest, _ = probed(written(met.where(enough()).select("a", "b"), "pairs"), docs, nodes, wholes)
     found = components(first.union(rest))
 
     named = nodes.join(found.select("node", "root"), "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))

@@ -104,6 +104,15 @@ def test_linked_is_the_exact_share():
             assert ngrams.linked(a, b, 64) == (100 * both >= 85 * (len(a) + len(b) - both))
 
 
+def test_marks_never_exceed_the_difference():
+    r = np.random.default_rng(2)
+    for _ in range(300):
+        a = np.unique(r.integers(-(2**63), 2**63 - 1, int(r.integers(1, 900))))
+        b = np.unique(np.concatenate([a[r.random(len(a)) < r.random()], r.integers(-(2**63), 2**63 - 1, int(r.integers(0, 200)))]))
+        bits = sum(int(x).bit_count() for x in np.bitwise_xor(ngrams.mark(a), ngrams.mark(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b))
+
+
 def test_sizes():
     for n in range(1, 3000):
         assert ngrams.at_least(n) == -(-85 * n // 100) and 1 <= ngrams.short_lists(n) <= ngrams.first_shingles(n) <= n
