@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
+from ..functions.numeric import round_money
 from ..operators import audience, engagement, rollups
 from ..schemas import LEVEL_FAIL
 from ..sources.driver_tables import DriverTables
@@ -157,7 +158,19 @@ def q_stream_wallet(spark, sf_dir):
     return run_stream_wallet_on_driver_tables(spark, sf_dir, FLOW_SINKS)
 
 
+def q_ingested_events(spark, sf_dir):
+    """N05 by file stream."""
+    from ..streaming.replay import run_ingest_on_driver_tables
+
+    me = run_ingest_on_driver_tables(spark, sf_dir)
+    return me.select(
+        "event_id", "user_id", "event_date", "event_name", "level_id", "win_loss_status", "gold_earned",
+        round_money("revenue").alias("revenue"), "gold_reward", "placement", "product_id",
+    )
+
+
 LIVE_QUERIES = {
+    "ingested_events": q_ingested_events,
     "stream_late_rows": q_stream_late_rows,
     "stream_wallet_balance": q_stream_wallet,
     "bitmap_dau": q_bitmap_dau,

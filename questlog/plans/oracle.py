@@ -504,6 +504,7 @@ ORACLE["states_difficulty"] = ORACLE["difficulty_curve"]
 ORACLE["states_monetization"] = ORACLE["monetization_daily"]
 ORACLE["states_economy_flow"] = ORACLE["economy_flow"]
 ORACLE["states_economy_flow_by_level"] = ORACLE["economy_flow_by_level"]
+ORACLE["ingested_events"] = ORACLE["raw_events_flatten"]
 ORACLE["stream_wallet_balance"] = ORACLE["log_wallet_balance"]
 # four arrivals by day, every 10th event an arrival late and every 50th two; two days of delay
 ORACLE["stream_late_rows"] = with_(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import format_yyyymmdd
 from ..functions.params import to_event_params
 from ..schemas import AD_REWARD_CLAIM, IAP_PURCHASE, LEVEL_COMPLETE, LEVEL_FAIL, MASTER_EVENTS_COLUMNS, SESSION_START
-from .staged import last_staged, staged_table
+from .staged import staged_table
 
 # Driver event_type -> game event_name.
 EVENT_NAME_BY_TYPE = {
@@ -155,13 +155,6 @@ USER_ACQUISITION_DDL = (
 )
 
 
-def assert_unique_users(ua: DataFrame) -> None:
-    """The acquisition table has one row per user; a second one would double the user's events."""
-    twice = ua.where(F.col("user_id").isNotNull()).groupBy("user_id").count().where("count > 1")
-    if not twice.isEmpty():
-        raise ValueError("user_acquisition has several rows for a user")
-
-
 class DriverTables:
     """Lazy accessors over one scale-factor folder. Each DataFrame (a plan,
     not data) is built once per instance, so a query that needs the event
@@ -213,23 +206,22 @@ class DriverTables:
                 self.spark,
                 "user_acquisition",
                 [self._path("events"), self._path("customer")],
-                lambda files: self.user_acquisition_live(),
+                self.user_acquisition_live,
                 sort_within=("user_id",),
                 schema=USER_ACQUISITION_DDL,
                 fixed=True,
             ),
         )
 
-    def acquired_events_live(self, files: list[str] | None = None) -> DataFrame:
-        """Every event (of some source files) tagged with its user's tier,
+    def acquired_events_live(self) -> DataFrame:
+        """Every event tagged with its user's tier,
         install date and whether the user is in the acquisition table: a left
         join on user, one row per user on the right (the acquisition aggregate
-        guarantees it, see :func:`assert_unique_users`), so no event is
-        duplicated or lost. Events without a user are kept out of the join."""
+        and the customer key guarantee it), so no event is duplicated or lost. Events without a user are kept out of the join."""
         users = self.user_acquisition().where(F.col("user_id").isNotNull()).select(
             "user_id", "tier", "install_date", F.lit(True).alias("_in")
         )
-        me = self.master_events_live() if files is None else master_events_from_driver(self.spark.read.parquet(*files))
+        me = self.master_events_live()
         tagged = me.where(F.col("user_id").isNotNull()).join(users, "user_id", "left")
         tagged = tagged.select(*me.columns, "tier", "install_date", F.coalesce(F.col("_in"), F.lit(False)).alias("in_ua"))
         no_user = me.where(F.col("user_id").isNull()).select(
@@ -241,8 +233,7 @@ class DriverTables:
         """``acquired_events_live`` staged, partitioned by day and sorted by
         event name within one: the one stored fact table. The dashboard marts
         read it with a pushed-down ``in_ua`` / ``tier`` filter instead of
-        joining every event to the user table per query. New source files add a
-        part as long as no earlier user's tags change."""
+        joining every event to the user table per query."""
         if not self.staged:
             return self._get("acquired", self.acquired_events_live)
         return self._get(
@@ -255,25 +246,10 @@ class DriverTables:
                 partition_by=("event_date",),
                 sort_within=("event_name", "user_id"),
                 schema=ACQUIRED_EVENTS_DDL,
-                appendable=self._tags_unchanged,
                 fixed=True,
             ),
         )
 
-    def _tags_unchanged(self) -> bool:
-        """Whether every user of the last staged fact table has the tags it has there."""
-        assert_unique_users(self.user_acquisition())
-        old = last_staged(self.spark, "tagged_events", ACQUIRED_EVENTS_DDL, [self._path("events"), self._path("customer")])
-        if old is None:
-            return False
-        seen = old.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
-            F.max("tier").alias("_t"), F.max("install_date").alias("_d"), F.max("in_ua").alias("_i")
-        )
-        same = F.col("_t").eqNullSafe(F.col("tier")) & F.col("_d").eqNullSafe(F.col("install_date"))
-        now = self.user_acquisition().select("user_id", "tier", "install_date", F.lit(True).alias("_now"))
-        changed = seen.join(now, "user_id", "left").where(~(same & F.col("_i").eqNullSafe(F.coalesce("_now", F.lit(False)))))
-        return changed.isEmpty()
-
     def iap(self) -> DataFrame:
         return self._get("iap", lambda: iap_transactions_from_master(self.master_events()))
 

@@ -1,14 +1,12 @@
 """Staged tables: what many queries read, computed once per version of its
 sources and of its definition.
 
-A table is written to a folder of its own under the shared
-``spark.checkpoint.dir`` and published by a manifest written last, which lists
-its parts with their numbers of files and bytes: nothing is renamed, and a reader
-takes whole parts or builds the table again. The key covers path, size
-and time of every source file, and the definition (the analysed plan and the
-schema). When files were only added to the sources, a table whose rows each
-come from one source file gets another part from the added files instead of
-being written again.
+A table is a plain Parquet folder of its own under the shared
+``spark.checkpoint.dir``, published by a small note written last (its number of files and
+bytes): nothing is renamed, and a reader takes a whole table or builds it again. The key covers
+path, size and time of every source file, and the definition (the analysed plan and
+the schema). Logs that grow by files are taken in by ``streaming.ingest``, and marts that grow
+by days are kept by ``operators.rollups``; a staged table is written as a whole.
 """
 
 from __future__ import annotations
@@ -18,17 +16,15 @@ import json
 import re
 import uuid
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
-# From this number of parts on a table is written anew as one.
-MOST_PARTS = 16
 MANY_FILES = 500
-# Definitions found in this process, for tables whose build is fixed by the code.
+# What this process has found: definitions of tables whose build is fixed by the code, and notes by their place.
 _defined: dict[tuple, str] = {}
+_notes: dict[str, dict] = {}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -63,12 +59,15 @@ def files_of(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[int]]:
     return found
 
 
+# What differs between two plans of one computation: expression numbers, file places, session addresses, the numbers
+# of lambda variables, and the watermarks' own names.
+VARYING = re.compile(r"#\d+L?|plan_id=\d+|\[id=\d+\]|\w+:/\S+|@[0-9a-f]+|(?<=lambda )\w+|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+
+
 def definition(df: DataFrame, *more: str) -> str:
-    """A hash of how ``df`` is computed: its analysed plan without expression
-    numbers and file places, and its schema."""
+    """A hash of how ``df`` is computed: its analysed plan without :data:`VARYING`, and its schema."""
     plan = df._jdf.queryExecution().analyzed().toString()  # noqa: SLF001
-    plan = re.sub(r"#\d+L?|plan_id=\d+|\[id=\d+\]|\w+:/\S+", "", plan)
-    return _hash(plan, df.schema.json(), *more)
+    return _hash(VARYING.sub("", plan), df.schema.json(), *more)
 
 
 def _hash(*parts: str) -> str:
@@ -102,88 +101,75 @@ def _write_json(spark: SparkSession, path: str, what: dict) -> None:
     out.close()
 
 
-def _whole(spark: SparkSession, manifest: dict | None) -> bool:
-    """Whether every part has the files and bytes its manifest lists."""
-    return bool(manifest) and all(
-        exists(spark, part) and summary(spark, part) == listed for part, listed in manifest["parts"].items()
-    )
+def _published(spark: SparkSession, place: str) -> dict | None:
+    """The note at ``place`` if its folder has the files and bytes that it tells. A note is read once a process; the
+    folder is looked at every time, in one call."""
+    note = _notes.get(place) or _read_json(spark, place)
+    if not note:
+        return None
+    try:
+        whole = summary(spark, note["folder"]) == note["holds"]
+    except Exception:  # the folder is gone
+        whole = False
+    if not whole:
+        _notes.pop(place, None)
+        return None
+    _notes[place] = note
+    return note
+
+
+def _publish(spark: SparkSession, place: str, folder: str, result: object = None) -> dict:
+    note = {"folder": folder, "holds": summary(spark, folder), "result": result}
+    _write_json(spark, place, note)
+    _notes[place] = note
+    return note
 
 
 def staged_table(
     spark: SparkSession,
     name: str,
     sources: Sequence[str],
-    build: Callable[[list[str] | None], DataFrame],
+    build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (),
     sort_within: Sequence[str] = (),
     schema: str | None = None,
-    appendable: Callable[[], bool] | None = None,
     fixed: bool = False,
 ) -> DataFrame:
     """Read the staged ``name`` for these sources, building it first if needed.
 
-    ``build(None)`` returns the (lazy) DataFrame to store; ``schema`` (DDL,
-    optional) fixes column order and types on read, partition columns included.
-    With ``appendable``, ``build(files)`` returns what some files of the first
-    source add; it is used when files were only added there and ``appendable()``
-    holds (earlier rows stay as they are). ``fixed``: the definition follows
+    ``build()`` returns the (lazy) DataFrame to store; ``schema`` (DDL, optional) fixes column
+    order and types on read, partition columns included. ``fixed``: the definition follows
     from the code and the sources alone, so it is found once a process and version.
     """
     now = files_of(spark, sources)
     known = (name, schema, tuple(partition_by), tuple(sort_within), json.dumps(sorted(now.items())))
     defined = _defined.get(known) if fixed else None
     if defined is None:
-        defined = definition(build(None), schema or "", ",".join(partition_by), ",".join(sort_within))
+        defined = definition(build(), schema or "", ",".join(partition_by), ",".join(sort_within))
         if fixed:
             _defined[known] = defined
-    root = scratch_path(spark, "staged")
-    version = _hash(defined, json.dumps(sorted(now.items())))
-    place, latest = f"{root}/{name}-{version}.json", f"{root}/{name}-{_hash(schema or '', *sources)}.latest.json"
-    manifest = _read_json(spark, place)
-    if not _whole(spark, manifest):
-        before = _read_json(spark, latest) if appendable else None
-        added = sorted(set(now) - set((before or {}).get("sources", {})))
-        grown = before and before.get("defined") == defined and added and all(now.get(f) == v for f, v in before["sources"].items())
-        own = files_of(spark, sources[:1]) if grown else {}
-        parts: dict[str, list[int]] = {}
-        files = None
-        if grown and set(added) <= set(own) and len(before["parts"]) < MOST_PARTS and _whole(spark, before) and appendable():
-            parts, files = before["parts"], added
-        folder = f"{root}/{name}-{version}-{uuid.uuid4().hex}"
-        write_staged(build(files), folder, partition_by, sort_within)
-        manifest = {"parts": {**parts, folder: summary(spark, folder)}, "sources": now, "defined": defined}
-        _write_json(spark, place, manifest)
-        _write_json(spark, latest, manifest)
-    shape = schema or build(None).schema
-    return reduce(DataFrame.unionByName, [spark.read.schema(shape).parquet(part) for part in manifest["parts"]])
-
-
-def last_staged(spark: SparkSession, name: str, schema: str, sources: Sequence[str]) -> DataFrame | None:
-    """The last table published under ``name`` for these sources, whatever their version; None if there is none."""
-    root = scratch_path(spark, "staged")
-    manifest = _read_json(spark, f"{root}/{name}-{_hash(schema, *sources)}.latest.json")
-    if not _whole(spark, manifest):
-        return None
-    return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(part) for part in manifest["parts"]])
+    place = f"{scratch_path(spark, 'staged')}/{name}-{_hash(defined, json.dumps(sorted(now.items())))}.json"
+    note = _published(spark, place)
+    if note is None:
+        folder = f"{place.removesuffix('.json')}-{uuid.uuid4().hex}"
+        write_staged(build(), folder, partition_by, sort_within)
+        note = _publish(spark, place, folder)
+    return spark.read.schema(schema or build().schema).parquet(note["folder"])
 
 
 def staged_folder(
     spark: SparkSession, name: str, sources: Sequence[str], write: Callable[[str], object], of: DataFrame
 ) -> tuple[str, object | None]:
     """A folder produced by ``write(path)`` once per version of the sources and
-    of ``of``, the DataFrame it writes (same manifest rule as
-    :func:`staged_table`). Returns the folder and what ``write`` returned, which
-    the manifest keeps (it must be JSON)."""
+    of ``of``, the DataFrame it writes (published as :func:`staged_table` is).
+    Returns the folder and what ``write`` returned, which the note keeps (it must be JSON)."""
     now = files_of(spark, sources)
-    root = scratch_path(spark, "staged")
-    place = f"{root}/{name}-{_hash(definition(of), json.dumps(sorted(now.items())))}.json"
-    manifest = _read_json(spark, place)
-    if _whole(spark, manifest) and "result" in manifest:
-        return next(iter(manifest["parts"])), manifest["result"]
-    folder = f"{place.removesuffix('.json')}-{uuid.uuid4().hex}"
-    result = write(folder)
-    _write_json(spark, place, {"parts": {folder: summary(spark, folder)}, "sources": now, "result": result})
-    return folder, result
+    place = f"{scratch_path(spark, 'staged')}/{name}-{_hash(definition(of), json.dumps(sorted(now.items())))}.json"
+    note = _published(spark, place)
+    if note is None:
+        folder = f"{place.removesuffix('.json')}-{uuid.uuid4().hex}"
+        note = _publish(spark, place, folder, write(folder))
+    return note["folder"], note["result"]
 
 
 def write_staged(df: DataFrame, path: str, partition_by: Sequence[str], sort_within: Sequence[str]) -> None:

@@ -11,17 +11,17 @@ resumes without double counting.
 from __future__ import annotations
 
 import threading
-import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators.staging import build_master_events, is_corrupt
 from ..schemas import LEVEL_COMPLETE, LEVEL_FAIL, RAW_EVENTS_WITH_CORRUPT, SESSION_START, WIN
-from ..session import apply_engine_conf, scratch_path
+from ..session import apply_engine_conf
 from ..sources.sinks import write_mart
 from ..sources.staged import exists
 
@@ -32,11 +32,13 @@ _START = threading.Lock()
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def raw_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def raw_event_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, schema: StructType | None = None
+) -> DataFrame:
     """Stream of the nested log (PERMISSIVE: bad lines land in
     ``_corrupt_record``)."""
     reader = (
-        spark.readStream.schema(RAW_EVENTS_WITH_CORRUPT)
+        spark.readStream.schema(schema or RAW_EVENTS_WITH_CORRUPT)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
     )
@@ -256,11 +258,10 @@ def count_data_files(spark: SparkSession, path: str) -> int:
     return sum(1 for st in fs.listStatus(p) if not st.getPath().getName().startswith(("_", ".")))
 
 
-def _driver_log_stream(spark: SparkSession, sf_dir: str, name: str, chunks: int = 3):
+def _driver_log_stream(spark: SparkSession, sf_dir: str, chunks: int = 3):
     """The whole driver ``events`` table as a nested log in ``chunks``
     arrivals (written once per source version), and a stream over it
-    (about one micro-batch per arrival). Returns (run folder for this
-    stream's checkpoint and mart, stream, days per arrival)."""
+    (about one micro-batch per arrival). Returns (log folder, stream, days per arrival)."""
     from ..sources.driver_tables import DriverTables
     from ..sources.staged import staged_folder
 
@@ -278,33 +279,32 @@ def _driver_log_stream(spark: SparkSession, sf_dir: str, name: str, chunks: int
     # the stream gets its own session (same cluster, separate SQL settings),
     # so starting it never changes the caller's settings
     stream_session = apply_engine_conf(spark.newSession())
-    ev = flatten_stream(raw_event_stream(stream_session, log, max_files_per_trigger=per_batch))
-    return scratch_path(spark, name, uuid.uuid4().hex), ev, span
+    return log, flatten_stream(raw_event_stream(stream_session, log, max_files_per_trigger=per_batch)), span
 
 
 def run_stream_dau_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T02 end to end: the log streamed with ``availableNow`` through
     staging and the exact-DAU operator into an idempotent mart, read back."""
-    run, ev, span = _driver_log_stream(spark, sf_dir, "stream_dau")
+    log, ev, span = _driver_log_stream(spark, sf_dir)
     daily = dau_exact_stream(ev, delay=f"{span + 1} days")
-    return _upserted(spark, daily, upsert_writer(f"{run}/mart", ["date"]), run)
+    return _upserted(spark, daily, lambda mart: upsert_writer(mart, ["date"]), log)
 
 
 def run_stream_economy_on_driver_tables(spark: SparkSession, sf_dir: str, sinks: dict[str, int]) -> DataFrame:
     """T04 end to end: revenue and gold flow per one-day event-time window."""
-    run, ev, span = _driver_log_stream(spark, sf_dir, "stream_economy")
+    log, ev, span = _driver_log_stream(spark, sf_dir)
     flow = economy_window_stream(ev, delay=f"{span + 1} days", window=DAY, sink_events=sinks, by_session_day=True)
     daily = flow.select(F.col("window_start").cast("date").alias("date"), "revenue", "gold_source", "gold_sink")
-    mart = _upserted(spark, daily, upsert_writer(f"{run}/mart", ["date"]), run)
+    mart = _upserted(spark, daily, lambda mart: upsert_writer(mart, ["date"]), log)
     return mart.withColumn("revenue", F.col("revenue").cast("double"))
 
 
 def run_stream_level_outcomes_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T05 input end to end: attempts and wins per level and one-day
     event-time window (the alert writer filters these rows)."""
-    run, ev, span = _driver_log_stream(spark, sf_dir, "stream_level_outcomes")
+    log, ev, span = _driver_log_stream(spark, sf_dir)
     daily = _daily_outcomes(ev, span)
-    return _upserted(spark, daily, upsert_writer(f"{run}/mart", ["date", "level_id"]), run)
+    return _upserted(spark, daily, lambda mart: upsert_writer(mart, ["date", "level_id"]), log)
 
 
 def _daily_outcomes(ev: DataFrame, span: int) -> DataFrame:
@@ -312,22 +312,26 @@ def _daily_outcomes(ev: DataFrame, span: int) -> DataFrame:
     return outcomes.select(F.col("window_start").cast("date").alias("date"), "level_id", "attempts", "wins")
 
 
-def _upserted(spark: SparkSession, daily: DataFrame, sink, run: str, *extra: str) -> DataFrame:
-    """Run ``daily`` to the end of its input into the mart of ``run``, and read the mart."""
-    start(daily, sink, f"{run}/checkpoint").awaitTermination()
+def _upserted(spark: SparkSession, daily: DataFrame, sink: Callable[[str], Callable[[DataFrame, int], None]], log: str, *extra: str, of: str = "") -> DataFrame:
+    """Run ``daily`` to the end of the log into a mart, and read the mart. Checkpoint and mart lie beside the log, by the
+    stream's definition (and its sink's, ``of``): a second call goes on from the checkpoint, where nothing is left to do."""
+    from ..sources.staged import definition
+
+    run = f"{log}-streams/{definition(daily, of)}"
+    start(daily, sink(f"{run}/mart"), f"{run}/checkpoint").awaitTermination()
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in daily.schema.fields] + list(extra))
     return spark.read.schema(schema).parquet(f"{run}/mart")
 
 
 def run_stream_pinch_alert_on_driver_tables(spark: SparkSession, sf_dir: str, threshold: float) -> DataFrame:
     """T05 end to end: days and levels whose latest win rate is below ``threshold``."""
-    run, ev, span = _driver_log_stream(spark, sf_dir, "stream_pinch_alert")
-    sink = pinch_alert_writer(f"{run}/mart", threshold, upsert_keys=["date", "level_id"])
-    return _upserted(spark, _daily_outcomes(ev, span), sink, run, "alert boolean").where("alert").drop("alert")
+    log, ev, span = _driver_log_stream(spark, sf_dir)
+    sink = lambda mart: pinch_alert_writer(mart, threshold, upsert_keys=["date", "level_id"])
+    return _upserted(spark, _daily_outcomes(ev, span), sink, log, "alert boolean", of=f"alert {threshold}").where("alert").drop("alert")
 
 
 def run_stream_dau_approx_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T03 end to end: approximate DAU per day."""
-    run, ev, span = _driver_log_stream(spark, sf_dir, "stream_dau_approx")
+    log, ev, span = _driver_log_stream(spark, sf_dir)
     daily = dau_approx_stream(ev, delay=f"{span + 1} days")
-    return _upserted(spark, daily, upsert_writer(f"{run}/mart", ["date"]), run)
+    return _upserted(spark, daily, lambda mart: upsert_writer(mart, ["date"]), log)

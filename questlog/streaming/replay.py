@@ -9,10 +9,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
+from ..schemas import RAW_EVENTS_WITH_CORRUPT
 from ..session import apply_engine_conf, scratch_path
 from ..sources.driver_tables import DriverTables
 from ..sources.sinks import write_raw_events
+from .ingest import ingest, ingested
 from .jobs import batch_writer, flatten_stream, raw_event_stream, session_day_time, start
 from .late import closed_days, split_rows, split_writer
 from .wallet import HEARTBEAT, wallet_stream
@@ -23,17 +26,18 @@ ONE_LATE, TWO_LATE = 10, 50
 DELAY_DAYS = 2
 
 
-def arrivals(raw: DataFrame, n: int = ARRIVALS) -> tuple[list[DataFrame], int]:
+def arrivals(raw: DataFrame, n: int = ARRIVALS, keep_id: bool = False) -> tuple[list[DataFrame], int]:
     """The nested log (with ``event_id``) in ``n`` arrivals by session day, some rows behind their time, and the days of
     an arrival. Rows without a day come with the first."""
+    gone = () if keep_id else ("event_id",)
     day = F.date_diff(F.try_to_date(F.col("event_date"), "yyyyMMdd"), F.lit("1970-01-01").cast("date"))
     lo, hi = raw.agg(F.min(day), F.max(day)).first()
     if lo is None:
-        return [raw.drop("event_id")], 1
+        return [raw.drop(*gone)], 1
     span = max(1, -(-(hi - lo + 1) // n))
     late = F.when(F.col("event_id") % TWO_LATE == 0, 2).when(F.col("event_id") % ONE_LATE == 0, 1).otherwise(0)
     at = F.coalesce(F.least(F.floor((day - lo) / span) + late, F.lit(n - 1)), F.lit(0))
-    return [raw.where(at == i).drop("event_id") for i in range(n)], span
+    return [raw.where(at == i).drop(*gone) for i in range(n)], span
 
 
 def replay(parts: Sequence[DataFrame], folder: str, streams: Sequence[Callable[[], StreamingQuery]]) -> None:
@@ -85,3 +89,17 @@ def run_stream_wallet_on_driver_tables(spark: SparkSession, sf_dir: str, sinks:
     replay([*parts, beat], f"{run}/log", [live])
     schema = "user_id string, event_ts timestamp, event_id long, delta long, balance long, batch_id long"
     return spark.read.schema(schema).parquet(f"{run}/settled").select("user_id", "event_ts", "delta", "balance")
+
+
+def run_ingest_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N05 by file stream, end to end: four arrivals, the third of which comes with the first one's events again; every
+    call goes on where the last one stopped."""
+    schema = StructType([*RAW_EVENTS_WITH_CORRUPT.fields, StructField("event_id", LongType())])
+    parts, _ = arrivals(DriverTables(spark, sf_dir).raw_events(), keep_id=True)
+    run = scratch_path(spark, "ingest", uuid.uuid4().hex)
+    session = apply_engine_conf(spark.newSession())
+    for i, part in enumerate(parts):
+        write_raw_events(part if i != 2 else part.unionByName(parts[0]), f"{run}/log", "append")
+        for q in ingest(session, f"{run}/log", f"{run}/out", schema):
+            q.awaitTermination()
+    return ingested(spark, f"{run}/out", flatten_stream(raw_event_stream(session, f"{run}/log", schema=schema)))

@@ -120,3 +120,39 @@ def test_replayed_arrivals_hold_the_whole_log(spark):
     days = [p.select(F.min("event_date"), F.max("event_date")).first() for p in parts]
     assert days[1][0] < days[0][1]  # some rows of the second are days behind
     assert replay.arrivals(raw.limit(0))[1] == 1 and span > 1 and d("2024-01-01")
+
+
+def test_ingest_loses_and_doubles_nothing(spark, tmp_dir):
+    """Replayed lines in a batch, in a later batch and in a crashed one; bad lines; an old day that comes late."""
+    import pytest
+
+    from pyspark.errors import StreamingQueryException
+    from questlog.streaming import ingest as ing
+
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    day = lambda i, n: [line(f"2025-11-{i:02d}", f"u{k}", seconds=k) for k in range(n)]
+    feeds = [[*day(1, 5), *day(2, 5), *day(1, 3)], [*day(3, 4), "{", *day(1, 7)], [*day(2, 6), *day(3, 4)], ["{}"]]
+    write = ing.day_writer(f"{out}/events")
+    for i, lines in enumerate(feeds):
+        put(src, f"{i}.json", lines)
+        if i == 1:
+
+            def broken(batch, batch_id):
+                write(batch, batch_id)
+                raise RuntimeError("written, not committed")
+
+            events, aside = ing.ingest(spark, src, out, sink=broken)
+            with pytest.raises(StreamingQueryException):
+                events.awaitTermination()
+            aside.awaitTermination()
+        for q in ing.ingest(spark, src, out):
+            q.awaitTermination()
+    like = jobs.flatten_stream(jobs.raw_event_stream(spark, src))
+    got = ing.ingested(spark, out, like)
+    whole = sorted({(f"2025-11-{i:02d}", f"u{k}") for i, n in ((1, 7), (2, 6), (3, 4)) for k in range(n)})
+    assert sorted((str(r.event_date), r.user_id) for r in got.collect()) == whole
+    assert spark.read.parquet(f"{out}/quarantine").count() == 2
+    batches = {r.batch_id for r in spark.read.parquet(f"{out}/events").where("event_date = '2025-11-01'").select("batch_id").collect()}
+    assert batches == {0, 1}  # only what is new of a replayed day is written
+    ing.compact_days(spark, out, like, [d("2025-11-01")], f"{out}/days")
+    assert spark.read.parquet(f"{out}/days").count() == 7

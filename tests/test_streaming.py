@@ -174,3 +174,14 @@ def test_upsert_replaces_keys_and_keeps_the_others(spark, tmp_dir):
         write(make((d1, 2, 9), (d1, 3, 1)), 1)
     got = spark.read.schema("date date, level_id long, wins long").parquet(out).select("date", "level_id", "wins").collect()
     assert sorted(map(tuple, got)) == [(d1, 1, 5), (d1, 2, 9), (d1, 3, 1), (d2, 1, 7)]
+
+
+def test_a_second_run_goes_on_from_its_checkpoint(spark):
+    import glob
+
+    first = sorted(map(tuple, jobs.run_stream_dau_on_driver_tables(spark, SF_SMALL).collect()))
+    log = jobs._driver_log_stream(spark, SF_SMALL)[0]
+    batches = lambda: sorted(glob.glob(f"{log}-streams/*/checkpoint/commits/[0-9]*"))
+    before = batches()
+    assert sorted(map(tuple, jobs.run_stream_dau_on_driver_tables(spark, SF_SMALL).collect())) == first
+    assert before and batches() == before  # nothing was read again
