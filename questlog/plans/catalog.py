@@ -31,6 +31,7 @@ from ..sources.sinks import write_csv, write_raw_events
 from ..sources.staged import staged_folder
 from .files import FILE_QUERIES
 from .live import LIVE_QUERIES
+from .warehouse import WAREHOUSE_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -490,5 +491,5 @@ QUERIES: dict[str, Query] = {
     "stream_dau_exact": _engine(q_stream_dau_exact),
     "stream_economy_daily": _engine(q_stream_economy_daily),
     "stream_level_outcomes_daily": _engine(q_stream_level_outcomes_daily),
-    **{name: _engine(fn) for name, fn in {**FILE_QUERIES, **LIVE_QUERIES}.items()},
+    **{name: _engine(fn) for name, fn in {**FILE_QUERIES, **LIVE_QUERIES, **WAREHOUSE_QUERIES}.items()},
 }

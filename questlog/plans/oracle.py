@@ -520,3 +520,12 @@ ORACLE["stream_late_rows"] = with_(
 SELECT event_date AS date, count(*) FILTER (NOT late) AS on_time, count(*) FILTER (late) AS late,
   CASE WHEN event_date + 1 <= (SELECT hi FROM bounds) - 2 AND count(*) FILTER (NOT late) > 0 THEN count(*) FILTER (NOT late) END AS emitted
 FROM judged GROUP BY 1"""
+
+# ---- the reports as SQL functions ----------------------------------------------------
+
+ORACLE["sql_retention"] = ORACLE["retention_d1_d3_d7"]
+ORACLE["sql_economy"] = ORACLE["economy_by_level"]
+ORACLE["sql_engagement"] = ORACLE["engagement_stickiness"]
+ORACLE["sql_difficulty"] = ORACLE["difficulty_curve"]
+ORACLE["sql_monetization"] = ORACLE["monetization_daily"]
+ORACLE["sql_ua_roas"] = ORACLE["ua_roas"]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import format_yyyymmdd
 from ..functions.params import to_event_params
 from ..schemas import AD_REWARD_CLAIM, IAP_PURCHASE, LEVEL_COMPLETE, LEVEL_FAIL, MASTER_EVENTS_COLUMNS, SESSION_START
-from .staged import staged_table
+from .staged import staged_place
 
 # Driver event_type -> game event_name.
 EVENT_NAME_BY_TYPE = {
@@ -200,17 +200,18 @@ class DriverTables:
         when ``staged`` is off."""
         if not self.staged:
             return self._get("ua", self.user_acquisition_live)
-        return self._get(
-            "ua",
-            lambda: staged_table(
-                self.spark,
-                "user_acquisition",
-                [self._path("events"), self._path("customer")],
-                self.user_acquisition_live,
-                sort_within=("user_id",),
-                schema=USER_ACQUISITION_DDL,
-                fixed=True,
-            ),
+        return self._get("ua", lambda: self.spark.read.schema(USER_ACQUISITION_DDL).parquet(self.user_acquisition_place()))
+
+    def user_acquisition_place(self) -> str:
+        """The folder of the staged acquisition table."""
+        return staged_place(
+            self.spark,
+            "user_acquisition",
+            [self._path("events"), self._path("customer")],
+            self.user_acquisition_live,
+            sort_within=("user_id",),
+            schema=USER_ACQUISITION_DDL,
+            fixed=True,
         )
 
     def acquired_events_live(self) -> DataFrame:
@@ -236,18 +237,19 @@ class DriverTables:
         joining every event to the user table per query."""
         if not self.staged:
             return self._get("acquired", self.acquired_events_live)
-        return self._get(
-            "acquired",
-            lambda: staged_table(
-                self.spark,
-                "tagged_events",
-                [self._path("events"), self._path("customer")],
-                self.acquired_events_live,
-                partition_by=("event_date",),
-                sort_within=("event_name", "user_id"),
-                schema=ACQUIRED_EVENTS_DDL,
-                fixed=True,
-            ),
+        return self._get("acquired", lambda: self.spark.read.schema(ACQUIRED_EVENTS_DDL).parquet(self.acquired_events_place()))
+
+    def acquired_events_place(self) -> str:
+        """The folder of the staged fact table, by ``event_date``."""
+        return staged_place(
+            self.spark,
+            "tagged_events",
+            [self._path("events"), self._path("customer")],
+            self.acquired_events_live,
+            partition_by=("event_date",),
+            sort_within=("event_name", "user_id"),
+            schema=ACQUIRED_EVENTS_DDL,
+            fixed=True,
         )
 
     def iap(self) -> DataFrame:

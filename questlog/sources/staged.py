@@ -125,7 +125,13 @@ def _publish(spark: SparkSession, place: str, folder: str, result: object = None
     return note
 
 
-def staged_table(
+def staged_table(spark: SparkSession, name: str, sources: Sequence[str], build: Callable[[], DataFrame], schema: str | None = None, **how) -> DataFrame:
+    """Read the staged ``name`` (see :func:`staged_place`)."""
+    place = staged_place(spark, name, sources, build, schema=schema, **how)
+    return spark.read.schema(schema or build().schema).parquet(place)
+
+
+def staged_place(
     spark: SparkSession,
     name: str,
     sources: Sequence[str],
@@ -134,8 +140,8 @@ def staged_table(
     sort_within: Sequence[str] = (),
     schema: str | None = None,
     fixed: bool = False,
-) -> DataFrame:
-    """Read the staged ``name`` for these sources, building it first if needed.
+) -> str:
+    """The folder of the staged ``name`` for these sources, built first if needed.
 
     ``build()`` returns the (lazy) DataFrame to store; ``schema`` (DDL, optional) fixes column
     order and types on read, partition columns included. ``fixed``: the definition follows
@@ -154,7 +160,7 @@ def staged_table(
         folder = f"{place.removesuffix('.json')}-{uuid.uuid4().hex}"
         write_staged(build(), folder, partition_by, sort_within)
         note = _publish(spark, place, folder)
-    return spark.read.schema(schema or build().schema).parquet(note["folder"])
+    return note["folder"]
 
 
 def staged_folder(

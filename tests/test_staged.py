@@ -28,7 +28,7 @@ class Table:
         return df.select((F.col("id") * self.factor).alias("id"), "d")
 
     def read(self):
-        return staged.staged_table(self.spark, "t", [self.src], self.build, ("d",), ("id",), "id long, d date")
+        return staged.staged_table(self.spark, "t", [self.src], self.build, "id long, d date", partition_by=("d",), sort_within=("id",))
 
 
 def parts(here):
