@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
 from ..functions.numeric import round_money
+from ..functions.variants import drifting_params, param_inventory, parsed
 from ..operators import audience, engagement, rollups
+from ..operators.staging import DEFAULT_PARAM_SPEC
 from ..schemas import LEVEL_FAIL
 from ..sources.driver_tables import DriverTables
 from ..sources.sinks import write_mart
@@ -169,7 +171,38 @@ def q_ingested_events(spark, sf_dir):
     )
 
 
+def _drifting_lines(spark, sf_dir) -> DataFrame:
+    """The log as lines whose parameters drift: every other event writes ``level_id`` as a text, and every third has a key
+    that no spec names."""
+    raw = DriverTables(spark, sf_dir).raw_events()
+    kind = raw.schema["event_params"].dataType.elementType["value"].dataType
+    value = lambda field, c: F.struct(*[(c if f.name == field else F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields])
+    as_text = F.col("event_id") % 2 == 0
+    drift = F.transform(
+        "event_params",
+        lambda p: F.when(as_text & (p["key"] == "level_id"), F.struct(p["key"].alias("key"), value("string_value", p["value"]["int_value"]).alias("value"))).otherwise(p),
+    )
+    clan = F.array(F.struct(F.lit("clan").alias("key"), value("string_value", F.concat(F.lit("c"), F.col("event_id") % 5)).alias("value")))
+    params = F.when(F.col("event_id") % 3 == 0, F.concat(drift, clan)).otherwise(drift)
+    drifted = raw.withColumn("event_params", params)
+    return parsed(drifted.select("event_id", F.to_json(F.struct(*[c for c in raw.columns if c != "event_id"])).alias("value")))
+
+
+def q_param_inventory(spark, sf_dir):
+    """Keys and types of a drifting log, and which the spec doesn't name."""
+    known = {key for key, _, _ in DEFAULT_PARAM_SPEC.values()}
+    return param_inventory(_drifting_lines(spark, sf_dir), known)
+
+
+def q_drifting_params(spark, sf_dir):
+    """A key whose type changes, and one that the spec doesn't name, read from the drifting log."""
+    spec = {"level_id": "bigint", "clan": "string", "gold_earned": "bigint", "status": "string"}
+    return drifting_params(_drifting_lines(spark, sf_dir), spec, ["event_id"])
+
+
 LIVE_QUERIES = {
+    "param_inventory": q_param_inventory,
+    "drifting_params": q_drifting_params,
     "ingested_events": q_ingested_events,
     "stream_late_rows": q_stream_late_rows,
     "stream_wallet_balance": q_stream_wallet,

@@ -529,3 +529,13 @@ ORACLE["sql_engagement"] = ORACLE["engagement_stickiness"]
 ORACLE["sql_difficulty"] = ORACLE["difficulty_curve"]
 ORACLE["sql_monetization"] = ORACLE["monetization_daily"]
 ORACLE["sql_ua_roas"] = ORACLE["ua_roas"]
+
+# ---- parameters that drift -------------------------------------------------------------
+
+_KINDS = {"level_id": "CASE WHEN event_id % 2 = 0 THEN 'STRING' ELSE 'BIGINT' END", "gold_earned": "'BIGINT'", "gold_reward": "'BIGINT'",
+          "price": "'NUMBER'", "ad_revenue": "'NUMBER'", "duration": "'NUMBER'"}
+ORACLE["param_inventory"] = with_(ME) + "SELECT key, type, count(*) AS events, key <> 'clan' AS known FROM (\n" + "\nUNION ALL ".join(
+    f"SELECT '{key}' AS key, {_KINDS.get(key, chr(39) + 'STRING' + chr(39))} AS type FROM me WHERE {column} IS NOT NULL" for key, column in _PARAM_SOURCE.items()
+) + "\nUNION ALL SELECT 'clan', 'STRING' FROM me WHERE event_id % 3 = 0) GROUP BY ALL"
+ORACLE["drifting_params"] = with_(ME) + """
+SELECT event_id, level_id, CASE WHEN event_id % 3 = 0 THEN 'c' || event_id % 5 END AS clan, gold_earned, win_loss_status AS status FROM me"""
