@@ -14,6 +14,7 @@ from ..functions.variants import drifting_params, param_inventory, parsed
 from ..operators import audience, engagement, rollups
 from ..operators.staging import DEFAULT_PARAM_SPEC
 from ..schemas import LEVEL_FAIL
+from ..session import scan_filter_session
 from ..sources.driver_tables import DriverTables
 from ..sources.sinks import write_mart
 from ..sources.staged import staged_folder
@@ -22,6 +23,7 @@ FLOW_SINKS = {LEVEL_FAIL: 10}
 # Days appended one by one to a mart that holds the earlier ones.
 APPENDED = 3
 ROLLING_DAYS = 7
+TIER_SUBSET = ("Tier 1", "Tier 3")
 
 
 def _last_days(ev: DataFrame) -> list[dt.date]:
@@ -200,7 +202,15 @@ def q_drifting_params(spark, sf_dir):
     return drifting_params(_drifting_lines(spark, sf_dir), spec, ["event_id"])
 
 
+def q_tier_filtered_untagged(spark, sf_dir):
+    """D04 on the untagged log: the semi join, with a Bloom filter of the chosen users at the scan."""
+    t = DriverTables(scan_filter_session(spark), sf_dir)
+    ev = audience.filter_by_tier(t.master_events_live(), t.user_acquisition(), TIER_SUBSET)
+    return ev.select("event_id", "user_id", "event_name")
+
+
 LIVE_QUERIES = {
+    "tier_filtered_untagged": q_tier_filtered_untagged,
     "param_inventory": q_param_inventory,
     "drifting_params": q_drifting_params,
     "ingested_events": q_ingested_events,

@@ -539,3 +539,4 @@ ORACLE["param_inventory"] = with_(ME) + "SELECT key, type, count(*) AS events, k
 ) + "\nUNION ALL SELECT 'clan', 'STRING' FROM me WHERE event_id % 3 = 0) GROUP BY ALL"
 ORACLE["drifting_params"] = with_(ME) + """
 SELECT event_id, level_id, CASE WHEN event_id % 3 = 0 THEN 'c' || event_id % 5 END AS clan, gold_earned, win_loss_status AS status FROM me"""
+ORACLE["tier_filtered_untagged"] = ORACLE["tier_filtered_events"]

@@ -29,6 +29,10 @@ BASE_CONF = {
     # sort-merge join beyond it.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # A semi or inner join that shuffles (its small side above the broadcast bound) sends a Bloom filter of that side's
+    # keys to the scan of the other one first, from 10 GB of scan on (Spark's default); user tables are allowed in full.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -81,6 +85,8 @@ RUNTIME_KEYS = (
     "spark.sql.adaptive.advisoryPartitionSizeInBytes",
     "spark.sql.adaptive.autoBroadcastJoinThreshold",
     "spark.sql.autoBroadcastJoinThreshold",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold",
 )
 
 
@@ -94,6 +100,17 @@ def apply_engine_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scan_filter_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster whose joins never broadcast and send their Bloom filter to scans of any size: what
+    tables beyond the broadcast bound get by themselves, on tables below it."""
+    session = apply_engine_conf(spark.newSession())
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    session.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    session.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1")
+    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    return session
+
+
 _fallback_root: str | None = None
 
 

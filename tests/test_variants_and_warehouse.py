@@ -60,6 +60,32 @@ def test_reports_take_parameters(spark):
         spark.sql(f"SELECT * FROM {name}").collect()
 
 
+def test_untagged_facts_are_filtered_at_the_scan(spark):
+    from questlog.operators import audience
+    from questlog.session import scan_filter_session
+
+    t = DriverTables(scan_filter_session(spark), SF_SMALL)
+    df = audience.filter_by_tier(t.master_events_live(), t.user_acquisition(), ["Tier 2"]).select("event_id")
+    got = sorted(r.event_id for r in df.collect())
+    tagged = audience.filter_tagged_by_tier(DriverTables(spark, SF_SMALL).acquired_events(), ["Tier 2"])
+    assert got == sorted(r.event_id for r in tagged.collect()) and got
+    plan = physical_plan(df)
+    assert plan.index("Exchange hashpartitioning(user_id") < plan.index("might_contain")  # below the facts' shuffle
+    # most of the other tiers' events don't reach the shuffle: no more rows than the chosen users' and a few
+    nodes, rows = [df._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        if name == "ShuffleExchangeExec" and "might_contain" in node.toString():
+            rows.append(node.metrics().apply("shuffleRecordsWritten").value())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert rows and rows[0] <= len(got) * 1.1 + 10 < t.master_events_live().count()
+
+
 def test_tables_have_partitions_and_statistics(spark):
     db = warehouse.driver_warehouse(spark, SF_SMALL)
     rows = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {db}.master_events user_id").collect()}
