@@ -84,11 +84,12 @@ def bitmap_engagement(bitmaps: DataFrame, date: str = "event_date") -> DataFrame
 def bitmap_rolling(bitmaps: DataFrame, span: int = 7, date: str = "event_date") -> DataFrame:
     """Distinct users of the ``span`` days that end on each day from the first to the last one (date, users): every day's
     bitmaps are merged into the spans they belong to, 4 KB a bucket whatever the number of events."""
-    reach = F.sequence(F.lit(0), F.lit(span - 1))
-    spread = bitmaps.where(F.col(date).isNotNull()).select(F.explode(F.transform(reach, lambda i: F.date_add(F.col(date), i))).alias("_end"), "bucket", "users")
-    last = bitmaps.agg(F.max(date).alias("_last"))
-    counts = bitmap_users(spread, "_end", "users").withColumnRenamed("period", "date")
-    return counts.join(F.broadcast(last), F.col("date") <= F.col("_last")).drop("_last")  # one row
+    ends = F.transform(F.sequence(F.lit(0), F.lit(span - 1)), lambda i: F.struct((i == 0).alias("own"), F.date_add(F.col(date), i).alias("end")))
+    spread = bitmaps.where(F.col(date).isNotNull()).select(F.explode(ends).alias("to"), "bucket", "users").select("to.own", "to.end", "bucket", "users")
+    merged = spread.groupBy("end", "bucket").agg(F.bitmap_or_agg("users").alias("users"), F.max("own").alias("own"))
+    counts = merged.groupBy("end").agg(F.sum(F.bitmap_count("users")).alias("users"), F.max("own").alias("own"))
+    last = F.max(F.when(F.col("own"), F.col("end"))).over(Window.partitionBy())  # over one row a day
+    return counts.select(F.col("end").alias("date"), "users", last.alias("_last")).where("date <= _last").drop("_last")
 
 
 # ---- T03, K05, K06: sketches -----------------------------------------------------------

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.economy import DEFAULT_SOURCES, signed_amount
+from ..operators.economy import DEFAULT_SOURCES, _signed_amount
 
 # An event that only carries the time: it moves the watermark when a log falls silent.
 HEARTBEAT = "heartbeat"
@@ -84,7 +84,7 @@ class WalletProcessor(StatefulProcessor):
 def wallet_stream(ev: DataFrame, sinks: Mapping[str, Column | str | int], sources: Mapping[str, str] | None = None, delay: str = "2 days", user: str = "user_id") -> DataFrame:
     """(user, event_ts, event_id, delta, balance): every event of the stream with the user's balance after it, emitted in
     order when the watermark has passed it (append mode). Events without a time take no part; the NULL user is a user."""
-    src, snk = signed_amount(dict(DEFAULT_SOURCES if sources is None else sources), sinks)
+    src, snk = _signed_amount(dict(DEFAULT_SOURCES if sources is None else sources), sinks)
     delta = F.when(F.col("event_name") != HEARTBEAT, src - snk).alias("delta")
     rows = ev.select(F.col(user).cast("string").alias("user_id"), "event_ts", F.unix_micros("event_ts").alias("micros"), F.col("event_id").cast("long").alias("event_id"), delta)
     settled = (
