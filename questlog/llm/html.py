@@ -16,6 +16,7 @@ neighbour is taken, and if that is a copy too, nothing is deleted.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html import unescape
 
 import pyarrow as pa
@@ -45,8 +46,20 @@ MARKS = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 
+# What may stand beside such a word in one name of a part inside an article ("share-bar", "related_posts").
+SHELL = frozenset(
+    """area articles bar block box btn button buttons container content form icons inner item items links list outer panel posts row section
+    slot stories thread top unit wrap wrapper""".split()
+)
+# Ids that mark a part inside an article; other ids there name its own sections.
+INNER_IDS = frozenset("ad ads comment comments disqus newsletter related recommended replies respond share sharing sidebar social".split())
+# What the prose of a page begins with, and what holds an article.
+PROSE_TAG = re.compile(r"<(?:p|h[1-6]|blockquote|pre|td|dd)\b", re.I)
+HOLDER_TAG = re.compile(r"""<(?:article|main)\b|\brole\s*=\s*["']?main\b""", re.I)
+FORM_END = re.compile(r"</form\b", re.I)
+
 TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:"[^"]*"|'[^']*'|[^'">])*>.*?(?:</(?P=raw)\s*>|\Z)"""
+    rf"""<!--.*?(?:-->|\Z)|<svg\b(?:"[^"]*"|'[^']*'|[^'">])*(?<=/)>|<(?P<raw>{RAW})\b(?:"[^"]*"|'[^']*'|[^'">])*>.*?(?:</(?P=raw)\s*>|\Z)"""
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*\Z""",
     re.S | re.I,
 )
@@ -55,6 +68,39 @@ ATTR = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`]+))?""
 COPY = 0.5
 
 
+def _names_a_part(name: str, value: str, in_main: bool) -> bool:
+    """Whether a class or id marks a part outside the main text: by any of its words; inside an article, where names
+    also tell what the text is about ("share-price", id "search"), only by a whole name made of such words."""
+    if MARKS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+        return False
+    if not in_main:
+        return True
+    marks = INNER_IDS if name == "id" else MARKS
+    for token in value.split():
+        words = [w for w in re.split(r"[^a-z0-9]+", token) if w]
+        if not marks.isdisjoint(words) and all(w in marks or w in SHELL or w.isdigit() for w in words):
+            return True
+    return False
+
+
+class Forms:
+    """Which forms hold the article, a main element or most of the page's prose, as server-side frameworks write
+    them: those are no form fields. An unclosed form reaches to the end of the page. The page is read once, at its first form."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.at: list[list[int]] | None = None
+
+    def wraps(self, start: int) -> bool:
+        if self.at is None:
+            self.at = [[m.start() for m in pattern.finditer(self.html)] for pattern in (FORM_END, HOLDER_TAG, PROSE_TAG)]
+        ends, holders, prose = self.at
+        i = bisect_left(ends, start)
+        stop = ends[i] if i < len(ends) else len(self.html)
+        within = lambda places: bisect_left(places, stop) - bisect_left(places, start)
+        return within(holders) > 0 or within(prose) > 1 and 2 * within(prose) > len(prose)
+
+
 def _marked(tag: str, attrs: str, in_main: bool) -> bool:
     """Whether an element's markup places it outside the main text."""
     if tag in DROPPED or (tag == "header" and not in_main):
@@ -63,7 +109,7 @@ def _marked(tag: str, attrs: str, in_main: bool) -> bool:
         return False
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-        if name in ("class", "id") and not MARKS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+        if name in ("class", "id") and _names_a_part(name, value, in_main):
             return True
         if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
@@ -89,6 +135,7 @@ def lines(html: str) -> list[tuple[str, bool, bool]]:
         linked = 0
 
     drops = main = 0
+    forms = Forms(html)
     for m in TOKEN.finditer(html):
         if m.start() > at and not drops:
             buffer.append(html[at : m.start()])
@@ -127,7 +174,7 @@ def lines(html: str) -> list[tuple[str, bool, bool]]:
             continue
         if tag not in INLINE:
             block = tag
-        d = _marked(tag, m["attrs"], main > 0)
+        d = _marked(tag, m["attrs"], main > 0) and not (tag == "form" and not main and not drops and forms.wraps(m.end()))
         c = not d and (tag in CONTAINERS or 'role="main"' in m["attrs"])
         if d or c or any(t == tag for t, *_ in stack):  # an open namesake must not close the marked one
             stack.append((tag, d, c))

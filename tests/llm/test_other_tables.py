@@ -58,6 +58,32 @@ def test_article_without_its_surroundings():
     assert html.lines("") == [] and html.lines("<p") == [] and html.lines("plain") == [("plain", False, False)]
 
 
+ARTICLE = "<article><h1>Title</h1><p>One two three.</p><p>Four five.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "body,text",
+    [
+        (f"<form id=aspnetForm><input type=hidden value=x><nav>Menu</nav>{ARTICLE}<footer>F</footer></form>", "Title One two three. Four five."),
+        (f"<div><form action=/search><input> Search</div>{ARTICLE}", "Title One two three. Four five."),  # never closed
+        ("<form><p>One.</p><p>Two.</p><p>Three.</p></form>", "One. Two. Three."),
+        (f"{ARTICLE}<form><p>Subscribe</p></form>", "Title One two three. Four five."),
+        ("<article><p>In</p><form>Mail <p>us</p></form><p>Out</p></article>", "In Out"),
+        ('<article><p>Intro</p><svg class="i" viewBox="0 0" /><p>Rest</p><svg><text>x</text></svg><p>End</p></article>', "Intro Rest End"),
+        ('<article><div class="share-price"><p>Price</p></div><div class="related-work"><p>Work</p></div><section id="search"><p>Search</p></section></article>', "Price Work Search"),
+        ('<article><p>A</p><div class="share-bar">S</div><div class="x related_posts">R</div><div id="comments">C</div><p class="ad">B</p></article>', "A"),
+        ('<div class="share-price">P</div><article><p>A</p></article>', "A"),
+    ],
+)
+def test_parts_told_by_markup(body, text):
+    assert html.main_text(html.lines(f"<html><body>{body}</body></html>"), []) == text
+
+
+def test_a_page_of_unclosed_forms_is_read_in_one_pass():
+    page = "<form>" * 20_000 + "<p>x</p>" * 20_000
+    assert len(html.main_text(html.lines(page), [])) > 20_000
+
+
 def test_long_page():
     body = "".join(f"<p>line {i}</p>" for i in range(3000))
     assert html.main_text(html.lines(f"<article>{body}</article>"), []).count("line") == 3000
