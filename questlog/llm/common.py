@@ -15,6 +15,8 @@ from ..session import scratch_path
 # Rows and bytes of one Arrow batch: bound a Python worker's memory when texts are long.
 ARROW_ROWS = 1000
 ARROW_BYTES = 64 * 1024 * 1024
+# Blocks of an order at most: two keys of each reach the driver.
+MOST_BLOCKS = 100_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -77,6 +79,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
+def blocks_for(df: DataFrame, bytes_per_block: int = 8 * 1024 * 1024) -> int:
+    """How many blocks the rows of ``df`` are dealt to: one for so many bytes of its input files (which are compressed), and
+    at least ``spark.sql.shuffle.partitions``."""
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())  # noqa: SLF001
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(-(-size // bytes_per_block), MOST_BLOCKS))
+
+
 def ordered_blocks(df: DataFrame, keys: list[str], blocks: int, ties: tuple[str, ...] = ()) -> DataFrame:
     """Rows of ``df`` dealt into ``blocks`` ranges of the order given by the
     columns ``keys`` (nulls first; ``ties`` order rows of equal keys), each range

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ordered_blocks, prepare, table
+from .common import blocks_for, ordered_blocks, prepare, table
 
 # Element names by their part in a page.
 DROPPED = frozenset(
@@ -278,7 +278,7 @@ def extract(pages: DataFrame) -> DataFrame:
     come out repeated (copies don't delete each other's text). Other columns are
     not read. Empty table: no rows.
     """
-    spark = prepare(pages.sparkSession)
+    prepare(pages.sparkSession)
     scheme = r"^[A-Za-z][A-Za-z0-9+.-]*://"
     url = F.coalesce(F.col("url"), F.lit(""))
     rows = pages.select(
@@ -288,8 +288,7 @@ def extract(pages: DataFrame) -> DataFrame:
         "url",
         "html",
     )
-    blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return ordered_blocks(rows, ["host", "path", "page_id"], blocks).mapInArrow(_extract, FIELDS)
+    return ordered_blocks(rows, ["host", "path", "page_id"], blocks_for(rows)).mapInArrow(_extract, FIELDS)
 
 
 def op4_html(spark, sf_dir) -> DataFrame:

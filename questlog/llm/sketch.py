@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ordered_blocks, prepare, table
+from .common import blocks_for, ordered_blocks, prepare, table
 
 WORDS = 5
 FRACTION = 1 / 8
@@ -135,10 +135,9 @@ def neighbour_sketches(docs: DataFrame) -> DataFrame:
     by their text's hash. A text without words has an empty sketch, alike only
     to another such. Other columns are not read. Empty table: no rows.
     """
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
-    blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = ordered_blocks(narrow, ["doc_id"], blocks, ("tie",)).where("_role >= 0").select("_block", "_role", "doc_id", "text")
+    rows = ordered_blocks(narrow, ["doc_id"], blocks_for(narrow), ("tie",)).where("_role >= 0").select("_block", "_role", "doc_id", "text")
     return rows.mapInArrow(_neighbours, FIELDS)
 
 

@@ -226,3 +226,11 @@ def test_long_conversation_is_in_order(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = sorted(toolcalls.link_calls(df).collect(), key=lambda r: r.position)
     assert [r.position for r in got] == list(range(1, n // 2 + 1)) and [r.turn for r in got] == list(range(0, n, 2))
+
+
+def test_blocks_follow_the_input_bytes(spark):
+    from questlog.llm import common
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert common.blocks_for(pages) == least and common.blocks_for(pages, 16 * 1024) > 2 * least
