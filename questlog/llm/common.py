@@ -17,6 +17,8 @@ ARROW_ROWS = 1000
 ARROW_BYTES = 64 * 1024 * 1024
 # Blocks of an order at most: two keys of each reach the driver.
 MOST_BLOCKS = 100_000
+# Spark's estimate for what is no file is a number beyond all sizes.
+UNKNOWN_BYTES = 2**60
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -81,10 +83,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def blocks_for(df: DataFrame, bytes_per_block: int = 8 * 1024 * 1024) -> int:
     """How many blocks the rows of ``df`` are dealt to: one for so many bytes of its input files (which are compressed), and
-    at least ``spark.sql.shuffle.partitions``."""
+    at least ``spark.sql.shuffle.partitions``, which is taken where Spark can't tell the bytes."""
     spark = df.sparkSession
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())  # noqa: SLF001
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(-(-size // bytes_per_block), MOST_BLOCKS))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # noqa: SLF001
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return least if size >= UNKNOWN_BYTES else max(least, min(-(-size // bytes_per_block), MOST_BLOCKS))
 
 
 def ordered_blocks(df: DataFrame, keys: list[str], blocks: int, ties: tuple[str, ...] = ()) -> DataFrame:
