@@ -3,7 +3,6 @@ started again from its checkpoint for the next. Rows come late on purpose: some
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..schemas import RAW_EVENTS_WITH_CORRUPT
-from ..session import apply_engine_conf, scratch_path
+from ..session import apply_engine_conf
 from ..sources.driver_tables import DriverTables
 from ..sources.sinks import write_raw_events
+from ..sources.staged import staged_folder
 from .ingest import ingest, ingested
 from .jobs import batch_writer, flatten_stream, raw_event_stream, session_day_time, start
 from .late import closed_days, split_rows, split_writer
@@ -48,27 +48,35 @@ def replay(parts: Sequence[DataFrame], folder: str, streams: Sequence[Callable[[
             q.awaitTermination()
 
 
-def _feed(spark: SparkSession, name: str) -> tuple[str, Callable[[], DataFrame]]:
-    """A run's folder, and its log as a stream in a session of its own; everything there is one micro-batch."""
-    run = scratch_path(spark, name, uuid.uuid4().hex)
+def _kept_run(spark: SparkSession, sf_dir: str, name: str, parameters: str, work: Callable[[str, SparkSession], None]) -> str:
+    """The folder of the run ``name`` over this version of the log: ``work(folder, session)`` replays it once, with streams
+    in a session of their own; later calls find everything read and take its results."""
+    t = DriverTables(spark, sf_dir)
+    of = t.raw_events().withColumn("_run", F.lit(parameters))
     session = apply_engine_conf(spark.newSession())
-    return run, lambda: flatten_stream(raw_event_stream(session, f"{run}/log"))
+    folder, _ = staged_folder(spark, name, [t._path("events")], lambda run: work(run, session), of)  # noqa: SLF001
+    return folder
+
+
+def _feed(session: SparkSession, run: str) -> DataFrame:
+    """A run's log as a stream; everything that is there is one micro-batch."""
+    return flatten_stream(raw_event_stream(session, f"{run}/log"))
 
 
 def run_stream_late_rows_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T06 end to end: (date, on_time, late, emitted): the day's events before and behind the watermark, and the count that
     append mode emitted when the day closed (NULL while it is open)."""
-    parts, _ = arrivals(DriverTables(spark, sf_dir).raw_events())
-    run, feed = _feed(spark, "stream_late")
     delay = f"{DELAY_DAYS} days"
-    split = lambda: start(
-        session_day_time(feed()), split_writer(f"{run}/split", "day_time", delay), f"{run}/split-checkpoint", "append"
-    )
-    close = lambda: start(
-        closed_days(session_day_time(feed()), delay), batch_writer(f"{run}/closed"), f"{run}/closed-checkpoint", "append"
-    )
-    replay(parts, f"{run}/log", [split, close])
-    rows = split_rows(spark, f"{run}/split", session_day_time(feed()))
+
+    def work(run: str, session: SparkSession) -> None:
+        parts, _ = arrivals(DriverTables(spark, sf_dir).raw_events())
+        ev = lambda: session_day_time(_feed(session, run))
+        split = lambda: start(ev(), split_writer(f"{run}/split", "day_time", delay), f"{run}/split-checkpoint", "append")
+        close = lambda: start(closed_days(ev(), delay), batch_writer(f"{run}/closed"), f"{run}/closed-checkpoint", "append")
+        replay(parts, f"{run}/log", [split, close])
+
+    run = _kept_run(spark, sf_dir, "stream_late", f"{ARRIVALS} arrivals, {delay}, {ONE_LATE} {TWO_LATE}", work)
+    rows = split_rows(spark, f"{run}/split", session_day_time(_feed(spark, run)))
     counts = rows.groupBy(F.col("event_date").alias("date")).agg(F.count_if(~F.col("late")).alias("on_time"), F.count_if("late").alias("late"))
     closed = spark.read.schema("date date, emitted long, batch_id long").parquet(f"{run}/closed").drop("batch_id")
     return counts.join(closed, "date", "left")
@@ -77,16 +85,19 @@ def run_stream_late_rows_on_driver_tables(spark: SparkSession, sf_dir: str) -> D
 def run_stream_wallet_on_driver_tables(spark: SparkSession, sf_dir: str, sinks: dict[str, int]) -> DataFrame:
     """C05 live, end to end: the out-of-order log through the stateful wallet, cut by a restart after every arrival; a
     heartbeat behind the last event settles what still waits."""
-    raw = DriverTables(spark, sf_dir).raw_events()
-    parts, span = arrivals(raw)
-    days = 2 * span + 2  # nothing comes later than two arrivals
-    micros = F.max("event_timestamp") + F.lit((days + 1) * 86_400_000_000)
-    beat = raw.agg(F.max("event_date").alias("event_date"), micros.alias("event_timestamp")).select("*", F.lit(HEARTBEAT).alias("event_name"))
-    run, feed = _feed(spark, "stream_wallet")
-    live = lambda: start(
-        wallet_stream(feed(), sinks, delay=f"{days} days"), batch_writer(f"{run}/settled"), f"{run}/checkpoint", "append"
-    )
-    replay([*parts, beat], f"{run}/log", [live])
+
+    def work(run: str, session: SparkSession) -> None:
+        raw = DriverTables(spark, sf_dir).raw_events()
+        parts, span = arrivals(raw)
+        days = 2 * span + 2  # nothing comes later than two arrivals
+        micros = F.max("event_timestamp") + F.lit((days + 1) * 86_400_000_000)
+        beat = raw.agg(F.max("event_date").alias("event_date"), micros.alias("event_timestamp")).select("*", F.lit(HEARTBEAT).alias("event_name"))
+        live = lambda: start(
+            wallet_stream(_feed(session, run), sinks, delay=f"{days} days"), batch_writer(f"{run}/settled"), f"{run}/checkpoint", "append"
+        )
+        replay([*parts, beat], f"{run}/log", [live])
+
+    run = _kept_run(spark, sf_dir, "stream_wallet", f"{ARRIVALS} arrivals, {sinks}, {ONE_LATE} {TWO_LATE}", work)
     schema = "user_id string, event_ts timestamp, event_id long, delta long, balance long, batch_id long"
     return spark.read.schema(schema).parquet(f"{run}/settled").select("user_id", "event_ts", "delta", "balance")
 
@@ -95,11 +106,13 @@ def run_ingest_on_driver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N05 by file stream, end to end: four arrivals, the third of which comes with the first one's events again; every
     call goes on where the last one stopped."""
     schema = StructType([*RAW_EVENTS_WITH_CORRUPT.fields, StructField("event_id", LongType())])
-    parts, _ = arrivals(DriverTables(spark, sf_dir).raw_events(), keep_id=True)
-    run = scratch_path(spark, "ingest", uuid.uuid4().hex)
-    session = apply_engine_conf(spark.newSession())
-    for i, part in enumerate(parts):
-        write_raw_events(part if i != 2 else part.unionByName(parts[0]), f"{run}/log", "append")
-        for q in ingest(session, f"{run}/log", f"{run}/out", schema):
-            q.awaitTermination()
-    return ingested(spark, f"{run}/out", flatten_stream(raw_event_stream(session, f"{run}/log", schema=schema)))
+
+    def work(run: str, session: SparkSession) -> None:
+        parts, _ = arrivals(DriverTables(spark, sf_dir).raw_events(), keep_id=True)
+        for i, part in enumerate(parts):
+            write_raw_events(part if i != 2 else part.unionByName(parts[0]), f"{run}/log", "append")
+            for q in ingest(session, f"{run}/log", f"{run}/out", schema):
+                q.awaitTermination()
+
+    run = _kept_run(spark, sf_dir, "ingest", f"{ARRIVALS} arrivals, {ONE_LATE} {TWO_LATE}", work)
+    return ingested(spark, f"{run}/out", flatten_stream(raw_event_stream(spark, f"{run}/log", schema=schema)))
