@@ -40,7 +40,7 @@ def user_revenue(ua: DataFrame, iap: DataFrame, ads: DataFrame) -> DataFrame:
         .groupBy("user_id")
         .agg(F.sum("_iap").alias("iap_rev"), F.sum("_ads").alias("ads_rev"))
     )
-    return _with_revenue(ua, per_user)
+    return with_revenue(ua, per_user)
 
 
 def user_revenue_from_events(ua: DataFrame, ev: DataFrame) -> DataFrame:
@@ -55,10 +55,11 @@ def user_revenue_from_events(ua: DataFrame, ev: DataFrame) -> DataFrame:
         .groupBy("user_id")
         .agg(F.sum("_iap").alias("iap_rev"), F.sum("_ads").alias("ads_rev"))
     )
-    return _with_revenue(ua, per_user)
+    return with_revenue(ua, per_user)
 
 
-def _with_revenue(ua: DataFrame, per_user: DataFrame) -> DataFrame:
+def with_revenue(ua: DataFrame, per_user: DataFrame) -> DataFrame:
+    """D02 from each user's ``iap_rev`` and ``ads_rev`` (one row a user)."""
     joined = ua.join(per_user, "user_id", "left")
     iap_rev = F.coalesce(F.col("iap_rev"), F.lit(0)).cast("decimal(28,2)")
     ads_rev = F.coalesce(F.col("ads_rev"), F.lit(0)).cast("decimal(28,2)")

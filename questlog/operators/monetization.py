@@ -79,9 +79,12 @@ def ua_roas(ev: DataFrame, ua: DataFrame, start: str | _dt.date, end: str | _dt.
     on user_id that AQE turns into a broadcast when one side is measured
     small. A source with zero spend has ROAS NULL and sorts last.
     """
-    m = installs(ua, start, end)
-    r = user_ltv(ev)
-    joined = m.join(r, "user_id", "left").select(
+    return ua_roas_of(user_ltv(ev), ua, start, end)
+
+
+def ua_roas_of(ltv: DataFrame, ua: DataFrame, start: str | _dt.date, end: str | _dt.date) -> DataFrame:
+    """K12 from each user's ``total_ltv`` (one row a user)."""
+    joined = installs(ua, start, end).join(ltv, "user_id", "left").select(
         "source", "user_id", F.col("cpi"), F.coalesce(F.col("total_ltv"), F.lit(0)).cast("decimal(28,2)").alias("_ltv")
     )
     agg = joined.groupBy("source").agg(

@@ -7,8 +7,11 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.numeric import round_money
+from ..operators import audience, monetization, rollups
 from ..schemas import IAP_PURCHASE, LEVEL_COMPLETE, RAW_EVENTS, SESSION_START
 from ..session import scratch_path
+from ..sources.bucketed import append_bucketed, buckets_for, read_bucketed
 from ..sources.driver_tables import ACQUIRED_EVENTS_DDL, INSTALL_WINDOW, USER_ACQUISITION_DDL, DriverTables
 from ..sources.sinks import write_raw_events
 from ..sources.staged import staged_folder
@@ -117,7 +120,39 @@ def _report(call: str, names: dict[str, str] | None = None):
     return run
 
 
+def user_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Section 2.8: the user-day revenue and the acquisition table, both bucketed by user into the same number of buckets."""
+    t = DriverTables(spark, sf_dir)
+    sources = [t._path("events"), t._path("customer")]  # noqa: SLF001
+    n = buckets_for(spark, sources)
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        folder, _ = staged_folder(spark, f"bucketed_{name}_{n}", sources, lambda p: append_bucketed(spark, df, p, "user_id", n), df)
+        return read_bucketed(spark, df, folder, "user_id", n)
+
+    return kept("user_days", rollups.user_day_revenue(t.master_events())), kept("users", t.user_acquisition())
+
+
+def q_bucketed_ua_roas(spark, sf_dir):
+    days, ua = user_tables(spark, sf_dir)
+    return monetization.ua_roas_of(rollups.ltv_of(days), ua, *INSTALL_WINDOW)
+
+
+def q_bucketed_user_revenue(spark, sf_dir):
+    days, ua = user_tables(spark, sf_dir)
+    return audience.user_revenue_report(rollups.user_revenue_of(days, ua))
+
+
+def q_bucketed_revenue_by_tier_day(spark, sf_dir):
+    days, ua = user_tables(spark, sf_dir)
+    r = rollups.tier_day_revenue_of(days, ua)
+    return r.select("tier", "day_diff", round_money("rev").alias("rev"))
+
+
 WAREHOUSE_QUERIES = {
+    "bucketed_ua_roas": q_bucketed_ua_roas,
+    "bucketed_user_revenue": q_bucketed_user_revenue,
+    "bucketed_revenue_by_tier_day": q_bucketed_revenue_by_tier_day,
     "sql_retention": _report("retention_kpi(1, 3, 7)", {"first_back": "d1_retention", "second_back": "d3_retention", "third_back": "d7_retention"}),
     "sql_economy": _report(f"economy_balance('{LEVEL_COMPLETE}')"),
     "sql_engagement": _report(f"engagement_kpi('{SESSION_START}')"),

@@ -4,7 +4,9 @@ are matched by header name and cast to their declared types."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,36 +35,22 @@ def read_raw_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def data_files(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """The data files under ``path`` (metadata only), in order."""
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-    found = []
-    for one in [path] if isinstance(path, str) else path:
-        p = jvm.org.apache.hadoop.fs.Path(one)
-        listing = p.getFileSystem(conf).listFiles(p, True)
-        while listing.hasNext():
-            f = listing.next().getPath()
-            if not f.getName().startswith(("_", ".")):
-                found.append(f.toString())
-    return sorted(found)
+def glob_free(path: str) -> str:
+    """``path`` as Spark reads it literally: a path given to a reader is a glob."""
+    return re.sub(r"([\\[\]{}*?])", r"\\\1", path)
 
 
 def header_groups(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
     """Files by their first line: the writer keeps only the columns that exist,
-    so column sets and orders differ between files. One line of each file is read."""
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    so column sets and orders differ between files. One job finds them: of a
+    file's lines only its first block's are looked at, the first one is kept (one task reads a block, from its start), and the driver
+    gets one row for each distinct header, with the files Spark's own listing holds anyway."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    lines = lines.where("_metadata.file_block_start = 0").select(F.col("_metadata.file_path").alias("file"), "value")
+    headers = lines.groupBy("file").agg(F.first("value").alias("header"))
     groups: dict[str, list[str]] = {}
-    for f in data_files(spark, path):
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), "UTF-8"))
-        try:
-            header = lines.readLine()
-        finally:
-            lines.close()
-        if header is not None:
-            groups.setdefault(header.lstrip("\ufeff"), []).append(f)
+    for r in headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect():
+        groups.setdefault(r["header"].lstrip("\ufeff"), []).extend(glob_free(unquote(f)) for f in r["files"])
     return groups
 
 
