@@ -456,3 +456,55 @@ def test_no_python_in_the_native_operators(spark):
 )
 def test_empty_table(spark, operator):
     assert operator(make(spark, [])).count() == 0
+
+
+# ---- whole names, country codes, check digits ---------------------------------------------
+
+NAME = r"\p{Lu}\p{Ll}+"
+WHOLE_NAMES = [  # text, what must be gone, pattern of what comes out
+    ("Mr. McDonald came. McDonald left.", ["McDonald", "Donald"], rf"Mr\. (\w+) came\. \1 left\."),
+    ("Herr Jean-Luc Picard und Picard; Jean-Luc Picard.", ["Jean", "Luc", "Picard"], r"Herr (\w+) (\w+) und \2; \1 \2\."),
+    ("Frau Müller-Lüdenscheidt, Müller-Lüdenscheidt.", ["Müller", "denscheidt"], rf"Frau ({NAME}-{NAME}), \1\."),
+    ("Mrs. Anna Maria Schmidt came. Anna Schmidt, Schmidt.", ["Anna", "Maria", "Schmidt"], r"Mrs\. (\w+na) (\w+na) (\w+) came\. \1 \3, \3\."),
+    ("Mr. O'Brien's dog; O'Brien.", ["Brien"], r"Mr\. (\p{Lu}'\p{Lu}\p{Ll}+)'s dog; \1\."),
+    ("Mr J. Smith and J. Smith", ["Smith"], r"Mr (\p{Lu})\. (\w+) and \1\. \2"),
+    ("Mr. de Gaulle, de Gaulle, Gaulle.", ["Gaulle"], r"Mr\. de (\w+), de \1, \1\."),
+    ("Mme d'Estaing. Estaing, d'Estaing.", ["Estaing"], r"Mme d'(\w+)\. \1, d'\1\."),
+    ("Herr von der Leyen. Mr. J. R. R. Tolkien; Tolkien!", ["Leyen", "Tolkien"], r"Herr von der (\w+)\. Mr\. \p{Lu}\. \p{Lu}\. \p{Lu}\. (\w+); \2!"),
+    ("order 1234567890123 at 300.400.500.600 stays", [], r"order 1234567890123 at 300\.400\.500\.600 stays"),
+    ("4222222222222 is a card of 13 digits", ["4222222222222"], r"4\d{12} is a card of 13 digits"),
+    ("at 10.0.0.255 and 1.2.3.4", ["10.0.0.255", "1.2.3.4"], r"at \d+\.\d\.\d\.\d{3} and \d\.\d\.\d\.\d"),
+    ("a  mark, Mr. Li Wong and me@x.org,  Wong", ["Wong", "me@x"], "a  mark, Mr\\. (\\w+) (\\w+) and \\w\\w@\\w\\.org,  \\2"),
+    ("Mr. Day Smith \nMr. Q", ["Smith"], "Mr\\. (\\w+) (\\w+) \nMr\\. Q"),
+]
+
+
+def test_names_are_replaced_as_a_whole(spark):
+    import regex
+
+    got = {r.doc_id: r for r in privacy.rewrite(make(spark, [t for t, *_ in WHOLE_NAMES]), count_as="found").collect()}
+    for i, (text, gone, want) in enumerate(WHOLE_NAMES):
+        assert regex.fullmatch(want, got[i].text), (text, got[i].text)
+        assert not any(x in got[i].text for x in gone) and (got[i].found > 0) == bool(gone), (text, got[i])
+
+
+def test_phones_of_one_tail_but_other_numbers_are_two(spark):
+    phones = ["+7 495 123 4567", "+7 895 123 4567", "+49 30 1234567", "+1 (555) 123-4567", "(555) 123-4567", "+380 44 123 4567", "+33 30 1234567", "+49-30-1234567"]
+    got = {r.doc_id: r.text for r in privacy.rewrite(make(spark, phones)).collect()}
+    digits = [re.sub("[^0-9]", "", got[i]) for i in range(len(phones))]
+    for p, g, code in zip(phones, digits, ("7", "7", "49", "1", "", "380", "33", "49")):
+        assert g.startswith(code) and g != re.sub("[^0-9]", "", p) and len(g) == len(re.sub("[^0-9]", "", p))
+    assert digits[0] != digits[1] and digits[2] == digits[7] and digits[2][2:] != digits[6][2:] and digits[3][1:] == digits[4]
+
+
+def test_texts_are_scanned_once(spark):
+    """What is written of a text with mentions is what they lie between; a second pass of the detectors is for texts with names."""
+    plan = privacy.scanned(make(spark, PRIVATE), "text")._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    assert "Exchange" not in plan
+    rows = privacy.scanned(make(spark, PRIVATE), "text").collect()
+    for r, text in zip(rows, PRIVATE):
+        if r.h is None:
+            assert r.row.text == text and r.gaps is None
+        else:
+            again = "".join(g + m for g, m in zip(r.gaps, [m.raw for m in r.mentions] + [""]))
+            assert r.row.text is None and again == text
