@@ -20,8 +20,9 @@ and what is left is probed in the long ones.
 
 Only the classes are asked for, so no group of copies is paired off. Documents of equal sets
 are one node. Of each short list, first only the pairs with a few leading nodes are counted
-and probed, which joins a group of near copies into one component; then the lists are merged again for
-the pairs of nodes in different components. A pair inside a component needs no proof, and every
+and probed; a long list is also led by its centre, the node whose mark differs least from those of a few others. What
+links two edited copies of a text mostly links each with the least edited one, so this joins a group of near copies
+into one component; then the lists are merged again for the pairs of nodes in different components. A pair inside a component needs no proof, and every
 other pair with t occurrences is probed: no link between components is lost.
 """
 
@@ -43,6 +44,8 @@ PER_OCCURRENCE = 100
 MARKS = 512
 HOT = 64
 LEADERS = 3
+# A list with so many nodes of about one size is also led by its centre, found by so many of its marks.
+CROWD, SAMPLE = 16, 8
 SEED = 0
 # Below this number of rows, the ids of the nodes to be probed are broadcast (16 bytes each); above, texts are shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -111,14 +114,18 @@ def mark(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def differing(a: F.Column, b: F.Column) -> F.Column:
+    """The number of bits in which two marks differ."""
+    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(MARKS // 64)), F.lit(0))
+
+
 def may_link(a: str, b: str) -> F.Column:
     """Whether sizes (columns n and the side's name) and marks allow two sets to link: they have at most so many
     shingles not in common as the marks differ in bits."""
     both = F.col(f"n{a}") + F.col(f"n{b}")
     total = SHARE[0] + SHARE[1]
     most = both - 2 * F.floor((SHARE[0] * both + (total - 1)) / total)
-    differ = sum((F.bit_count(F.col(f"mark{a}")[i].bitwiseXOR(F.col(f"mark{b}")[i])) for i in range(MARKS // 64)), F.lit(0))
-    return size_fits(f"n{a}", f"n{b}") & (differ <= most)
+    return size_fits(f"n{a}", f"n{b}") & (differing(F.col(f"mark{a}"), F.col(f"mark{b}")) <= most)
 
 
 def sets(docs: DataFrame) -> DataFrame:
@@ -243,6 +250,18 @@ def short_list_table(docs: DataFrame, nodes: DataFrame, hot_at: int = HOT) -> Da
     return written(every.join(keys, "s", "left_semi"), "lists")
 
 
+def centres(sized: DataFrame, nodes: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """(s, size, a, m): of each list in ``sized`` (s, node, n, size) with ``crowd`` nodes of a size or more, the node whose mark
+    is nearest to a sample of theirs, and its size."""
+    crowded = sized.groupBy("s", "size").agg(F.count("*").alias("many")).where(F.col("many") >= crowd)
+    held = sized.join(crowded, ["s", "size"], "left_semi").join(nodes.select("node", "mark").hint("merge"), "node")
+    held = written(held.select("s", "size", "node", "n", "mark"), "crowded")
+    some = held.groupBy("s", "size").agg(F.array(*[F.min_by("mark", F.xxhash64("node", F.lit(i))) for i in range(SAMPLE)]).alias("marks"))
+    apart = sum((differing(F.col("mark"), F.col("marks")[i]) for i in range(SAMPLE)), F.lit(0))
+    near = held.join(some, ["s", "size"]).groupBy("s", "size").agg(F.min(F.struct(apart.alias("apart"), "node", "n")).alias("head"))
+    return near.select("s", "size", F.col("head.node").alias("a"), F.col("head.n").alias("m"))
+
+
 def classes(docs: DataFrame, hot_at: int = HOT, leaders: int = LEADERS) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``: its set's size and the smallest doc_id that links reach.
 
@@ -264,6 +283,7 @@ def classes(docs: DataFrame, hot_at: int = HOT, leaders: int = LEADERS) -> DataF
         F.count("*").alias("many"), F.array_distinct(F.array(*[F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(i))) for i in range(leaders)])).alias("heads")
     ).where("many > 1")
     heads = heads.select("s", "size", F.explode("heads").alias("head")).select("s", "size", F.col("head.node").alias("a"), F.col("head.n").alias("m"))
+    heads = heads.union(centres(sized, nodes)).distinct()
     pairs = sized.join(heads, ["s", "size"]).where((F.col("node") != F.col("a")) & size_fits("n", "m"))
     pairs = pairs.groupBy(F.least("node", "a").alias("a"), F.greatest("node", "a").alias("b")).agg(F.count("*").alias("times"))
     for x, side in zip("ab", sides):

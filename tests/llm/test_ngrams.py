@@ -131,3 +131,21 @@ def test_registered_query_on_the_whole_table(spark):
     folder = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
     assert got(ngrams.op13_ngrams(spark, folder)) == brute([r.doc_id for r in rows], [r.text for r in rows])
+
+
+def test_a_group_of_edited_copies_is_joined_by_its_centre(spark, monkeypatch):
+    """Copies edited so much that two of them seldom link, but each with the text itself: the pairs of different
+    components that are left to prove are no more than the copies."""
+    r = random.Random(4)
+    base = prose(r, 150)
+    texts = [" ".join(base)] + [" ".join(near(r, base, r.choice((1, 2, 2, 3, 4)))) for _ in range(500)]
+    proved = []
+
+    def written(df, name, put=ngrams.written):
+        out = put(df, name)
+        proved.extend([out.count()] if name == "pairs" else [])
+        return out
+
+    monkeypatch.setattr(ngrams, "written", written)
+    assert got(ngrams.classes(make(spark, texts, range(len(texts))))) == brute(range(len(texts)), texts)
+    assert len(proved) == 2 and proved[1] <= len(texts), proved
