@@ -11,19 +11,21 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..schemas import RAW_EVENTS_WITH_CORRUPT
-from ..session import apply_engine_conf
+from ..session import apply_engine_conf, input_bytes
 from ..sources.driver_tables import DriverTables
 from ..sources.sinks import write_raw_events
 from ..sources.staged import staged_folder
 from .ingest import ingest, ingested
 from .jobs import batch_writer, flatten_stream, raw_event_stream, session_day_time, start
 from .late import closed_days, split_rows, split_writer
-from .wallet import HEARTBEAT, wallet_stream
+from .wallet import HEARTBEAT, SLOTS, wallet_stream
 
 ARRIVALS = 4
 # Every so many events by id come one (or two) arrivals late; days that the live days tolerate.
 ONE_LATE, TWO_LATE = 10, 50
 DELAY_DAYS = 2
+# Bytes of the events' files, which are compressed, for one slot of the wallet's users.
+SLOT_BYTES = 64 * 1024
 
 
 def arrivals(raw: DataFrame, n: int = ARRIVALS, keep_id: bool = False) -> tuple[list[DataFrame], int]:
@@ -87,17 +89,19 @@ def run_stream_wallet_on_driver_tables(spark: SparkSession, sf_dir: str, sinks:
     heartbeat behind the last event settles what still waits."""
 
     def work(run: str, session: SparkSession) -> None:
-        raw = DriverTables(spark, sf_dir).raw_events()
+        t = DriverTables(spark, sf_dir)
+        raw = t.raw_events()
+        slots = max(SLOTS, -(-input_bytes(spark, [t._path("events")]) // SLOT_BYTES))  # noqa: SLF001
         parts, span = arrivals(raw)
         days = 2 * span + 2  # nothing comes later than two arrivals
         micros = F.max("event_timestamp") + F.lit((days + 1) * 86_400_000_000)
         beat = raw.agg(F.max("event_date").alias("event_date"), micros.alias("event_timestamp")).select("*", F.lit(HEARTBEAT).alias("event_name"))
         live = lambda: start(
-            wallet_stream(_feed(session, run), sinks, delay=f"{days} days"), batch_writer(f"{run}/settled"), f"{run}/checkpoint", "append"
+            wallet_stream(_feed(session, run), sinks, delay=f"{days} days", slots=slots), batch_writer(f"{run}/settled"), f"{run}/checkpoint", "append"
         )
         replay([*parts, beat], f"{run}/log", [live])
 
-    run = _kept_run(spark, sf_dir, "stream_wallet", f"{ARRIVALS} arrivals, {sinks}, {ONE_LATE} {TWO_LATE}", work)
+    run = _kept_run(spark, sf_dir, "stream_wallet", f"{ARRIVALS} arrivals, {sinks}, {ONE_LATE} {TWO_LATE}, slots", work)
     schema = "user_id string, event_ts timestamp, event_id long, delta long, balance long, batch_id long"
     return spark.read.schema(schema).parquet(f"{run}/settled").select("user_id", "event_ts", "delta", "balance")
 

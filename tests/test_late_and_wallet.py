@@ -113,6 +113,26 @@ def test_wallet_holds_events_until_the_watermark(spark, tmp_dir):
     assert got == [("2025-11-03 00:00:05", 2, 2), ("2025-11-03 00:00:10", 1, 3), ("2025-11-06 00:00:00", 100, 103)]
 
 
+def test_wallet_calls_the_state_store_by_slot_and_not_by_user(spark, tmp_dir):
+    """Many users in one slot: one group of rows, the balances of each user's own events, ids of any kind."""
+    src = os.path.join(tmp_dir, "in")
+    r = random.Random(8)
+    users = [None, "", "=", "é", *[f"u{i}" for i in range(60)]]
+    lines = [line(f"2025-11-{1 + r.randrange(5):02d}", r.choice(users), r.randrange(80_000), gold=r.randrange(2**40)) for _ in range(300)]
+    feeds = [lines[:150], lines[150:], [line("2025-12-20", None, 0, wallet.HEARTBEAT)]]
+    for i, feed in enumerate(feeds):
+        put(src, f"{i}.json", feed)
+        ev = jobs.flatten_stream(jobs.raw_event_stream(spark, src))
+        q = jobs.start(wallet.wallet_stream(ev, {"level_fail": 10}, delay="6 days", slots=1), jobs.batch_writer(os.path.join(tmp_dir, "m")), os.path.join(tmp_dir, "c"), "append")
+        q.awaitTermination()
+        if i == 0:
+            assert q.lastProgress is None or max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) < 10
+    put(os.path.join(tmp_dir, "whole"), "all.json", lines)
+    full = economy.wallet_balance(build_master_events(read_raw_events(spark, os.path.join(tmp_dir, "whole"))), {"level_fail": 10})
+    rows = lambda df: sorted(((x.user_id, x.event_ts, x.event_id, x.delta, x.balance) for x in df.collect()), key=str)
+    assert rows(spark.read.parquet(os.path.join(tmp_dir, "m"))) == rows(full)
+
+
 def test_replayed_arrivals_hold_the_whole_log(spark):
     raw = DriverTables(spark, SF_SMALL).raw_events()
     parts, span = replay.arrivals(raw)
