@@ -30,7 +30,8 @@ SLOT_BYTES = 64 * 1024
 
 def arrivals(raw: DataFrame, n: int = ARRIVALS, keep_id: bool = False) -> tuple[list[DataFrame], int]:
     """The nested log (with ``event_id``) in ``n`` arrivals by session day, some rows behind their time, and the days of
-    an arrival. Rows without a day come with the first."""
+    an arrival. Rows without a day come with the first. An arrival reads only the days that it may hold: a log partitioned by
+    day is not read whole for each."""
     gone = () if keep_id else ("event_id",)
     day = F.date_diff(F.try_to_date(F.col("event_date"), "yyyyMMdd"), F.lit("1970-01-01").cast("date"))
     lo, hi = raw.agg(F.min(day), F.max(day)).first()
@@ -39,7 +40,11 @@ def arrivals(raw: DataFrame, n: int = ARRIVALS, keep_id: bool = False) -> tuple[
     span = max(1, -(-(hi - lo + 1) // n))
     late = F.when(F.col("event_id") % TWO_LATE == 0, 2).when(F.col("event_id") % ONE_LATE == 0, 1).otherwise(0)
     at = F.coalesce(F.least(F.floor((day - lo) / span) + late, F.lit(n - 1)), F.lit(0))
-    return [raw.where(at == i).drop(*gone) for i in range(n)], span
+    own = F.floor((day - lo) / span)
+    # the days of an arrival and of the two before it (rows come at most so late), in a filter of its own that prunes
+    days = [F.coalesce(own, F.lit(0)) <= i if i < n - 1 else F.lit(True) for i in range(n)]
+    days = [d & (F.coalesce(own, F.lit(0)) >= i - 2) for i, d in enumerate(days)]
+    return [raw.where(days[i]).where(at == i).drop(*gone) for i in range(n)], span
 
 
 def replay(parts: Sequence[DataFrame], folder: str, streams: Sequence[Callable[[], StreamingQuery]]) -> None:

@@ -142,6 +142,14 @@ def test_replayed_arrivals_hold_the_whole_log(spark):
     assert replay.arrivals(raw.limit(0))[1] == 1 and span > 1 and d("2024-01-01")
 
 
+def test_an_arrival_reads_only_the_days_that_it_may_hold(spark):
+    for keep in (True, False):
+        parts, _ = replay.arrivals(DriverTables(spark, SF_SMALL).raw_events(), keep_id=keep)
+        for part in parts:
+            plan = part._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
 def test_ingest_loses_and_doubles_nothing(spark, tmp_dir):
     """Replayed lines in a batch, in a later batch and in a crashed one; bad lines; an old day that comes late."""
     import pytest
